@@ -24,7 +24,8 @@ from ..functions.missing import quoted
 
 MAX_CHUNKS = 20_000
 SAMPLES_PER_CHUNK = 16
-CHUNK_ROWS = 1_000_000
+MOST_CHUNK_ROWS = 1_000_000
+LEAST_CHUNK_ROWS = 2_000
 
 CHUNK = "_chunk"
 GLOBAL_POSITION = "_gpos"
@@ -50,7 +51,7 @@ class Chunking:
     keys: tuple[str, ...]
     types: tuple[T.DataType, ...]
     cuts: tuple[tuple[str | None, ...], ...]
-    rows: int
+    chunk_rows: int
 
     @property
     def single(self) -> bool:
@@ -83,13 +84,17 @@ class Chunking:
 def find_chunks(df: DataFrame, keys: Sequence[str], chunk_rows: int | None = None) -> Chunking:
     """Cut the key range of ``df`` into about ``rows / chunk_rows`` even parts.
 
+    Without ``chunk_rows``, two parts per shuffle partition, none of them too small or too large.
+
     Two narrow jobs that read the key columns only: a count, then a hash-chosen sample of keys whose
     size is proportional to the number of chunks. The sample decides the balance, never the result.
     """
-    chunk_rows = chunk_rows or CHUNK_ROWS
     types = [df.select(quoted(k)).schema[0].dataType for k in keys]
     compared = [_sort_key(k, t)[0] for k, t in zip(keys, types)]
     rows = df.count()
+    if not chunk_rows:
+        parts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunk_rows = min(MOST_CHUNK_ROWS, max(LEAST_CHUNK_ROWS, ceil(rows / parts)))
     chunks = min(MAX_CHUNKS, ceil(rows / chunk_rows))
     cuts: tuple = ()
     if chunks > 1:
@@ -105,7 +110,7 @@ def find_chunks(df: DataFrame, keys: Sequence[str], chunk_rows: int | None = Non
         )
         wanted = [sample[len(sample) * part // chunks] for part in range(1, chunks)] if sample else []
         cuts = tuple(dict.fromkeys(tuple(row) for row in wanted))
-    return Chunking(tuple(keys), tuple(types), cuts, rows)
+    return Chunking(tuple(keys), tuple(types), cuts, chunk_rows)
 
 
 # --- what crosses chunk borders ------------------------------------------------------------------
@@ -280,14 +285,13 @@ def frame_windows(
     cut by position into blocks; the ``back`` last (``ahead`` first) rows of a block are also handed
     to its neighbour, so every frame is complete. The copies are dropped afterwards.
     """
-    chunk_rows = chunk_rows or CHUNK_ROWS
     keys = [quoted(k) for k in series_key]
     order = [quoted(k) for k in order_by]
     chunking = find_chunks(df, [*series_key, *order_by], chunk_rows)
-    if chunking.rows <= chunk_rows:
+    if chunking.single:
         window = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
         return df.select("*", *[c.alias(n) for n, c in build(window).items()])
-    size = max(chunk_rows, back, ahead)
+    size = max(chunking.chunk_rows, back, ahead)
     placed = with_positions(df, series_key, order_by, chunking=chunking)
     inside = F.pmod(F.col(GLOBAL_POSITION), F.lit(size))
     home = F.expr(f"{GLOBAL_POSITION} div {size}")
