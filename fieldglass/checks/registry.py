@@ -1,6 +1,6 @@
 """All registered queries: importing the modules fills the tables."""
 
-from . import profile, schema  # noqa: F401
+from . import encode, profile, schema, selection  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

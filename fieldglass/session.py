@@ -21,5 +21,6 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         builder.config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
