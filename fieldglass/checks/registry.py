@@ -1,6 +1,6 @@
 """All registered queries: importing the modules fills the tables."""
 
-from . import encode, profile, schema, selection, series  # noqa: F401
+from . import encode, models, plans, profile, schema, selection, series, sources, streaming  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -52,7 +52,7 @@ def regressors(seed: int = 42) -> dict[str, Estimator]:
         "elastic_net": LinearRegression(regParam=0.01, elasticNetParam=0.5),
         "decision_tree": DecisionTreeRegressor(seed=seed),
         "random_forest": RandomForestRegressor(numTrees=20, seed=seed),
-        "gbt": GBTRegressor(maxIter=20, seed=seed),
+        "gbt": GBTRegressor(maxIter=10, seed=seed),
     }
 
 
@@ -63,7 +63,7 @@ def classifiers(classes: int, seed: int = 42) -> dict[str, Estimator]:
         "random_forest": RandomForestClassifier(numTrees=20, seed=seed),
         "naive_bayes": NaiveBayes(),
     }
-    binary = {"gbt": GBTClassifier(maxIter=20, seed=seed), "linear_svc": LinearSVC()}
+    binary = {"gbt": GBTClassifier(maxIter=10, seed=seed), "linear_svc": LinearSVC(maxIter=30, regParam=0.01)}
     return several | binary if classes == 2 else several
 
 

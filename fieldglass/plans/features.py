@@ -82,7 +82,7 @@ def prepare_features(spark: SparkSession, df: DataFrame, cfg: FeatureConfig) ->
         "scores",
     )
     kept = scores.filter("kept").select("feature").distinct().collect()
-    chosen = selection.fallback_features([f for f in features if f in {r["feature"] for r in kept}], numerical)
+    chosen = schema.fallback_features([f for f in features if f in {r["feature"] for r in kept}], numerical)
     if cfg.use_pca:
         table, components, _ = selection.pca(table, chosen, cfg.pca_components)
         chosen = chosen + components
