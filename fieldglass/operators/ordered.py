@@ -62,12 +62,14 @@ class Chunking:
         count = len(self.cuts)
         if not count:
             return F.lit(0)
-        lanes = []
-        for place, dtype in enumerate(self.types):
-            texts = F.from_json(F.lit(json.dumps([cut[place] for cut in self.cuts])), "array<string>")
-            compared = _sort_key(self.keys[place], dtype)[1]
-            lanes.append(texts.cast(T.ArrayType(compared)).alias(f"k{place}"))
-        table = F.arrays_zip(*lanes)
+        names = [f"k{i}" for i in range(len(self.keys))]
+        texts = json.dumps([dict(zip(names, cut)) for cut in self.cuts])
+        as_text = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        typed = T.ArrayType(
+            T.StructType([T.StructField(n, _sort_key(k, t)[1]) for n, k, t in zip(names, self.keys, self.types)])
+        )
+        # one literal after constant folding
+        table = F.from_json(F.lit(texts), as_text).cast(typed)
         key = F.struct(
             *[_sort_key(k, t)[0].alias(f"k{i}") for i, (k, t) in enumerate(zip(self.keys, self.types))]
         )
@@ -295,13 +297,12 @@ def frame_windows(
     placed = with_positions(df, series_key, order_by, chunking=chunking)
     inside = F.pmod(F.col(GLOBAL_POSITION), F.lit(size))
     home = F.expr(f"{GLOBAL_POSITION} div {size}")
-    homes = F.array_compact(
-        F.array(
-            home,
-            F.when(inside >= F.lit(size - back), home + 1),
-            F.when(inside < F.lit(ahead), home - 1),
-        )
-    )
+    copies = [home]
+    if back:
+        copies.append(F.when(inside >= F.lit(size - back), home + 1))
+    if ahead:
+        copies.append(F.when(inside < F.lit(ahead), home - 1))
+    homes = F.array_compact(F.array(*copies))
     spread = placed.select("*", home.alias("_home"), F.explode(homes).alias("_block"))
     window = Window.partitionBy(F.col("_block"), *keys).orderBy(*order)
     computed = spread.select("*", *[c.alias(n) for n, c in build(window).items()])

@@ -89,14 +89,14 @@ def prepare_features(spark: SparkSession, df: DataFrame, cfg: FeatureConfig) ->
     metadata = schema.rename_in_table(selection.feature_metadata(roles, scores, cfg.scaling), names, restore=True)
     scaled = [f"{c}_scaled" for c in chosen if f"{c}_scaled" in table.columns]
     keep = [c for c in table.columns if c in axis]
-    out = selection.project_features(table, [*keep, *chosen, *scaled], targets)
+    out = schema.project_features(table, [*keep, *chosen, *scaled], targets)
     return FeatureResult(out, chosen, scores, metadata, names)
 
 
 def project(result: FeatureResult, target: str) -> DataFrame:
     """The table of one target: the features kept for it and the target."""
     rows = result.scores.filter("kept").filter(result.scores["target"] == target).select("feature").distinct().collect()
-    return selection.project_features(result.table, sorted(r["feature"] for r in rows), [target])
+    return schema.project_features(result.table, sorted(r["feature"] for r in rows), [target])
 
 
 def run_features(spark: SparkSession, cfg: FeatureConfig) -> FeatureResult:
