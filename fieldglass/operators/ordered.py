@@ -12,6 +12,7 @@ The order columns, together with the series key, must identify a row.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from math import ceil
@@ -26,6 +27,7 @@ MAX_CHUNKS = 20_000
 SAMPLES_PER_CHUNK = 16
 MOST_CHUNK_ROWS = 1_000_000
 LEAST_CHUNK_ROWS = 2_000
+TREE_CUTS = 32
 
 CHUNK = "_chunk"
 GLOBAL_POSITION = "_gpos"
@@ -46,7 +48,11 @@ def _sort_key(name: str, dtype: T.DataType) -> tuple[Column, T.DataType]:
 
 @dataclass(frozen=True)
 class Chunking:
-    """Sort key of a table and the cut points found for it."""
+    """Sort key of a table and the cut points found for it.
+
+    A cut point is written as short as it can be: ``None`` stands for "before every value", so a cut
+    inside a series shows that this series is too long for one chunk.
+    """
 
     keys: tuple[str, ...]
     types: tuple[T.DataType, ...]
@@ -57,22 +63,32 @@ class Chunking:
     def single(self) -> bool:
         return not self.cuts
 
+    def split_chunks(self, depth: int) -> list[int]:
+        """Chunks next to a cut that lies inside a group of the first ``depth`` keys."""
+        inner = [i for i, cut in enumerate(self.cuts) if any(part is not None for part in cut[depth:])]
+        return sorted({c for i in inner for c in (i, i + 1)})
+
+    def splits(self, depth: int) -> bool:
+        return bool(self.split_chunks(depth))
+
     def column(self) -> Column:
         """Chunk number of a row: how many cut points are <= its key, by binary search."""
         count = len(self.cuts)
         if not count:
             return F.lit(0)
-        names = [f"k{i}" for i in range(len(self.keys))]
+        width = max(sum(part is not None for part in cut) for cut in self.cuts)
+        keys = [_sort_key(k, t) for k, t in zip(self.keys[:width], self.types)]
+        if count <= TREE_CUTS:
+            return self._tree(keys, 0, count)
+        names = [f"k{i}" for i in range(width)]
         texts = json.dumps([dict(zip(names, cut)) for cut in self.cuts])
         as_text = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-        typed = T.ArrayType(
-            T.StructType([T.StructField(n, _sort_key(k, t)[1]) for n, k, t in zip(names, self.keys, self.types)])
-        )
+        typed = T.ArrayType(T.StructType([T.StructField(n, t) for n, (_, t) in zip(names, keys)]))
         # one literal after constant folding
         table = F.from_json(F.lit(texts), as_text).cast(typed)
-        key = F.struct(
-            *[_sort_key(k, t)[0].alias(f"k{i}") for i, (k, t) in enumerate(zip(self.keys, self.types))]
-        )
+        key = F.struct(*[value.alias(n) for n, (value, _) in zip(names, keys)])
+        if width == 1:
+            table, key = table["k0"], keys[0][0]
         strides = [1 << bit for bit in range(count.bit_length() - 1, -1, -1)]
         return F.aggregate(
             F.array(*[F.lit(s) for s in strides]),
@@ -82,6 +98,28 @@ class Chunking:
             ).otherwise(at),
         )
 
+    def _tree(self, keys: list, low: int, high: int) -> Column:
+        """Nested comparisons: compiled code for a small number of cuts."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        reached = F.lit(True)
+        for (value, dtype), part in reversed(list(zip(keys, self.cuts[middle]))):
+            if part is not None:
+                cut = F.lit(part).cast(dtype)
+                reached = (value > cut) | ((value == cut) & reached)
+        return F.when(reached, self._tree(keys, middle + 1, high)).otherwise(self._tree(keys, low, middle))
+
+
+def _shortest(cuts: list[tuple]) -> tuple[tuple[str | None, ...], ...]:
+    """Each cut reduced to the fewest leading keys that no other cut shares."""
+    shared = [Counter(cut[:length] for cut in cuts) for length in range(len(cuts[0]) + 1)] if cuts else []
+    out = []
+    for cut in cuts:
+        length = next((n for n in range(1, len(cut)) if shared[n][cut[:n]] == 1), len(cut))
+        out.append(cut[:length] + (None,) * (len(cut) - length))
+    return tuple(dict.fromkeys(out))
+
 
 def find_chunks(df: DataFrame, keys: Sequence[str], chunk_rows: int | None = None) -> Chunking:
     """Cut the key range of ``df`` into about ``rows / chunk_rows`` even parts.
@@ -111,7 +149,7 @@ def find_chunks(df: DataFrame, keys: Sequence[str], chunk_rows: int | None = Non
             .collect()
         )
         wanted = [sample[len(sample) * part // chunks] for part in range(1, chunks)] if sample else []
-        cuts = tuple(dict.fromkeys(tuple(row) for row in wanted))
+        cuts = _shortest(list(dict.fromkeys(tuple(row) for row in wanted)))
     return Chunking(tuple(keys), tuple(types), cuts, chunk_rows)
 
 
@@ -122,19 +160,37 @@ def _group(keys: Sequence[str]) -> Column:
     return F.struct(*([quoted(k) for k in keys] or [F.lit(0).alias("all")]))
 
 
+def offset_table(chunked: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """One row per chunk: ``before_<name>`` and ``after_<name>``, the sums over all other chunks."""
+    per_chunk = chunked.groupBy(CHUNK).agg(*[F.sum(v).alias(f"s_{n}") for n, v in sums.items()])
+    # at most MAX_CHUNKS rows
+    line = Window.orderBy(CHUNK)
+    earlier = line.rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    return per_chunk.select(
+        CHUNK,
+        *[F.coalesce(F.sum(f"s_{n}").over(earlier), F.lit(0)).alias(f"before_{n}") for n in sums],
+        *[F.coalesce(F.sum(f"s_{n}").over(later), F.lit(0)).alias(f"after_{n}") for n in sums],
+    )
+
+
 def border_table(
     chunked: DataFrame,
+    chunking: Chunking,
     keys: Sequence[str],
     sums: dict[str, Column] | None = None,
     nearest: dict[str, tuple[Column, Column]] | None = None,
 ) -> DataFrame:
-    """One row per chunk with what its first and last series bring in from other chunks.
+    """One row per chunk that shares a series with a neighbour: what the others contribute.
 
     ``sums``: ``in_<name>`` is the sum over earlier chunks of the chunk's first series, ``out_<name>``
-    the sum over later chunks of its last series, ``before_<name>`` the sum over all earlier chunks.
+    the sum over later chunks of its last series.
     ``nearest``: ``name -> (value, position)``; ``in_``/``out_`` hold the closest non-NULL value.
     """
     sums, nearest = sums or {}, nearest or {}
+    touched = chunking.split_chunks(len(keys))
+    if len(touched) <= len(chunking.cuts) // 2:
+        chunked = chunked.filter(F.col(CHUNK).isin(touched))
     # The position may be any orderable column; NULL values never take part.
     partial = [F.sum(value).alias(f"s_{n}") for n, value in sums.items()]
     for name, (value, position) in nearest.items():
@@ -146,14 +202,12 @@ def border_table(
         .agg(*partial)
         .withColumn("_g", _group(keys))
     )
-    parts = [F.col(f"s_{n}") for n in sums] + [F.col(f"{side}_{n}") for n in nearest for side in "lf"]
-    body = F.struct(*parts)
+    body = F.struct(*[F.col(f"s_{n}") for n in sums], *[F.col(f"{side}_{n}") for n in nearest for side in "lf"])
     per_chunk = summary.groupBy(CHUNK).agg(
         F.min("_g").alias("_first"),
         F.max("_g").alias("_last"),
         F.min_by(body, F.col("_g")).alias("_head"),
         F.max_by(body, F.col("_g")).alias("_tail"),
-        *[F.sum(f"s_{n}").alias(f"all_{n}") for n in sums],
     )
     # at most MAX_CHUNKS rows from here on
     line = Window.orderBy(CHUNK)
@@ -161,12 +215,10 @@ def border_table(
     backward = (
         Window.partitionBy("_first").orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, 0)
     )
-    running = line.rowsBetween(Window.unboundedPreceding, -1)
     out = per_chunk
     for n in sums:
         out = out.withColumn(f"u_{n}", F.sum(f"_tail.s_{n}").over(forward))
         out = out.withColumn(f"v_{n}", F.sum(f"_head.s_{n}").over(backward))
-        out = out.withColumn(f"before_{n}", F.coalesce(F.sum(f"all_{n}").over(running), F.lit(0)))
     for n in nearest:
         out = out.withColumn(f"u_{n}", F.last(F.col(f"_tail.l_{n}"), ignorenulls=True).over(forward))
         out = out.withColumn(f"v_{n}", F.last(F.col(f"_head.f_{n}"), ignorenulls=True).over(backward))
@@ -176,7 +228,7 @@ def border_table(
     for n in [*sums, *nearest]:
         carried.append(F.when(continues, F.lag(f"u_{n}").over(line)).alias(f"in_{n}"))
         carried.append(F.when(continued, F.lead(f"v_{n}").over(line)).alias(f"out_{n}"))
-    return out.select(CHUNK, "_first", "_last", *[F.col(f"before_{n}") for n in sums], *carried)
+    return out.select(CHUNK, "_first", "_last", *carried)
 
 
 def _with_borders(chunked: DataFrame, borders: DataFrame) -> DataFrame:
@@ -211,12 +263,18 @@ def add_running(
     )
     result = {n: F.col(f"_r_{n}") for n in values}
     result |= {f"{n}_total": F.col(f"_t_{n}") for n in totals}
-    if not chunking.single:
-        out = _with_borders(out, border_table(frame, series_key, sums=values))
+    if not series_key and not chunking.single:
+        out = _with_borders(out, offset_table(frame, values))
+        for n in values:
+            result[n] = result[n] + F.col(f"before_{n}")
+        for n in totals:
+            result[f"{n}_total"] = result[f"{n}_total"] + F.col(f"before_{n}") + F.col(f"after_{n}")
+    elif chunking.splits(len(series_key)):
+        out = _with_borders(out, border_table(frame, chunking, series_key, sums=values))
         group = _group(series_key)
         for n in values:
-            earlier = F.when(group == F.col("_first"), F.coalesce(F.col(f"in_{n}"), F.lit(0))).otherwise(0)
-            later = F.when(group == F.col("_last"), F.coalesce(F.col(f"out_{n}"), F.lit(0))).otherwise(0)
+            earlier = F.coalesce(F.when(group == F.col("_first"), F.col(f"in_{n}")), F.lit(0))
+            later = F.coalesce(F.when(group == F.col("_last"), F.col(f"out_{n}")), F.lit(0))
             result[n] = F.col(f"_r_{n}") + earlier
             if n in totals:
                 result[f"{n}_total"] = F.col(f"_t_{n}") + earlier + later
@@ -260,10 +318,14 @@ def with_positions(
     position = F.col("_srn").cast("bigint") - 1
     overall = F.col("_rn").cast("bigint") - 1
     if not chunking.single:
-        out = _with_borders(out, border_table(chunked, series_key, sums={"n": F.lit(1)}))
-        carried = F.when(_group(series_key) == F.col("_first"), F.coalesce(F.col("in_n"), F.lit(0)))
-        position = position + F.coalesce(carried, F.lit(0))
+        out = _with_borders(out, offset_table(chunked, {"n": F.lit(1)}))
         overall = overall + F.col("before_n")
+        if not series_key:
+            position = overall
+        elif chunking.splits(len(series_key)):
+            out = _with_borders(out, border_table(chunked, chunking, series_key, sums={"n": F.lit(1)}))
+            carried = F.when(_group(series_key) == F.col("_first"), F.col("in_n"))
+            position = position + F.coalesce(carried, F.lit(0))
     return out.select(
         *[quoted(c) for c in df.columns], position.alias(POSITION), overall.alias(GLOBAL_POSITION)
     )
@@ -290,7 +352,8 @@ def frame_windows(
     keys = [quoted(k) for k in series_key]
     order = [quoted(k) for k in order_by]
     chunking = find_chunks(df, [*series_key, *order_by], chunk_rows)
-    if chunking.single:
+    if chunking.single or (series_key and not chunking.splits(len(series_key))):
+        # no series is longer than a task can hold
         window = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
         return df.select("*", *[c.alias(n) for n, c in build(window).items()])
     size = max(chunking.chunk_rows, back, ahead)
@@ -341,10 +404,10 @@ def nearest_known(
     out = out.select("*", *[F.last(known[c], ignorenulls=True).over(down).alias(f"_n_{c}") for c in columns])
     before = {c: quoted(f"_p_{c}") for c in columns}
     after = {c: quoted(f"_n_{c}") for c in columns}
-    if not chunking.single:
+    if chunking.splits(len(series_key)):
         position = F.struct(*[quoted(k) for k in order_by])
         numbered = {f"c{i}": (known[c], position) for i, c in enumerate(columns)}
-        out = _with_borders(out, border_table(chunked, series_key, nearest=numbered))
+        out = _with_borders(out, border_table(chunked, chunking, series_key, nearest=numbered))
         group = _group(series_key)
         for i, c in enumerate(columns):
             before[c] = F.coalesce(before[c], F.when(group == F.col("_first"), F.col(f"in_c{i}")))
