@@ -89,36 +89,54 @@ def spearman(df: DataFrame, pairs: Pairs, chunk_rows: int | None = None) -> Data
     return _labelled(sums, df.sparkSession, pairs, r)
 
 
-def kendall(df: DataFrame, pairs: Pairs, chunk_rows: int | None = None) -> DataFrame:
-    """``(a, b, r)``: tau-b.
+RADIX_BITS = 4
+
+
+def _fewer_values_second(counted: DataFrame) -> DataFrame:
+    """Swap x and y of the pairs whose x has fewer distinct values; tau-b does not mind."""
+    sizes = counted.groupBy("pair_id").agg(F.approx_count_distinct("x").alias("nx"), F.approx_count_distinct("y").alias("ny"))
+    swapped = [r["pair_id"] for r in sizes.filter("nx < ny").select("pair_id").collect()]  # one row per pair
+    swap = F.col("pair_id").isin(swapped) if swapped else F.lit(False)
+    x, y = F.col("x"), F.col("y")
+    return counted.select("pair_id", F.when(swap, y).otherwise(x).alias("x"), F.when(swap, x).otherwise(y).alias("y"), "n")
 
-    Two rows with different y first differ at one bit of y's dense rank. So per bit, and per value of
-    the bits above it, rows are summed along x: each row with the bit set is concordant with the rows
-    of smaller x without it. That is N log N work in all, every step a grouped or running sum.
+
+def _concordant(ranked: DataFrame, chunk_rows: int | None) -> DataFrame:
+    """``(pair_id, conc)``: number of pairs of rows ordered alike in x and in the dense rank y.
+
+    Two different ranks first differ at one digit. So per digit, and per value of the digits above it,
+    rows are counted by digit along x, and each row meets the rows of smaller x with a smaller digit.
     """
+    tops = {r["pair_id"]: int(r["top"]) for r in ranked.groupBy("pair_id").agg(F.max("y").alias("top")).collect()}
+    levels = [max(1, -(-tops.get(i, 0).bit_length() // RADIX_BITS)) for i in range(max(tops, default=0) + 1)]
+    last = F.get(F.array(*[F.lit(n - 1) for n in levels]), F.col("pair_id"))
+    by_level = ranked.select("*", F.explode(F.sequence(F.lit(0), last)).alias("level"))
+    digits = range(1 << RADIX_BITS)
+    digit = F.expr(f"shiftright(y, {RADIX_BITS} * level) & {len(digits) - 1}")
+    above = F.expr(f"shiftright(y, {RADIX_BITS} * (level + 1))")
+    counts = by_level.groupBy("pair_id", "level", above.alias("above"), "x").agg(
+        *[F.sum(F.when(digit == d, F.col("n")).otherwise(0)).alias(f"c{d}") for d in digits]
+    )
+    sums = {f"u{d}": F.col(f"c{d}") for d in digits[:-1]}
+    ran = running_sums(materialize(counts, "digits"), ["pair_id", "level", "above"], ["x"], sums, chunk_rows=chunk_rows)
+    smaller, met = F.lit(0), F.lit(0.0)
+    for d in digits[1:]:
+        smaller = smaller + F.col(f"u{d - 1}") - F.col(f"c{d - 1}")
+        met = met + F.col(f"c{d}").cast("double") * smaller.cast("double")
+    return ran.groupBy("pair_id").agg(F.sum(met).alias("conc"))
+
+
+def kendall(df: DataFrame, pairs: Pairs, chunk_rows: int | None = None) -> DataFrame:
+    """``(a, b, r)``: tau-b in N log N work, every step a grouped or running sum."""
     pairs = list(pairs)
-    counted = _counted_pairs(df, pairs)
+    counted = _fewer_values_second(_counted_pairs(df, pairs))
     chunking = find_chunks(counted, ["pair_id", "y", "x"], chunk_rows)
     frame = counted.withColumn(CHUNK, chunking.column())
     frame = add_running(frame, chunking, ["pair_id", "y"], ["x"], {"_nth": F.lit(1)})
     first = (F.col("_nth") == 1).cast("bigint")
     frame = add_running(frame, chunking, ["pair_id"], ["y", "x"], {"_rank": first})
     ranked = materialize(frame.select("pair_id", "x", "n", (F.col("_rank") - 1).alias("y")), "ranks")
-    top = ranked.agg(F.max("y")).first()[0] or 0
-    bits = max(1, int(top).bit_length())
-    bit = F.col("bit")
-    by_bit = ranked.select("pair_id", "x", "y", "n", F.explode(F.sequence(F.lit(0), F.lit(bits - 1))).alias("bit"))
-    is_set = F.expr("(shiftright(y, bit) & 1) = 1")
-    sides = by_bit.groupBy("pair_id", bit, F.expr("shiftright(y, bit + 1)").alias("above"), "x").agg(
-        F.sum(F.when(~is_set, F.col("n")).otherwise(0)).alias("clear"),
-        F.sum(F.when(is_set, F.col("n")).otherwise(0)).alias("set"),
-    )
-    ran = running_sums(
-        materialize(sides, "sides"), ["pair_id", "bit", "above"], ["x"], {"upto": F.col("clear")}, chunk_rows=chunk_rows
-    )
-    concordant = ran.groupBy("pair_id").agg(
-        F.sum(F.col("set").cast("double") * (F.col("upto") - F.col("clear")).cast("double")).alias("conc")
-    )
+    concordant = _concordant(ranked, chunk_rows)
 
     def tied(*keys: str) -> DataFrame:
         size = F.col("t").cast("double")

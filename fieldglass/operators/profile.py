@@ -207,30 +207,82 @@ def _named(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.get(names, F.col("column_id")).alias("column_name"), *rest)
 
 
+SKETCH_ACCURACY = 1_000
+MARGIN = 0.003
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: dict[str, float], chunk_rows: int | None = None
 ) -> DataFrame:
     """Linearly interpolated quantiles per column, exact, with no column gathered in one task.
 
-    Values are counted first, the counts summed along the sorted values chunk by chunk, and the two
-    neighbours of each quantile position picked by an aggregate.
+    A sketch brackets each quantile by two values; one aggregate counts what lies below the bracket
+    and only the values inside are counted, sorted chunk by chunk and searched. A bracket that misses
+    its quantile (the sketch promises it does not) is widened to the whole column.
     """
-    counts = materialize(
-        _long_doubles(df, columns).groupBy("column_id", "value").agg(F.count(F.lit(1)).alias("n")), "counts"
+    slots = [(c, name, p) for c in columns for name, p in probabilities.items()]
+    marks = [q for p in probabilities.values() for q in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
+    sketch = df.agg(
+        *[F.percentile_approx(known_double(df, c), marks, SKETCH_ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)],
+        *[F.count(known_double(df, c)).alias(f"n{i}") for i, c in enumerate(columns)],
+    ).first()
+    sizes = {c: sketch[f"n{i}"] for i, c in enumerate(columns)}
+    brackets: list[tuple[float, float] | None] = []
+    for c, name, p in slots:
+        found, at = sketch[f"q{list(columns).index(c)}"], 2 * list(probabilities).index(name)
+        low = float("-inf") if p <= MARGIN else found and found[at]
+        high = float("inf") if p >= 1 - MARGIN else found and found[at + 1]
+        brackets.append((low, high) if found else None)
+    brackets, below = _checked_brackets(df, slots, sizes, brackets)
+    entries = [
+        {"slot": F.lit(i), "value": F.when((known_double(df, c) >= b[0]) & (known_double(df, c) <= b[1]), known_double(df, c))}
+        for i, ((c, _, _), b) in enumerate(zip(slots, brackets))
+        if b
+    ]
+    if not entries:
+        empty = ", ".join(["column_name string", *[f"{n} double" for n in probabilities]])
+        return df.sparkSession.createDataFrame([], empty)
+    inside = df.select(row_per(entries)).select("r.*").filter(F.col("value").isNotNull())
+    counts = materialize(inside.groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n")), "counts")
+    ran = running_sums(counts, ["slot"], ["value"], {"cum": F.col("n")}, chunk_rows=chunk_rows)
+
+    def per_slot(values, kind: str) -> Column:
+        return F.get(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("slot"))
+
+    targets = [(sizes[c] - 1) * p for c, _, p in slots]
+    upto = F.col("cum") + per_slot(below, "bigint")
+    low = per_slot([int(t) for t in targets], "bigint")
+    high = per_slot([min(int(t) + 1, max(sizes[c] - 1, 0)) for t, (c, _, _) in zip(targets, slots)], "bigint")
+    picked = ran.groupBy("slot").agg(
+        F.min(F.when(upto > low, F.col("value"))).alias("lo"), F.min(F.when(upto > high, F.col("value"))).alias("hi")
+    )
+    weight = per_slot([t - int(t) for t in targets], "double")
+    value = F.col("lo") + weight * (F.col("hi") - F.col("lo"))
+    shown = picked.select(
+        per_slot([c for c, _, _ in slots], "string").alias("column_name"), per_slot([n for _, n, _ in slots], "string").alias("name"), value.alias("v")
     )
-    ran = running_sums(counts, ["column_id"], ["value"], {"cum": F.col("n")}, ["cum"], chunk_rows)
-    last = F.col("cum_total") - 1
-    picks, out = [], []
-    for name, p in probabilities.items():
-        at = last.cast("double") * F.lit(p)
-        low = F.floor(at)
-        picks += [
-            F.min(F.when(F.col("cum") > low, F.col("value"))).alias(f"lo_{name}"),
-            F.min(F.when(F.col("cum") > F.least(low + 1, last), F.col("value"))).alias(f"hi_{name}"),
-            F.max(at - low).alias(f"w_{name}"),
-        ]
-        out.append((F.col(f"lo_{name}") + F.col(f"w_{name}") * (F.col(f"hi_{name}") - F.col(f"lo_{name}"))).alias(name))
-    return _named(ran.groupBy("column_id").agg(*picks).select("column_id", *out), columns)
+    # one row per column and quantile
+    return shown.groupBy("column_name").agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n in probabilities])
+
+
+def _checked_brackets(df: DataFrame, slots, sizes: dict, brackets: list):
+    """Brackets known to hold their quantile positions, and how many values lie below each."""
+    measures = [F.lit(1).alias("one")]
+    for i, ((c, _, _), b) in enumerate(zip(slots, brackets)):
+        if b:
+            measures.append(F.count_if(known_double(df, c) < b[0]).alias(f"b{i}"))
+            measures.append(F.count_if(known_double(df, c) <= b[1]).alias(f"u{i}"))
+    row = df.agg(*measures).first()
+    checked, below = [], []
+    for i, ((c, _, p), b) in enumerate(zip(slots, brackets)):
+        at = int((sizes[c] - 1) * p)
+        if b and not (row[f"b{i}"] <= at and row[f"u{i}"] > min(at + 1, sizes[c] - 1)):
+            checked.append((float("-inf"), float("inf")))
+            below.append(0)
+        else:
+            checked.append(b)
+            below.append(row[f"b{i}"] if b else 0)
+    return checked, below
 
 
 QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
