@@ -302,13 +302,12 @@ def univariate_selection(
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """``(label, n, weight)`` with weight ``N / (k * n)``."""
-    every = Window.partitionBy()
-    return (
-        df.filter(quoted(label).isNotNull())
-        .groupBy(quoted(label).alias("label"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("label", "n", (F.sum("n").over(every) / (F.count(F.lit(1)).over(every) * F.col("n"))).alias("weight"))
+    counts = (
+        df.filter(quoted(label).isNotNull()).groupBy(quoted(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     )
+    total = counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes")).first()
+    rows, classes = float(total["rows"] or 0), float(total["classes"])
+    return counts.select("label", "n", F.try_divide(F.lit(rows), F.lit(classes) * F.col("n")).alias("weight"))
 
 
 def oversample(df: DataFrame, label: str, key: Sequence[str], seed: int = 42) -> DataFrame:

@@ -126,17 +126,17 @@ def read_csv_files(
     in ``rejected(path, reason)`` and skipped.
     """
     rejected: list[tuple[str, str]] = []
-    present = []
-    for path in files:
-        if path_exists(spark, path):
-            present.append(path)
-        else:
-            rejected.append((path, "not found"))
+    present = list(files)
+    try:
+        list_files(spark, present)
+    except AnalysisException:  # some path does not exist: find out which
+        present = [path for path in files if path_exists(spark, path)]
+        rejected += [(path, "not found") for path in files if path not in set(present)]
     frames = []
     if present:
-        listed = list_files(spark, present)
-        rejected += [(r["path"], "empty file") for r in listed.filter("length = 0").select("path").collect()]
-        good = [r["path"] for r in listed.filter("length > 0").select("path").collect()]
+        listed = list_files(spark, present).select("path", "length").collect()
+        rejected += [(r["path"], "empty file") for r in listed if r["length"] == 0]
+        good = [r["path"] for r in listed if r["length"] > 0]
         groups = _grouped(spark, good, rejected) if good else []
         for paths in groups:
             for batch in _readable(spark, paths, rejected):

@@ -47,3 +47,12 @@ def test_wide_and_long_pearson_agree(spark, frame, monkeypatch):
     monkeypatch.setattr(association, "WIDE_PAIRS", 0)
     long = sorted(map(tuple, association.pearson(df, pairs).collect()))
     assert [(a, b, round(r, 12)) for a, b, r in wide] == [(a, b, round(r, 12)) for a, b, r in long]
+
+
+def test_matrix_and_aggregate_agree(spark, frame, monkeypatch):
+    df = spark.createDataFrame(frame.dropna())
+    pairs = [("t", "x"), ("t", "z"), ("x", "z"), ("t", "c")]
+    aggregate = sorted(map(tuple, association.pearson(df, pairs).collect()))
+    monkeypatch.setattr(association, "MATRIX_PAIRS", 0)
+    matrix = sorted(map(tuple, association.pearson(df, pairs).collect()))
+    assert [(a, b, round(r, 9)) for a, b, r in aggregate] == [(a, b, round(r, 9)) for a, b, r in matrix]
