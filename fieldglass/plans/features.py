@@ -107,7 +107,8 @@ def run_features(spark: SparkSession, cfg: FeatureConfig) -> FeatureResult:
             per_target.setdefault(row["target"], []).append(row["feature"])
         targets, _ = schema.resolve_targets(result.table.columns, cfg.targets)
         per_target = {t: sorted(per_target.get(t, [])) for t in targets}
-        artifacts = sinks.write_selected_features(result.table, f"{cfg.output_path}/data", per_target, targets)
+        axis = [schema.clean_name(c) for c in (*cfg.series_key, *cfg.order_by)]
+        artifacts = sinks.write_selected_features(result.table, f"{cfg.output_path}/data", per_target, targets, axis)
         sinks.write_report(result.metadata, f"{cfg.output_path}/metadata")
         artifacts.append(("metadata", f"{cfg.output_path}/metadata", result.metadata.schema.json()))
         catalog = cfg.catalog_path or f"{cfg.output_path}/catalog"

@@ -57,13 +57,16 @@ def read_report(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
 
 
 def write_selected_features(
-    df: DataFrame, path: str, features: dict[str, Sequence[str]], targets: Sequence[str]
+    df: DataFrame, path: str, features: dict[str, Sequence[str]], targets: Sequence[str], keys: Sequence[str] = ()
 ) -> list[tuple[str, str, str]]:
-    """Write all selected columns, and per target its own; ``(artifact, path, schema as JSON)`` each."""
+    """Write all selected columns, and per target its own; ``(artifact, path, schema as JSON)`` each.
+
+    ``keys`` (series key and order columns) lead every table, so that its rows can be ordered again.
+    """
     union = list(dict.fromkeys(f for chosen in features.values() for f in chosen))
-    artifacts = [("selected_features", f"{path}/all", project_features(df, union, targets))]
+    artifacts = [("selected_features", f"{path}/all", project_features(df, [*keys, *union], targets))]
     for target in targets:
-        artifacts.append((f"features_{target}", f"{path}/target={target}", project_features(df, features.get(target, []), [target])))
+        artifacts.append((f"features_{target}", f"{path}/target={target}", project_features(df, [*keys, *features.get(target, [])], [target])))
     for _, where, table in artifacts:
         table.write.mode("overwrite").parquet(where)
     return [(name, where, table.schema.json()) for name, where, table in artifacts]
