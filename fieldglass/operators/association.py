@@ -95,12 +95,11 @@ def _with_average_rank(counted: DataFrame, value: str, other: str, output: str,
 def spearman(df: DataFrame, pairs: Pairs, chunk_rows: int | None = None) -> DataFrame:
     """``(a, b, r)``: Pearson's r of the average ranks."""
     pairs = list(pairs)
-    ranked = _with_average_rank(_counted_pairs(df, pairs), "x", "y", "rx", chunk_rows)
-    ranked = _with_average_rank(materialize(ranked, "ranks"), "y", "x", "ry", chunk_rows)
+    half = materialize(_with_average_rank(_counted_pairs(df, pairs), "x", "y", "rx", chunk_rows), "ranks")
+    ranked = _with_average_rank(half, "y", "x", "ry", chunk_rows)
     weight = F.col("n").cast("double")
-    total = F.sum(weight)
     # ranks have mean (N + 1) / 2; centring on it keeps the sums exact enough at any N
-    sizes = ranked.groupBy("pair_id").agg(((F.sum("n") + 1) / F.lit(2.0)).alias("mid"))
+    sizes = half.groupBy("pair_id").agg(((F.sum("n") + 1) / F.lit(2.0)).alias("mid"))
     centred = ranked.join(F.broadcast(sizes), "pair_id").select(
         "pair_id", weight.alias("w"), (F.col("rx") - F.col("mid")).alias("u"), (F.col("ry") - F.col("mid")).alias("v")
     )

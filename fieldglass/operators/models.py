@@ -254,8 +254,9 @@ def _sequences(
 ) -> DataFrame:
     """Look-back features (and aligned exogenous ones) with label and chronological part, written once."""
     table = minmax_exogenous(df, exogenous) if exogenous else df
+    # the parts are known before the sequences are built, so only narrow rows are ordered for them
+    table = materialize(chronological_split(table, order_by, series_key, test_size, skip=lookback, chunk_rows=chunk_rows), "split")
     table = lookback_sequences(table, target, order_by, series_key, lookback, scaled, chunk_rows)
-    table = chronological_split(table, order_by, series_key, test_size, chunk_rows=chunk_rows)
     past = F.col("sequence")
     with_exogenous = F.concat(past, F.array(*[quoted(c) for c in exogenous])) if exogenous else past
     keep = list(dict.fromkeys([*series_key, *order_by]))

@@ -305,7 +305,7 @@ def with_positions(
     chunk_rows: int | None = None,
     chunking: Chunking | None = None,
 ) -> DataFrame:
-    """Add dense 0-based positions: ``_pos`` within the series, ``_gpos`` over the whole table."""
+    """Add (or renew) dense 0-based positions: ``_pos`` in the series, ``_gpos`` in the whole table."""
     chunking = chunking or find_chunks(df, [*series_key, *order_by], chunk_rows)
     chunked = df.withColumn(CHUNK, chunking.column())
     keys = [quoted(k) for k in series_key]
@@ -326,9 +326,8 @@ def with_positions(
             out = _with_borders(out, border_table(chunked, chunking, series_key, sums={"n": F.lit(1)}))
             carried = F.when(_group(series_key) == F.col("_first"), F.col("in_n"))
             position = position + F.coalesce(carried, F.lit(0))
-    return out.select(
-        *[quoted(c) for c in df.columns], position.alias(POSITION), overall.alias(GLOBAL_POSITION)
-    )
+    kept = [quoted(c) for c in df.columns if c not in (POSITION, GLOBAL_POSITION)]
+    return out.select(*kept, position.alias(POSITION), overall.alias(GLOBAL_POSITION))
 
 
 # --- row-frame windows ---------------------------------------------------------------------------

@@ -19,6 +19,7 @@ from ..functions.calendar import (
     month_flags,
 )
 from ..functions.missing import fields, known, known_double, quoted, row_per
+from ..sources.scratch import materialize
 from .encode import fit_range, minmax_column
 from .impute import fit_means
 from .ordered import POSITION, frame_windows, nearest_known, with_positions
@@ -100,6 +101,7 @@ def impute_ffill(
     carried = nearest_known(_clean(df, columns), columns, series_key, order_by, chunk_rows)
     forward = {c: quoted(f"_prev_{c}")["value"].cast("double") for c in columns}
     filled = carried.select(*[forward[c].alias(c) if c in forward else quoted(c) for c in df.columns])
+    filled = materialize(filled, "filled")  # read for the means, then for the result
     means = fit_means(filled, columns)
     return filled.select(
         *[F.coalesce(quoted(c), F.lit(means[c]).cast("double")).alias(c) if c in means else quoted(c) for c in df.columns]
@@ -243,14 +245,16 @@ def chronological_split(
     series_key: Names = (),
     test_size: float = 0.2,
     validation_size: float = 0.1,
+    skip: int = 0,
     chunk_rows: int | None = None,
 ) -> DataFrame:
     """Add ``part``: the first ``int(n * (1 - test_size))`` rows train, their last tenth validates, the
-    rest test; per series."""
+    rest test; per series. The first ``skip`` rows of a series do not count and get no part."""
     placed = _placed_with_size(df, series_key, order_by, chunk_rows)
-    train = F.floor(F.col("_size") * F.lit(1 - test_size))
+    train = F.floor((F.col("_size") - skip) * F.lit(1 - test_size))
     fit = F.floor(train * F.lit(1 - validation_size))
-    part = F.when(F.col(POSITION) < fit, "train").when(F.col(POSITION) < train, "validation").otherwise("test")
+    at = F.col(POSITION) - skip
+    part = F.when(at < 0, None).when(at < fit, "train").when(at < train, "validation").otherwise("test")
     return placed.select(*[quoted(c) for c in df.columns], part.alias("part"))
 
 
@@ -313,29 +317,30 @@ def transform_series(
 ) -> DataFrame:
     """Add ``<target>_detrended`` (residual of the line over positions), ``_difference`` and ``_log``."""
     y = known_double(df, target)
-    placed = with_positions(df, series_key, order_by, chunk_rows).drop("_gpos")
+    placed = materialize(with_positions(df, series_key, order_by, chunk_rows).drop("_gpos"), "placed")
     at = F.col(POSITION).cast("double")
     keys = list(series_key)
+
+    def build(w) -> dict[str, Column]:
+        return {f"{target}_difference": y - F.lag(y, 1).over(w)}
+
+    stepped = frame_windows(placed, series_key, order_by, build, 1, 0, chunk_rows)
     lines = placed.groupBy(*[quoted(k) for k in keys]).agg(
         F.regr_slope(y, at).alias("_slope"), F.regr_intercept(y, at).alias("_icept")
     )
     if keys:
         # AQE broadcasts the fitted lines if they are few and splits hot series otherwise
-        joined = placed.join(lines, keys, "left")
+        joined = stepped.join(lines, keys, "left")
     else:
         line = lines.first()
-        joined = placed.select("*", F.lit(line[0]).cast("double").alias("_slope"), F.lit(line[1]).cast("double").alias("_icept"))
-    trended = joined.select(
+        joined = stepped.select("*", F.lit(line[0]).cast("double").alias("_slope"), F.lit(line[1]).cast("double").alias("_icept"))
+    return joined.select(
         *[quoted(c) for c in df.columns],
         (y - (F.col("_icept") + F.col("_slope") * at)).alias(f"{target}_detrended"),
+        quoted(f"{target}_difference"),
         F.when(y > 0, F.ln(y)).alias(f"{target}_log"),
     )
 
-    def build(w) -> dict[str, Column]:
-        return {f"{target}_difference": y - F.lag(y, 1).over(w)}
-
-    return frame_windows(trended, series_key, order_by, build, 1, 0, chunk_rows)
-
 
 def decompose(
     df: DataFrame,
@@ -362,8 +367,8 @@ def decompose(
             total = total - (F.lag(y, half).over(w) + F.lead(y, half).over(w)) / 2
         return {"trend": F.when(full, total / period)}
 
-    placed = with_positions(df, series_key, order_by, chunk_rows).drop("_gpos")
-    trended = frame_windows(placed, series_key, order_by, build, half, half, chunk_rows)
+    placed = materialize(with_positions(df, series_key, order_by, chunk_rows).drop("_gpos"), "placed")
+    trended = materialize(frame_windows(placed, series_key, order_by, build, half, half, chunk_rows), "trend")
     additive = model == "additive"
     detrended = y - F.col("trend") if additive else F.try_divide(y, F.col("trend"))
     keys = [quoted(k) for k in series_key]
@@ -431,7 +436,7 @@ def full_ts_prepare(
         timed = parse_and_sort(df, time_column, "ts")
         order = ["ts", *[c for c in order_by if c not in ("ts", time_column)]]
     else:
-        timed = artificial_daily_index(df, order_by, series_key, "ts", chunk_rows=chunk_rows)
+        timed = materialize(artificial_daily_index(df, order_by, series_key, "ts", chunk_rows=chunk_rows), "timed")
         order = ["ts"]
     # interpolation leaves only a gap at the start, which the backward fill closes in the same pass
     filled = interpolate_time(timed, columns, order, series_key, backfill=True, chunk_rows=chunk_rows)

@@ -99,3 +99,35 @@ def test_cut_points_of_every_type(spark, events):
             (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(column, "event_id")) - 1).alias("_pos"),
         )
         assert rows(got, "event_id", "_pos") == rows(want, "event_id", "_pos")
+
+
+def test_chained_operators_on_split_series(spark, events):
+    """Trend, seasons and differences of one long series, cut and uncut."""
+    from fieldglass.operators import series
+
+    base = events.select("event_id", "ts", "value")
+    for run in (
+        lambda size: series.decompose(base, "value", ["ts", "event_id"], period=7, chunk_rows=size),
+        lambda size: series.transform_series(base, "value", ["ts", "event_id"], chunk_rows=size),
+        lambda size: series.rolling_stats(base, "value", ["ts", "event_id"], windows=(7, 14), chunk_rows=size),
+    ):
+        cut, whole = run(60), run(10_000)
+        shown = [F.round(c, 8).alias(c) if t == "double" else F.col(c) for c, t in whole.dtypes]
+        assert rows(cut.select(*shown), *whole.columns) == rows(whole.select(*shown), *whole.columns)
+
+
+def test_cuts_are_short_unless_a_series_is_hot(skewed):
+    chunking = ordered.find_chunks(skewed, ["u", "ts", "event_id"], 100)
+    inner = [cut for cut in chunking.cuts if cut[1] is not None]
+    assert inner and {cut[0] for cut in inner} == {"1"}
+    assert all(cut[2] is None for cut in chunking.cuts)
+    assert len(chunking.split_chunks(1)) <= len(inner) + 1
+
+
+def test_search_over_many_cuts(skewed, monkeypatch):
+    by_tree = rows(ordered.with_positions(skewed, ["u"], ["ts", "event_id"], 60), "event_id", "_pos", "_gpos")
+    monkeypatch.setattr(ordered, "TREE_CUTS", 0)
+    assert rows(ordered.with_positions(skewed, ["u"], ["ts", "event_id"], 60), "event_id", "_pos", "_gpos") == by_tree
+    single = rows(ordered.with_positions(skewed, [], ["ts", "event_id"], 60), "event_id", "_pos")
+    monkeypatch.setattr(ordered, "TREE_CUTS", 1000)
+    assert rows(ordered.with_positions(skewed, [], ["ts", "event_id"], 60), "event_id", "_pos") == single
