@@ -38,3 +38,11 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application. Call it once their results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{scratch_root(spark)}/fieldglass/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
