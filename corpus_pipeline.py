@@ -5,13 +5,32 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldglass.llm import packing, secret_scan
+from fieldglass.llm import crf_lines, ngram_join, packing, secret_scan, site_quality
 from fieldglass.sources.scratch import materialize
 
 #: SQL cannot express the stages' methods; tests/llm compares them with brute force.
 ORACLE_SQL = None
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    return site_quality.keep_good(docs, _labels(spark, sf_dir))
+
+
+def keep_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose lines are mostly content and that pass the base rules."""
+    return crf_lines.keep_content(docs, crf_lines.fit_on(docs, _labels(spark, sf_dir)))
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five words, similarity 0.8 or more."""
+    return ngram_join.keep_one(docs, window=5, share=(80, 100))
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets masked."""
     return secret_scan.mask(docs, "text", "n_chars")
@@ -23,6 +42,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("quality classifier", keep_good_quality),
+    ("quality rules", keep_content),
+    ("n-gram Jaccard join", keep_one_of_each_group),
     ("secret scans", mask_secrets),
     ("best-fit packing", pack_sequences),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, secret_scan, sharding, warc
+from . import bpe, cap_filters, crf_lines, html_wrapper, ngram_join, packing, secret_scan, sharding, site_quality, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,23 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return crf_lines.label_documents(docs, crf_lines.fit_on(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), BPE_RANKS)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.duplicate_groups(read_table(spark, sf_dir, "documents"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read_table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
 
@@ -33,15 +46,23 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), PACKING_TOKENIZER).drop("ids")
 
 
 QUERIES: dict[str, Query] = {
-    "op1_warc": op1_warc,
-    "op3_byte_bpe": op3_byte_bpe,
-    "op6_sharding": op6_sharding,
-    "op7_secrets": op7_secrets,
-    "op10_packing": op10_packing,
-}
+    query.__name__: query
+    for query in (
+        op1_warc, op2_line_rules, op3_byte_bpe, op4_ngram_join, op5_html_text, op6_sharding, op7_secrets, op8_site_quality, op9_cap_filters, op10_packing,
+    )
+}
+#: No oracles: SQL cannot express the methods; tests/llm compares every query with brute force or a library.
 ORACLES: dict[str, str] = {}
