@@ -100,6 +100,59 @@ def hour_onehot_dates_only(spark, sf_dir):
     return series.hour_onehot(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate")
 
 
+# --- missing keys --------------------------------------------------------------------------------
+
+# Two thirds of the rows belong to no user, the others to two users.
+NO_USER = "CASE WHEN event_id % 6 = 0 THEN 1 WHEN event_id % 6 = 1 THEN 2 END"
+
+
+def keyless_events(spark, sf_dir):
+    return table(spark, sf_dir, "events").selectExpr("event_id", "ts", f"{NO_USER} AS u", "value")
+
+
+@check(
+    "artificial_daily_index_null_key",
+    "SELECT event_id, CAST(DATE '2020-01-01' + CAST(row_number() OVER (PARTITION BY u ORDER BY ts, event_id) - 1 AS INTEGER) AS DATE) AS day "
+    f"FROM (SELECT *, {NO_USER} AS u FROM events) e",
+)
+def artificial_daily_index_null_key(spark, sf_dir):
+    return series.artificial_daily_index(keyless_events(spark, sf_dir), ORDER, ["u"], "day", chunk_rows=300).select("event_id", "day")
+
+
+@check(
+    "lags_null_key",
+    "SELECT event_id, lag(value, 1) OVER w AS value_lag_1, lag(value, 2) OVER w AS value_lag_2 "
+    f"FROM (SELECT *, {NO_USER} AS u FROM events) e WINDOW w AS (PARTITION BY u ORDER BY ts, event_id)",
+)
+def lags_null_key(spark, sf_dir):
+    out = series.lags(keyless_events(spark, sf_dir), "value", ORDER, ["u"], max_lag=2, chunk_rows=300)
+    return out.select("event_id", "value_lag_1", "value_lag_2")
+
+
+@check(
+    "impute_ffill_null_order",
+    "SELECT event_id, round(coalesce(f, avg(f) OVER ()), 6) AS value FROM (SELECT event_id, last_value(value IGNORE NULLS) OVER "
+    "(ORDER BY t NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) AS f FROM "
+    "(SELECT event_id, CASE WHEN event_id % 3 > 0 THEN ts END AS t, CASE WHEN event_id % 11 > 0 THEN value END AS value FROM events) g) x",
+)
+def impute_ffill_null_order(spark, sf_dir):
+    gapped = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "CASE WHEN event_id % 3 > 0 THEN ts END AS t", "CASE WHEN event_id % 11 > 0 THEN value END AS value"
+    )
+    return rounded(series.impute_ffill(gapped, ["value"], ["t", "event_id"], chunk_rows=300).select("event_id", "value"))
+
+
+@check(
+    "transform_series_null_key",
+    "SELECT event_id, round(value - (ic + sl * p), 6) AS value_detrended FROM (SELECT event_id, value, p, regr_slope(value, p) OVER (PARTITION BY u) AS sl, "
+    "regr_intercept(value, p) OVER (PARTITION BY u) AS ic FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY ts, event_id) - 1.0 AS p "
+    f"FROM (SELECT *, {NO_USER} AS u FROM events) e) f) g",
+)
+def transform_series_null_key(spark, sf_dir):
+    out = series.transform_series(keyless_events(spark, sf_dir), "value", ORDER, ["u"], chunk_rows=300)
+    return rounded(out.select("event_id", "value_detrended"))
+
+
 # --- gaps ----------------------------------------------------------------------------------------
 
 
@@ -343,6 +396,20 @@ def decompose_multiplicative(spark, sf_dir):
     return rounded(out.drop("y"))
 
 
+NO_TYPE = "nullif(event_type, 'view')"
+
+
+@check(
+    "decompose_null_key",
+    _decomposed(7, False)
+    .replace("d.event_type = s.event_type", "d.event_type IS NOT DISTINCT FROM s.event_type")
+    .replace(f"({DAILY})", f"(SELECT {NO_TYPE} AS event_type, day, y FROM ({DAILY}) r)"),
+)
+def decompose_null_key(spark, sf_dir):
+    series_without_name = daily(spark, sf_dir).selectExpr(f"{NO_TYPE} AS event_type", "day", "y")
+    return rounded(series.decompose(series_without_name, "y", ["day"], ["event_type"]).drop("y"))
+
+
 # --- forecasts -----------------------------------------------------------------------------------
 
 

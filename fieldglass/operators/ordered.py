@@ -4,7 +4,8 @@ Rows are cut into *chunks*: contiguous ranges of the sort key ``(series key, ord
 cut points are literals, so the chunk of a row is a pure function of the row and stays the same when
 a task is recomputed. A hot series is spread over as many chunks as it needs. What crosses a chunk
 border travels through a small table with one row per chunk (at most ``MAX_CHUNKS``), which is
-therefore safe to broadcast and to order in one task.
+therefore safe to broadcast and to order in one task. Beyond ``MAX_CHUNKS`` chunks of the largest size
+chunks grow; a task sorts its chunk with spilling.
 
 The order columns, together with the series key, must identify a row.
 """
@@ -27,7 +28,6 @@ MAX_CHUNKS = 20_000
 SAMPLES_PER_CHUNK = 16
 MOST_CHUNK_ROWS = 1_000_000
 LEAST_CHUNK_ROWS = 2_000
-TREE_CUTS = 32
 
 CHUNK = "_chunk"
 GLOBAL_POSITION = "_gpos"
@@ -50,8 +50,9 @@ def _sort_key(name: str, dtype: T.DataType) -> tuple[Column, T.DataType]:
 class Chunking:
     """Sort key of a table and the cut points found for it.
 
-    A cut point is written as short as it can be: ``None`` stands for "before every value", so a cut
-    inside a series shows that this series is too long for one chunk.
+    A cut point is written as short as it can be: keys that it leaves out stand for "before every value",
+    ``None`` is the NULL key, which sorts before all others. A cut that names more than the series key lies
+    inside a series, which is then too long for one chunk.
     """
 
     keys: tuple[str, ...]
@@ -65,7 +66,7 @@ class Chunking:
 
     def split_chunks(self, depth: int) -> list[int]:
         """Chunks next to a cut that lies inside a group of the first ``depth`` keys."""
-        inner = [i for i, cut in enumerate(self.cuts) if any(part is not None for part in cut[depth:])]
+        inner = [i for i, cut in enumerate(self.cuts) if len(cut) > depth]
         return sorted({c for i in inner for c in (i, i + 1)})
 
     def splits(self, depth: int) -> bool:
@@ -76,19 +77,18 @@ class Chunking:
         count = len(self.cuts)
         if not count:
             return F.lit(0)
-        width = max(sum(part is not None for part in cut) for cut in self.cuts)
+        width = max(map(len, self.cuts))
         keys = [_sort_key(k, t) for k, t in zip(self.keys[:width], self.types)]
-        if count <= TREE_CUTS:
-            return self._tree(keys, 0, count)
-        names = [f"k{i}" for i in range(width)]
-        texts = json.dumps([dict(zip(names, cut)) for cut in self.cuts])
-        as_text = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-        typed = T.ArrayType(T.StructType([T.StructField(n, t) for n, (_, t) in zip(names, keys)]))
-        # one literal after constant folding
-        table = F.from_json(F.lit(texts), as_text).cast(typed)
-        key = F.struct(*[value.alias(n) for n, (value, _) in zip(names, keys)])
-        if width == 1:
-            table, key = table["k0"], keys[0][0]
+        # Before each key stands whether the cut has it, so that "before every value" differs from NULL.
+        parts = [(f"h{i}", f"k{i}", dtype) for i, (_, dtype) in enumerate(keys)]
+        texts = json.dumps([{n: v for i, (h, k, _) in enumerate(parts) for n, v in ((h, int(i < len(cut))), (k, cut[i] if i < len(cut) else None))} for cut in self.cuts])
+
+        def row_type(of: Callable[[T.DataType], T.DataType]) -> T.ArrayType:
+            return T.ArrayType(T.StructType([f for h, k, t in parts for f in (T.StructField(h, T.IntegerType()), T.StructField(k, of(t)))]))
+
+        # one literal after constant folding; structs compare field by field, NULL first
+        table = F.from_json(F.lit(texts), row_type(lambda _: T.StringType())).cast(row_type(lambda t: t))
+        key = F.struct(*[c for (h, k, _), (value, _) in zip(parts, keys) for c in (F.lit(1).alias(h), value.alias(k))])
         strides = [1 << bit for bit in range(count.bit_length() - 1, -1, -1)]
         return F.aggregate(
             F.array(*[F.lit(s) for s in strides]),
@@ -98,18 +98,6 @@ class Chunking:
             ).otherwise(at),
         )
 
-    def _tree(self, keys: list, low: int, high: int) -> Column:
-        """Nested comparisons: compiled code for a small number of cuts."""
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        reached = F.lit(True)
-        for (value, dtype), part in reversed(list(zip(keys, self.cuts[middle]))):
-            if part is not None:
-                cut = F.lit(part).cast(dtype)
-                reached = (value > cut) | ((value == cut) & reached)
-        return F.when(reached, self._tree(keys, middle + 1, high)).otherwise(self._tree(keys, low, middle))
-
 
 def _shortest(cuts: list[tuple]) -> tuple[tuple[str | None, ...], ...]:
     """Each cut reduced to the fewest leading keys that no other cut shares."""
@@ -117,7 +105,7 @@ def _shortest(cuts: list[tuple]) -> tuple[tuple[str | None, ...], ...]:
     out = []
     for cut in cuts:
         length = next((n for n in range(1, len(cut)) if shared[n][cut[:n]] == 1), len(cut))
-        out.append(cut[:length] + (None,) * (len(cut) - length))
+        out.append(cut[:length])
     return tuple(dict.fromkeys(out))
 
 
@@ -136,6 +124,8 @@ def find_chunks(df: DataFrame, keys: Sequence[str], chunk_rows: int | None = Non
         parts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         chunk_rows = min(MOST_CHUNK_ROWS, max(LEAST_CHUNK_ROWS, ceil(rows / parts)))
     chunks = min(MAX_CHUNKS, ceil(rows / chunk_rows))
+    if chunks == MAX_CHUNKS:
+        chunk_rows = max(chunk_rows, ceil(rows / chunks))
     cuts: tuple = ()
     if chunks > 1:
         every = max(1, rows // (chunks * SAMPLES_PER_CHUNK))

@@ -7,6 +7,7 @@ tasks; ``chunk_rows`` says how many rows a task should hold.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,7 +55,8 @@ def artificial_daily_index(
 ) -> DataFrame:
     """Row number i of the series becomes the day ``start + i``."""
     placed = with_positions(df, series_key, order_by, chunk_rows)
-    day = F.date_add(F.lit(start).cast("date"), F.col(POSITION).cast("int"))
+    # NULL for rows so late that their day has no number
+    day = F.date_add(F.lit(start).cast("date"), F.col(POSITION).try_cast("int"))
     return placed.select(*[quoted(c) for c in df.columns], day.alias(output))
 
 
@@ -312,6 +314,13 @@ def stationarity(
     )
 
 
+def _join_on_series(rows: DataFrame, parameters: DataFrame, keys: Names) -> DataFrame:
+    """Rows with the parameters of their series; the NULL series has its own."""
+    named = parameters.select(*[quoted(k).alias(f"_of_{i}") for i, k in enumerate(keys)], *[c for c in parameters.columns if c not in keys])
+    same = [quoted(k).eqNullSafe(F.col(f"_of_{i}")) for i, k in enumerate(keys)]
+    return rows.join(named, reduce(lambda a, b: a & b, same), "left").drop(*[f"_of_{i}" for i in range(len(keys))])
+
+
 def transform_series(
     df: DataFrame, target: str, order_by: Names, series_key: Names = (), chunk_rows: int | None = None
 ) -> DataFrame:
@@ -330,7 +339,7 @@ def transform_series(
     )
     if keys:
         # AQE broadcasts the fitted lines if they are few and splits hot series otherwise
-        joined = stepped.join(lines, keys, "left")
+        joined = _join_on_series(stepped, lines, keys)
     else:
         line = lines.first()
         joined = stepped.select("*", F.lit(line[0]).cast("double").alias("_slope"), F.lit(line[1]).cast("double").alias("_icept"))
@@ -378,7 +387,7 @@ def decompose(
     seasons = means.select(
         *keys, "_phase", (F.col("_mean") - centre if additive else F.try_divide(F.col("_mean"), centre)).alias("seasonal")
     )
-    joined = phased.join(seasons if series_key else F.broadcast(seasons), [*series_key, "_phase"], "left")
+    joined = _join_on_series(phased, seasons if series_key else F.broadcast(seasons), [*series_key, "_phase"])
     rest = (
         y - F.col("trend") - F.col("seasonal")
         if additive

@@ -118,16 +118,43 @@ def test_chained_operators_on_split_series(spark, events):
 
 def test_cuts_are_short_unless_a_series_is_hot(skewed):
     chunking = ordered.find_chunks(skewed, ["u", "ts", "event_id"], 100)
-    inner = [cut for cut in chunking.cuts if cut[1] is not None]
+    inner = [cut for cut in chunking.cuts if len(cut) > 1]
     assert inner and {cut[0] for cut in inner} == {"1"}
-    assert all(cut[2] is None for cut in chunking.cuts)
+    assert all(len(cut) < 3 for cut in chunking.cuts)
     assert len(chunking.split_chunks(1)) <= len(inner) + 1
 
 
-def test_search_over_many_cuts(skewed, monkeypatch):
-    by_tree = rows(ordered.with_positions(skewed, ["u"], ["ts", "event_id"], 60), "event_id", "_pos", "_gpos")
-    monkeypatch.setattr(ordered, "TREE_CUTS", 0)
-    assert rows(ordered.with_positions(skewed, ["u"], ["ts", "event_id"], 60), "event_id", "_pos", "_gpos") == by_tree
-    single = rows(ordered.with_positions(skewed, [], ["ts", "event_id"], 60), "event_id", "_pos")
-    monkeypatch.setattr(ordered, "TREE_CUTS", 1000)
-    assert rows(ordered.with_positions(skewed, [], ["ts", "event_id"], 60), "event_id", "_pos") == single
+@pytest.mark.parametrize("chunk_rows", [5, 12, 30, 90, 400])
+@pytest.mark.parametrize("where", ["series", "order", "both"])
+def test_null_keys_beside_a_second_long_group(events, chunk_rows, where):
+    """NULL series and NULL order values sort first; both the NULL group and another group are longer than a chunk."""
+    some = F.col("event_id") % 3
+    frame = events.select(
+        "event_id",
+        F.when(some == 0, F.lit(None) if where != "order" else F.lit(0)).when(some == 1, 5).otherwise(F.col("user_id") + 10).alias("u"),
+        (F.col("ts") if where == "series" else F.when(F.col("event_id") % 2 == 0, F.col("ts"))).alias("t"),
+        F.when(F.col("event_id") % 4 > 0, F.col("value")).alias("v"),
+    )
+    series = Window.partitionBy("u").orderBy("t", "event_id")
+    every = Window.partitionBy(F.lit(0)).orderBy("u", "t", "event_id")
+    want = frame.select("event_id", (F.row_number().over(series) - 1).alias("_pos"), (F.row_number().over(every) - 1).alias("_gpos"))
+    got = ordered.with_positions(frame, ["u"], ["t", "event_id"], chunk_rows)
+    assert rows(got, "event_id", "_pos", "_gpos") == rows(want, "event_id", "_pos", "_gpos")
+    want = frame.select("event_id", F.last("v", True).over(series.rowsBetween(Window.unboundedPreceding, 0)).alias("p"))
+    got = ordered.nearest_known(frame, ["v"], ["u"], ["t", "event_id"], chunk_rows)
+    assert rows(got, "event_id", "_prev_v.value") == rows(want, "event_id", "p")
+    got = ordered.frame_windows(frame, ["u"], ["t", "event_id"], lambda w: {"lagged": F.lag("v", 3).over(w)}, 3, 0, chunk_rows)
+    assert rows(got, "event_id", "lagged") == rows(frame.select("event_id", F.lag("v", 3).over(series).alias("lagged")), "event_id", "lagged")
+
+
+def test_long_null_series_is_split(events):
+    frame = events.select("event_id", "ts", F.when(F.col("event_id") % 3 > 0, F.col("user_id")).alias("u"))
+    chunking = ordered.find_chunks(frame, ["u", "ts", "event_id"], 90)
+    counts = frame.filter("u IS NULL").groupBy(chunking.column().alias("c")).count().collect()
+    assert len(counts) > 2 and max(r["count"] for r in counts) < 250
+
+
+def test_few_and_many_cuts_agree(skewed):
+    want = rows(ordered.with_positions(skewed, ["u"], ["ts", "event_id"], 5_000), "event_id", "_pos", "_gpos")
+    for size in (5, 11, 60, 250):
+        assert rows(ordered.with_positions(skewed, ["u"], ["ts", "event_id"], size), "event_id", "_pos", "_gpos") == want
