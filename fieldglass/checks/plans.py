@@ -48,6 +48,27 @@ def etl_run_summary(spark, sf_dir):
     return etl.run_etl(spark, EtlConfig(input_files=tuple(day_csv(spark, sf_dir)))).summary.drop("location")
 
 
+@check("run_etl_folder", "SELECT CAST(count(DISTINCT CAST(ts AS DATE)) AS INTEGER) AS files, 1 AS rejected_files, count(*) AS total_rows FROM events")
+def run_etl_folder(spark, sf_dir):
+    """A folder given as a whole, with an empty file in it: files are counted, not paths."""
+    folder = day_csv(spark, sf_dir)[0].split("/day=")[0]
+    spark.range(0).select(F.lit("").alias("x")).coalesce(1).write.mode("append").text(f"{folder}/day=2000-01-01")
+    return etl.run_etl(spark, EtlConfig(input_files=(folder,))).summary.select("files", "rejected_files", "total_rows")
+
+
+@check(
+    "run_features_many_labels",
+    "SELECT event_id, site_index FROM (SELECT event_id, concat('s', event_id % 150) AS site FROM events) e JOIN (SELECT site, "
+    "CAST(row_number() OVER (ORDER BY n DESC, site) - 1 AS DOUBLE) AS site_index FROM "
+    "(SELECT concat('s', event_id % 150) AS site, count(*) AS n FROM events GROUP BY 1) c) l USING (site)",
+)
+def run_features_many_labels(spark, sf_dir):
+    """A category with more labels than indicator columns stays, as an index."""
+    rows = table(spark, sf_dir, "events").selectExpr("event_id", "concat('s', event_id % 150) AS site", "value + event_id % 150 AS y")
+    cfg = FeatureConfig(targets=("y",), order_by=("event_id",), categorical_columns=("site",), selection_methods=("correlation",))
+    return features.prepare_features(spark, rows, cfg).table.select("event_id", "site_index")
+
+
 @check("analyze", profile_sql(CSV_ROWS, CSV_COLUMNS))
 def analyze(spark, sf_dir):
     report = etl.analyze(spark, day_csv(spark, sf_dir))[1]

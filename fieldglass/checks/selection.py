@@ -318,6 +318,13 @@ def class_weights(spark, sf_dir):
     return rounded(selection.class_weights(table(spark, sf_dir, "labels"), "quality"))
 
 
+@check("oversample_null_label", "SELECT doc_id, CAST(1 AS BIGINT) AS copy FROM labels WHERE doc_id % 7 = 0")
+def oversample_null_label(spark, sf_dir):
+    """Rows without a label are neither lost nor repeated."""
+    labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "CASE WHEN doc_id % 7 > 0 THEN toxic END AS toxic")
+    return selection.oversample(labels, "toxic", ["doc_id"]).filter("toxic IS NULL").select("doc_id", "copy")
+
+
 @check("oversample")
 def oversample(spark, sf_dir):
     return selection.oversample(table(spark, sf_dir, "labels"), "toxic", ["doc_id"])

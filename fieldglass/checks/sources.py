@@ -87,10 +87,32 @@ def skip_bad_files(spark, sf_dir):
     folder = day_files(spark, sf_dir)
     spark.range(0).select(F.lit("").alias("x")).coalesce(1).write.text(f"{folder}/day=empty")
     empty = [r["path"] for r in files.list_files(spark, f"{folder}/day=empty").filter("length = 0").select("path").collect()]
-    read, _, _ = files.read_csv_files(spark, [f"{folder}/absent.csv", *empty, *_paths(spark, folder)])
+    read = files.read_csv_files(spark, [f"{folder}/absent.csv", *empty, *_paths(spark, folder)])[0]
     return read.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@check("skip_corrupt_file", READ)
+def skip_corrupt_file(spark, sf_dir):
+    """A file that is no archive in spite of its name, among the good ones."""
+    folder = day_files(spark, sf_dir)
+    broken = f"{folder}/day=broken/part.csv.gz"
+    system, path = files._filesystem(spark, broken)
+    stream = system.create(path)
+    stream.write(bytearray(b"no archive " * 50))
+    stream.close()
+    return files.read_csv_files(spark, [folder])[0].withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@check("reject_empty_file", "SELECT 'empty file' AS reason, count(DISTINCT CAST(ts AS DATE)) AS n FROM events")
+def reject_empty_file(spark, sf_dir):
+    """One empty file per day."""
+    folder = day_files(spark, sf_dir)
+    for path in _paths(spark, folder):
+        system, empty = files._filesystem(spark, path.rsplit("/", 1)[0] + "/empty.csv")
+        system.create(empty).close()
+    return files.read_csv_files(spark, [folder])[2].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @check("rejected_files", "SELECT reason, count(*) AS n FROM (SELECT DISTINCT CAST(ts AS DATE) AS d, 'not found' AS reason FROM events) x GROUP BY reason")
 def rejected_files(spark, sf_dir):
     """One absent path per day present."""

@@ -19,6 +19,7 @@ class Replaceable:
 @dataclass(frozen=True)
 class EtlConfig(Replaceable):
     input_files: tuple[str, ...] = ()
+    input_schema: str | None = None
     output_path: str | None = None
     report_path: str | None = None
     window_days: int | None = None
@@ -45,6 +46,7 @@ class FeatureConfig(Replaceable):
     categorical_columns: tuple[str, ...] = ()
     numerical_columns: tuple[str, ...] = ()
     categorical_threshold: int = 10
+    # labels that get a column each; columns with more labels become one index column
     indicator_limit: int = 100
     scaling: str = "standard"
     selection_methods: tuple[str, ...] = ("correlation", "lasso")

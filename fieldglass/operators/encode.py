@@ -63,8 +63,6 @@ def one_hot(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
     """``ARRAY<DOUBLE>`` with one slot per label in index order; NULL is all zeros."""
     output = output or f"{column}_encoded"
     _, size = label_table(df, column)
-    if size > MAX_BROADCAST_LABELS:
-        raise ValueError(f"{column}: {size} labels are too many for indicator arrays")
     indexed = string_index(df, column, "_index")
     slots = F.sequence(F.lit(0), F.lit(size - 1)) if size else F.array().cast("array<int>")
     return indexed.select(
@@ -73,10 +71,16 @@ def one_hot(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
     )
 
 
-def indicator_columns(df: DataFrame, column: str, limit: int = 100) -> tuple[DataFrame, list[str]]:
-    """One 0/1 DOUBLE column per label, named ``<column>_<label>``, in index order."""
+def one_hot_long(df: DataFrame, key: Sequence[str], column: str) -> DataFrame:
+    """The same in sparse form, for any number of labels: ``(key, label_index)``, one row per row with a label."""
+    indexed = string_index(df.select(*[quoted(k) for k in key], quoted(column)), column, "label_index")
+    return indexed.filter(quoted(column).isNotNull()).select(*[quoted(k) for k in key], "label_index")
+
+
+def indicator_columns(df: DataFrame, column: str, limit: int | None = None) -> tuple[DataFrame, list[str]]:
+    """One 0/1 DOUBLE column per label, named ``<column>_<label>``, in index order; more than ``limit`` are refused."""
     labels, size = label_table(df, column)
-    if size > limit:
+    if limit is not None and size > limit:
         raise ValueError(f"{column}: {size} labels exceed the limit of {limit} indicator columns")
     values = [r["label"] for r in labels.orderBy("label_index").collect()]
     names = [f"{column}_{v}" for v in values]
@@ -134,7 +138,7 @@ def scale(df: DataFrame, columns: Sequence[str], method: str = "standard") -> Da
     ``standard`` centres and divides by the sample deviation (constant: 0), ``none`` adds nothing,
     every other method maps to [0, 1] (constant: 0.5).
     """
-    if method == "none":
+    if method == "none" or not columns:
         return df
     valid = skip_invalid_rows(df, columns)
     if method == "standard":

@@ -153,6 +153,6 @@ def project_features(df: DataFrame, features: Sequence[str], targets: Sequence[s
     return df.select(*[quoted(c) for c in dict.fromkeys([*features, *targets])])
 
 
-def fallback_features(selected: Sequence[str], numerical: Sequence[str], limit: int = 10) -> list[str]:
-    """The selected features, or the first numerical columns if none was selected."""
+def fallback_features(selected: Sequence[str], numerical: Sequence[str], limit: int | None = None) -> list[str]:
+    """The selected features, or all (the first ``limit``) numerical columns if none was selected."""
     return list(selected) or list(numerical)[:limit]

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import known_double, quoted, row_per
+from ..sources.scratch import materialize
 from .association import correlation_matrix, correlation_scores
 from .encode import MAX_BROADCAST_LABELS, scale
 from .quality import skip_invalid_rows
@@ -129,15 +130,11 @@ def multi_target_selection(
     return result
 
 
-def bounded_sample(df: DataFrame, key: Sequence[str], most: int = 10_000, seed: int = 42) -> DataFrame:
-    """All rows, or about ``most`` of them chosen by a seeded hash of the key; flagged ``approximate``."""
-    rows = df.count()
-    if rows <= most:
-        return df.withColumn("approximate", F.lit(False))
+def bounded_sample(df: DataFrame, key: Sequence[str], share: float = 0.1, seed: int = 42) -> DataFrame:
+    """About ``share`` of the rows, chosen by a seeded hash of the key; ``approximate`` tells whether any may be left out."""
     resolution = 1 << 40
-    threshold = resolution * most // rows
     draw = F.pmod(F.xxhash64(F.lit(seed), *[quoted(k) for k in key]), F.lit(resolution))
-    return df.filter(draw < threshold).withColumn("approximate", F.lit(True))
+    return df.filter(draw < int(resolution * share)).withColumn("approximate", F.lit(share < 1))
 
 
 def recursive_elimination(df: DataFrame, target: str, features: Sequence[str], keep: int = 10) -> DataFrame:
@@ -223,8 +220,8 @@ def top_exogenous(df: DataFrame, target: str, candidates: Sequence[str], count:
     )
 
 
-def correlation_preview(df: DataFrame, target: str, numerical: Sequence[str], count: int = 10) -> DataFrame:
-    """Scores of the first numerical columns against the primary target."""
+def correlation_preview(df: DataFrame, target: str, numerical: Sequence[str], count: int | None = None) -> DataFrame:
+    """Scores of all (the first ``count``) numerical columns against the primary target."""
     return correlation_scores(df, [target], [c for c in numerical if c != target][:count])
 
 
@@ -311,15 +308,16 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def oversample(df: DataFrame, label: str, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """Repeat rows of smaller classes until all are about as large as the largest, repeatably."""
-    counts = class_weights(df, label).select(F.col("label").alias("_label"), "n")
-    classes = counts.count()
-    if classes > MAX_BROADCAST_LABELS:
-        raise ValueError(f"{label}: {classes} classes are too many to balance")
-    factor = counts.select("_label", (F.max("n").over(Window.partitionBy()) / F.col("n")).alias("_factor"))
+    """Repeat rows of smaller classes until all are about as large as the largest, repeatably; rows without a label stay once."""
+    counts = materialize(class_weights(df, label).select(F.col("label").alias("_label"), "n"), "classes")
+    sizes = counts.agg(F.count(F.lit(1)).alias("classes"), F.max("n").alias("largest")).first()
+    factor = counts.select("_label", (F.lit(float(sizes["largest"] or 0)) / F.col("n")).alias("_factor"))
+    if sizes["classes"] <= MAX_BROADCAST_LABELS:
+        factor = F.broadcast(factor)
     draw = F.pmod(F.xxhash64(F.lit(seed), *[quoted(k) for k in key]), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor("_factor") + (draw < F.col("_factor") - F.floor("_factor")).cast("int")
-    joined = df.join(F.broadcast(factor), quoted(label) == F.col("_label"))
+    joined = df.join(factor, quoted(label) == F.col("_label"), "left")
+    times = F.coalesce(copies, F.lit(1)).cast("bigint")
     return joined.select(
-        *[quoted(c) for c in df.columns], F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy")
+        *[quoted(c) for c in df.columns], F.explode(F.sequence(F.lit(1).cast("bigint"), times)).alias("copy")
     )

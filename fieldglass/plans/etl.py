@@ -30,10 +30,10 @@ def read_inputs(spark: SparkSession, cfg: EtlConfig) -> tuple[DataFrame, list[st
     paths = list(cfg.input_files)
     if cfg.window_days:
         paths = [r["path"] for r in files.file_window(spark, paths, cfg.window_days).select("path").collect()]
-    table, names, rejected = files.read_csv_files(spark, paths)
+    table, names, rejected, accepted = files.read_csv_files(spark, paths, schema=cfg.input_schema)
     if table is None:
         raise ValueError("no readable input file")
-    return table, names, rejected, len(paths)
+    return table, names, rejected, accepted
 
 
 def run_etl(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
@@ -62,10 +62,10 @@ def run_etl(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
 def etl_run_summary(
     report: DataFrame, count: int, rejected: DataFrame, names: list[str], kept: DataFrame, fmt: str, location: str | None
 ) -> DataFrame:
-    """One row; the row count comes from the report, not from another pass."""
+    """One row; ``count`` is the number of files read. The row count comes from the report, not from another pass."""
     skipped = rejected.count()
     return report.agg(F.max("total_rows").alias("total_rows")).select(
-        F.lit(count - skipped).alias("files"),
+        F.lit(count).alias("files"),
         F.lit(skipped).alias("rejected_files"),
         F.coalesce("total_rows", F.lit(0).cast("bigint")).alias("total_rows"),
         F.lit(len(names)).alias("initial_columns"),
@@ -76,15 +76,16 @@ def etl_run_summary(
     )
 
 
-def analyze(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame | None]:
-    """``(summary, report)`` of the files; the report is None if profiling fails."""
-    table, _, rejected = files.read_csv_files(spark, paths)
+def analyze(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame | None, str | None]:
+    """``(summary, report, error)`` of the files; if profiling fails the report is None and the error its message."""
+    table, _, _, accepted = files.read_csv_files(spark, paths)
     if table is None:
         raise ValueError("no readable input file")
-    report = None
+    report = error = None
     try:
         report = materialize(profile.profile_columns(table), "report")
         roles = schema.classify_columns(table, report)
-    except Exception:
+    except files.FAILURES as failure:
+        error = str(failure).splitlines()[0]
         roles = schema.classify_columns(table, spark.createDataFrame([], sinks.REPORT_SCHEMA))
-    return profile.dataset_summary(table, roles, len(paths) - rejected.count()), report
+    return profile.dataset_summary(table, roles, accepted), report, error

@@ -68,9 +68,15 @@ def prepare_features(spark: SparkSession, df: DataFrame, cfg: FeatureConfig) ->
     distinct = {r["column_name"]: r["distinct_count"] for r in report.collect()}
     indicators: list[str] = []
     for column in lists.categorical:
-        if column not in axis and distinct.get(column, 0) <= cfg.indicator_limit:
-            table, added = encode.indicator_columns(table, column, cfg.indicator_limit)
+        if column in axis:
+            continue
+        if distinct.get(column, 0) <= cfg.indicator_limit:
+            table, added = encode.indicator_columns(table, column)
             indicators += added
+        else:
+            # too many labels for a column each: the label's index stands for them
+            table = encode.string_index(table, column)
+            indicators.append(f"{column}_index")
     table = fill_missing(table, cfg, impute.columns_with_missing(report, numerical))
     # everything below reads this table several times
     table = materialize(encode.scale(table, numerical, cfg.scaling), "prepared")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 
 from ..functions.missing import quoted
 
+#: How a failed read or write arrives: found while planning, or by a job.
+FAILURES = (PySparkException, Py4JJavaError)
 CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "nullValue": ""}
 DATE_IN_PATH = r"(\d{4}-\d{2}-\d{2})"
 DEVICE_IN_PATH = r"([^/]+?)_\d{4}-\d{2}-\d{2}"
@@ -31,6 +34,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete what a failed write has left at ``path``, if anything."""
+    files, jvm_path = _filesystem(spark, path)
+    try:
+        files.delete(jvm_path, True)
+    except Py4JJavaError:  # nothing can be there, for example below a file
+        pass
+
+
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``(path, length, modified)`` of the files under folders, files or globs, listed by Spark."""
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -42,6 +54,21 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+def empty_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Files of length 0 under folders, files or globs. A scan never shows them, so the file system is asked."""
+    empty = []
+    for path in paths:
+        system, jvm_path = _filesystem(spark, path)
+        for status in system.globStatus(jvm_path) or []:
+            found = system.listFiles(status.getPath(), True)
+            while found.hasNext():
+                entry = found.next()
+                name = entry.getPath().getName()
+                if entry.getLen() == 0 and name[0] not in "._":
+                    empty.append(entry.getPath().toString())
+    return empty
+
+
 def with_origin(df: DataFrame) -> DataFrame:
     """Add ``device`` and ``file_date``, read from the path of the file each row came from."""
     path = F.col("_metadata.file_path")
@@ -61,9 +88,11 @@ def file_window(spark: SparkSession, paths: str | Sequence[str], days: int = 2)
 # --- CSV -----------------------------------------------------------------------------------------
 
 
-def csv_scan(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Header, inferred types, malformed fields NULL, empty text NULL."""
-    return spark.read.options(inferSchema="true", **CSV_OPTIONS).csv(paths if isinstance(paths, str) else list(paths))
+def csv_scan(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
+    """Header, malformed fields NULL, empty text NULL; types are inferred unless a schema is given."""
+    reader = spark.read.options(**CSV_OPTIONS)
+    reader = reader.schema(schema) if schema else reader.option("inferSchema", "true")
+    return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
 def csv_scan_untyped(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -117,13 +146,14 @@ REJECTED = "path string, reason string"
 
 
 def read_csv_files(
-    spark: SparkSession, files: Sequence[str], origin: bool = False
-) -> tuple[DataFrame | None, list[str], DataFrame]:
-    """``(table, all column names, rejected files)`` for CSV files with drifting columns.
+    spark: SparkSession, files: Sequence[str], origin: bool = False, schema: T.StructType | str | None = None
+) -> tuple[DataFrame | None, list[str], DataFrame, int]:
+    """``(table, all column names, rejected files, number of accepted files)`` for CSV files with drifting columns.
 
     Files are grouped by header and each group is read by one multi-file scan, so the plan grows with
     the number of different headers, not of files. Missing, empty and unreadable files are reported
-    in ``rejected(path, reason)`` and skipped.
+    in ``rejected(path, reason)`` and skipped. With a ``schema`` all files must have its columns in its order; they are
+    then read by one scan, without looking at headers or inferring types.
     """
     rejected: list[tuple[str, str]] = []
     present = list(files)
@@ -132,36 +162,39 @@ def read_csv_files(
     except AnalysisException:  # some path does not exist: find out which
         present = [path for path in files if path_exists(spark, path)]
         rejected += [(path, "not found") for path in files if path not in set(present)]
-    frames = []
+    frames, accepted = [], 0
     if present:
-        listed = list_files(spark, present).select("path", "length").collect()
-        rejected += [(r["path"], "empty file") for r in listed if r["length"] == 0]
-        good = [r["path"] for r in listed if r["length"] > 0]
-        groups = _grouped(spark, good, rejected) if good else []
-        for paths in groups:
-            for batch in _readable(spark, paths, rejected):
-                frames.append(with_origin(csv_scan(spark, batch)) if origin else csv_scan(spark, batch))
-    table, names = union_by_name_widen(frames) if frames else (None, [])
-    return table, names, spark.createDataFrame(rejected, REJECTED)
+        rejected += [(path, "empty file") for path in empty_files(spark, present)]
+        good = [r["path"] for r in list_files(spark, present).filter("length > 0").select("path").collect()]
+        accepted = len(good)
+        before = len(rejected)
+        if schema and good:
+            frames = [csv_scan(spark, good, schema)]
+        else:
+            for paths in _grouped(spark, good, rejected) if good else []:
+                frames += _readable(spark, paths, rejected)
+        accepted -= len(rejected) - before
+    table, names = union_by_name_widen([with_origin(f) if origin else f for f in frames]) if frames else (None, [])
+    return table, names, spark.createDataFrame(rejected, REJECTED), accepted
 
 
 def _grouped(spark: SparkSession, files: list[str], rejected: list) -> list[list[str]]:
     try:
         return [list(r["paths"]) for r in _headers(spark, files).orderBy("header").collect()]
-    except PySparkException as error:
+    except FAILURES as error:
         if len(files) == 1:
             rejected.append((files[0], _reason(error)))
             return []
         half = len(files) // 2
-        return _grouped(spark, files[:half], rejected) + _grouped(spark, files[half:], rejected)
+        first, second = (_grouped(spark, some, rejected) for some in (files[:half], files[half:]))
+        return first + second
 
 
-def _readable(spark: SparkSession, files: list[str], rejected: list) -> list[list[str]]:
-    """The files as one batch; a batch that cannot be read is halved until the bad file stands alone."""
+def _readable(spark: SparkSession, files: list[str], rejected: list) -> list[DataFrame]:
+    """One scan of the files; if they cannot be read they are halved until the bad file stands alone."""
     try:
-        csv_scan(spark, files)
-        return [files]
-    except PySparkException as error:
+        return [csv_scan(spark, files)]
+    except FAILURES as error:
         if len(files) == 1:
             rejected.append((files[0], _reason(error)))
             return []

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.missing import quoted
 from ..operators.schema import project_features
-from .files import delta_available, path_exists
+from .files import FAILURES, delta_available, path_exists, remove_path
 
 REPORT_SCHEMA = (
     "column_name string, dtype string, total_rows bigint, missing_count bigint, missing_fraction double, "
@@ -33,8 +32,9 @@ def write_with_fallback(df: DataFrame, path: str, formats: Sequence[str] = ("del
         try:
             writer.save(path)
             return fmt, path
-        except PySparkException as error:
+        except FAILURES as error:
             failures.append(f"{fmt}: {str(error).splitlines()[0]}")
+            remove_path(df.sparkSession, path)
     raise RuntimeError("no format could be written: " + "; ".join(failures))
 
 

@@ -63,7 +63,8 @@ def test_targets_and_fallback():
     assert schema.resolve_targets(["a_b", "c"], ["a.b", "c"], "c") == (["a_b", "c"], "c")
     with pytest.raises(ValueError):
         schema.resolve_targets(["a"], ["b"])
-    assert schema.fallback_features([], [str(i) for i in range(12)]) == [str(i) for i in range(10)]
+    assert schema.fallback_features([], [str(i) for i in range(12)]) == [str(i) for i in range(12)]
+    assert schema.fallback_features([], ["a", "b", "c"], 2) == ["a", "b"]
     assert schema.fallback_features(["x"], ["y"]) == ["x"]
 
 
@@ -176,14 +177,14 @@ def test_absent_report_is_empty(spark):
 
 
 def test_only_bad_files(spark):
-    table, names, rejected = files.read_csv_files(spark, [scratch_path(spark)])
+    table, names, rejected, accepted = files.read_csv_files(spark, [scratch_path(spark)])
     assert table is None and names == [] and rejected.first()["reason"] == "not found"
 
 
 def test_device_and_date_from_the_path(spark, tmp_path):
     (tmp_path / "dev1_2024-01-02.csv").write_text("a,b\n1,x\n")
     (tmp_path / "dev2_2024-01-03.csv").write_text("a,b\n2,\n")
-    read, names, _ = files.read_csv_files(spark, [str(tmp_path)], origin=True)
+    read, names, _, _ = files.read_csv_files(spark, [str(tmp_path)], origin=True)
     assert sorted(map(tuple, read.selectExpr("a", "b", "device", "string(file_date)").collect())) == [
         (1, "x", "dev1", "2024-01-02"),
         (2, None, "dev2", "2024-01-03"),
@@ -226,3 +227,42 @@ def test_failing_target_does_not_stop_the_rest(spark):
 def test_missing_target(spark):
     with pytest.raises(ValueError):
         models.prepare_ml(spark.range(1), "y")
+
+
+def test_corrupt_and_empty_files_are_skipped(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "good.csv").write_text("a,b\n1,x\n2,y\n")
+    (tmp_path / "other.csv").write_text("a,c\n3,z\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "bad.csv.gz").write_bytes(gzip.compress(b"a,b\n" + b"5,q\n" * 5000)[:60] + b"broken")
+    read, names, rejected, accepted = files.read_csv_files(spark, [str(tmp_path)])
+    assert sorted(r.a for r in read.collect()) == [1, 2, 3] and names == ["a", "b", "c"] and accepted == 2
+    assert {r.path.rsplit("/", 1)[1] for r in rejected.collect()} == {"empty.csv", "bad.csv.gz"}
+
+
+def test_declared_schema_reads_without_inference(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "two.csv").write_text("a,b\nnone,y\n")
+    read = files.read_csv_files(spark, [str(tmp_path)], schema="a INT, b STRING")[0]
+    assert sorted(map(tuple, read.collect()), key=str) == [(1, "x"), (None, "y")]
+
+
+def test_failed_write_falls_back(spark, tmp_path):
+    (tmp_path / "file").write_text("x")
+    with pytest.raises(RuntimeError, match="parquet.*csv"):
+        sinks.write_with_fallback(spark.range(3), str(tmp_path / "file" / "table"))
+    nested = spark.range(3).selectExpr("array(id) AS a")
+    assert sinks.write_with_fallback(spark.range(3), str(tmp_path / "t"))[0] == "parquet"
+    with pytest.raises(RuntimeError):
+        sinks.write_with_fallback(nested, str(tmp_path / "u"), ["csv"])
+    assert not (tmp_path / "u").exists()
+
+
+def test_encoding_many_labels_loses_nothing(spark):
+    many = spark.range(300).selectExpr("id", "CASE WHEN id % 10 > 0 THEN concat('s', id % 150) END AS c")
+    long = encode.one_hot_long(many, ["id"], "c")
+    assert long.count() == 270 and long.select("label_index").distinct().count() == 135
+    assert len(encode.indicator_columns(many, "c")[1]) == 135
+    with pytest.raises(ValueError):
+        encode.indicator_columns(many, "c", 100)

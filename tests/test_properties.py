@@ -37,10 +37,10 @@ def test_sample_size_is_exact_and_repeatable(lines):
 
 
 def test_bounded_sample(lines):
-    whole = selection.bounded_sample(lines, KEY)
+    whole = selection.bounded_sample(lines, KEY, 1.0)
     assert whole.count() == lines.count() and not whole.first()["approximate"]
-    part = selection.bounded_sample(lines, KEY, 500)
-    assert 350 < part.count() < 650 and part.first()["approximate"]
+    part = selection.bounded_sample(lines, KEY, 0.1)
+    assert 0.07 < part.count() / lines.count() < 0.13 and part.first()["approximate"]
 
 
 def test_lasso_ignores_what_does_not_matter(lines):
