@@ -140,11 +140,15 @@ def compare_regressors(
 def compare_classifiers(
     df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], exclude: Sequence[str] = (), seed: int = 42
 ) -> DataFrame:
-    """``(model, accuracy, f1, rank)`` on a held-out fifth, best first by accuracy."""
-    indexed = string_index(df.filter(quoted(label).isNotNull()), label, "_label")
-    positive = scale(indexed, features, "minmax")
-    split = holdout_split(positive, key, seed=seed)
-    data = materialize(_assembled(split, F.col("_label"), [f"{f}_scaled" for f in features], ["part"]), "assembled")
+    """``(model, accuracy, f1, rank)`` on a held-out fifth, best first by accuracy.
+
+    Features are scaled by the range of the training rows; test rows beyond it are cut to it, as some models need numbers from 0.
+    """
+    indexed = string_index(skip_invalid_rows(df.filter(quoted(label).isNotNull()), features), label, "_label")
+    split = holdout_split(indexed, key, seed=seed)
+    bounds = fit_range(split.filter("part = 'train'"), features)
+    scaled = [F.least(F.greatest(minmax_column(split, f, bounds[f]), F.lit(0.0)), F.lit(1.0)).alias(f"{f}_scaled") for f in features]
+    data = materialize(_assembled(split.select("*", *scaled), F.col("_label"), [f"{f}_scaled" for f in features], ["part"]), "assembled")
     classes = int(data.agg(F.max(LABEL)).first()[0]) + 1
     models = {n: m for n, m in classifiers(classes, seed).items() if n not in exclude}
     scored, _ = _scored(models, data.filter("part = 'train'"), data.filter("part = 'test'"))
@@ -368,12 +372,12 @@ def prepare_ml(df: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
 def per_target_runs(spark, targets: Sequence[str], body: Callable[[str], DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
     """Results by target, and the status table ``(target, status, message, finished)``.
 
-    A failing target is recorded and does not stop the others.
+    Each result is written while its target runs, so a failure of the work itself is recorded; it does not stop the others.
     """
     results, rows = {}, []
     for target in targets:
         try:
-            results[target] = body(target)
+            results[target] = materialize(body(target), "target")
             rows.append((target, "ok", None, datetime.now()))
         except Exception as error:
             rows.append((target, "failed", str(error).splitlines()[0][:300], datetime.now()))
