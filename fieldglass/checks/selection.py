@@ -45,6 +45,20 @@ def corr_pearson_many_pairs(spark, sf_dir):
     return rounded(association.correlation_scores(gappy(spark, sf_dir), TARGETS + ["l_tax"], FEATURES))
 
 
+# Values near 1e9 that differ by less than 2.
+NEAR = [f"1e9 + l_discount * {i} + l_tax * {12 - i} / 2 + l_quantity / 50" for i in range(1, 13)]
+NEAR_PAIRS = [(f"c{i}", f"c{j}") for i in range(12) for j in range(i + 1, 12)]
+
+
+@check(
+    "corr_pearson_over_60_pairs",
+    union_all([f"SELECT '{a}' AS a, '{b}' AS b, round({_r(a, b)}, 6) AS r FROM (SELECT {', '.join(f'{c} AS c{i}' for i, c in enumerate(NEAR))} FROM lineitem) n" for a, b in NEAR_PAIRS]),
+)
+def corr_pearson_over_60_pairs(spark, sf_dir):
+    near = table(spark, sf_dir, "lineitem").selectExpr(*[f"{c} AS c{i}" for i, c in enumerate(NEAR)])
+    return rounded(association.pearson(near, NEAR_PAIRS))
+
+
 def _ranks(source: str, a: str, b: str) -> str:
     """Average ranks of both columns over pairwise complete rows."""
     return (

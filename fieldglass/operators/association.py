@@ -8,10 +8,7 @@ formed, and no value, however frequent, has to fit one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import isnan
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +17,6 @@ from ..sources.scratch import materialize
 from .ordered import CHUNK, add_running, find_chunks, running_sums
 
 WIDE_PAIRS = 12
-MATRIX_PAIRS = 60
 
 Pairs = Sequence[tuple[str, str]]
 
@@ -48,27 +44,9 @@ def _labelled(df: DataFrame, spark, pairs: Pairs, r: Column) -> DataFrame:
     return names.join(F.broadcast(df), "pair_id", "left").select("a", "b", value)
 
 
-def _any_missing(df: DataFrame, columns: Sequence[str]) -> bool:
-    gaps = df.agg(*[F.count_if(known_double(df, c).isNull()).alias(f"g{i}") for i, c in enumerate(columns)]).first()
-    return any(gaps)
-
-
-def _from_matrix(df: DataFrame, pairs: Pairs, columns: Sequence[str]) -> DataFrame:
-    """Many pairs of complete columns: Spark ML's correlation matrix, one number per pair of columns."""
-    plain = df.select(*[known_double(df, c).alias(f"_in{i}") for i, c in enumerate(columns)])
-    vectors = VectorAssembler(inputCols=plain.columns, outputCol="_features").transform(plain)
-    matrix = Correlation.corr(vectors, "_features").first()[0].toArray()
-    at = {c: i for i, c in enumerate(columns)}
-    rows = [(a, b, 0.0 if isnan(matrix[at[a], at[b]]) else float(matrix[at[a], at[b]])) for a, b in pairs]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
-
-
 def pearson(df: DataFrame, pairs: Pairs) -> DataFrame:
-    """``(a, b, r)``, signed. One aggregate; in long form once there are many pairs."""
+    """``(a, b, r)``, signed. One aggregate and one formula; in long form once there are many pairs."""
     pairs = list(pairs)
-    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
-    if len(pairs) > MATRIX_PAIRS and not _any_missing(df, columns):
-        return _from_matrix(df, pairs, columns)
     if len(pairs) <= WIDE_PAIRS:
         wide = df.agg(*[_pearson(known_double(df, a), known_double(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
         return wide.select(row_per([{"a": F.lit(a), "b": F.lit(b), "r": F.col(f"r{i}")} for i, (a, b) in enumerate(pairs)])).select("r.*")
