@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..config import EtlConfig, FeatureConfig, ModelConfig, SeriesConfig
 from ..plans import etl, features, modelling
+from ..sources import registry, sinks
 from ..sources.files import load_table
 from ..sources.scratch import scratch_path
 from .base import LINES, MEASURES, check, line_measures, profile_sql, rounded, table
@@ -124,6 +125,31 @@ def run_models_regression(spark, sf_dir):
     return modelling.run_models(spark, line_measures(spark, sf_dir), cfg).metrics.drop("run_id")
 
 
+@check("run_models_saved_model", "SELECT l_orderkey, l_partkey, l_linenumber, round(3 * l_quantity - 200 * l_tax + 1, 3) AS y FROM lineitem")
+def run_models_saved_model(spark, sf_dir):
+    """The best model of an exactly linear target, stored, found by the catalogue, loaded and applied."""
+    lines = line_measures(spark, sf_dir).withColumn("y", F.expr("3 * l_quantity - 200 * l_tax + 1"))
+    cfg = ModelConfig(
+        use_case="regression", targets=("y",), features=("l_quantity", "l_tax"), key=tuple(KEY), output_path=scratch_path(spark, "models"),
+        excluded_models=("gbt", "random_forest", "decision_tree"),
+    )
+    modelling.run_models(spark, lines, cfg)
+    newest = registry.latest_models(registry.read(spark, f"{cfg.output_path}/models", registry.MODELS)).first()
+    scored = sinks.load_model(newest["path"]).transform(lines.drop("y"))
+    return scored.select("l_orderkey", "l_partkey", "l_linenumber", F.round("prediction", 3).alias("y"))
+
+
+@check("run_models_without_target", "SELECT 'all' AS target, count(*) AS n FROM lineitem")
+def run_models_without_target(spark, sf_dir):
+    """Clusters of lines; the stored model assigns every line."""
+    cfg = ModelConfig(use_case="clustering", features=("l_quantity", "l_tax"), output_path=scratch_path(spark, "models"))
+    lines = table(spark, sf_dir, "lineitem")
+    modelling.run_models(spark, lines, cfg)
+    newest = registry.latest_models(registry.read(spark, f"{cfg.output_path}/models", registry.MODELS)).first()
+    scored = sinks.load_model(newest["path"]).transform(lines)
+    return scored.groupBy(F.lit(newest["target"]).alias("target")).agg(F.count("prediction").alias("n"))
+
+
 @check("run_models_time_series")
 def run_models_time_series(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "ts", "value")

@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 import numpy as np
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -21,7 +21,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import known_double, quoted
 from ..sources.scratch import materialize
-from .encode import fit_range, minmax_column, minmax_exogenous, minmax_inverse, scale, string_index
+from .encode import fit_range, label_table, minmax_column, minmax_exogenous, minmax_inverse, scale, string_index
 from .profile import exact_quantiles, null_counts
 from .quality import inf_to_null, skip_invalid_rows
 from .sampling import fold_column, holdout_split
@@ -155,15 +155,19 @@ def compare_classifiers(
     return _ranked(classification_metrics(scored, ["model"]), F.col("accuracy").desc())
 
 
-def compare_clusterers(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 42) -> DataFrame:
-    """``(model, k, silhouette, rank)`` on standardised features."""
-    scaled = scale(df, features)
-    data = materialize(_assembled(scaled, F.lit(0.0), [f"{f}_scaled" for f in features]), "assembled")
-    models = {
+def clusterers(k: int, seed: int = 42) -> dict[str, Estimator]:
+    return {
         "kmeans": KMeans(k=k, seed=seed),
         "bisecting_kmeans": BisectingKMeans(k=k, seed=seed),
         "gaussian_mixture": GaussianMixture(k=k, seed=seed),
     }
+
+
+def compare_clusterers(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 42) -> DataFrame:
+    """``(model, k, silhouette, rank)`` on standardised features."""
+    scaled = scale(df, features)
+    data = materialize(_assembled(scaled, F.lit(0.0), [f"{f}_scaled" for f in features]), "assembled")
+    models = clusterers(k, seed)
     measure = ClusteringEvaluator(featuresCol=FEATURES, metricName="silhouette")
     rows = []
     for name, model in models.items():
@@ -174,6 +178,40 @@ def compare_clusterers(df: DataFrame, features: Sequence[str], k: int = 4, seed:
     return _ranked(table, F.col("silhouette").desc_nulls_last())
 
 
+def _fitted(df: DataFrame, label: Column | None, features: Sequence[str], scaler: Estimator | None, estimator: Estimator) -> PipelineModel:
+    """A pipeline from the feature columns to ``prediction``, fitted on all complete rows; rows with gaps get no prediction."""
+    columns = [known_double(df, f).alias(f) for f in features]
+    rows = skip_invalid_rows(df, features).select(*columns, *([label.alias("_label")] if label is not None else []))
+    if label is not None:
+        rows = rows.filter(F.col("_label").isNotNull())
+        estimator = estimator.copy({estimator.labelCol: "_label"})
+    plain = "_assembled" if scaler is not None else "_features"
+    stages = [VectorAssembler(inputCols=list(features), outputCol=plain, handleInvalid="skip")]
+    if scaler is not None:
+        stages.append(scaler.copy({scaler.inputCol: plain, scaler.outputCol: "_features"}))
+    stages.append(estimator.copy({estimator.featuresCol: "_features"}))
+    return Pipeline(stages=stages).fit(materialize(rows, "training"))
+
+
+def fit_regressor(df: DataFrame, label: str, features: Sequence[str], name: str, seed: int = 42) -> PipelineModel:
+    """The named regressor on all rows, to be stored and applied to new ones."""
+    return _fitted(df, known_double(df, label), features, None, regressors(seed)[name])
+
+
+def fit_classifier(df: DataFrame, label: str, features: Sequence[str], name: str, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
+    """The named classifier on all rows, and the table ``(label, label_index)`` that explains its predictions."""
+    known_rows = df.filter(quoted(label).isNotNull())
+    labels, size = label_table(known_rows, label)
+    indexed = string_index(known_rows, label, "_index")
+    model = _fitted(indexed, F.col("_index"), features, MinMaxScaler(), classifiers(size, seed)[name])
+    return model, labels.select("label", "label_index")
+
+
+def fit_clusterer(df: DataFrame, features: Sequence[str], name: str, k: int = 4, seed: int = 42) -> PipelineModel:
+    """The named clustering on all rows."""
+    return _fitted(df, None, features, StandardScaler(withMean=True), clusterers(k, seed)[name])
+
+
 def kfold_cv(
     df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], reg_params: Sequence[float] = (0.0, 0.1), folds: int = 5, seed: int = 42
 ) -> DataFrame:

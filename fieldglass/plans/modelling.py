@@ -13,9 +13,12 @@ from ..config import ModelConfig
 from ..functions.missing import row_per
 from ..operators import models, sampling, schema, series
 from ..operators.profile import numeric_columns
+from ..operators.quality import inf_to_null
 from ..sources import files, registry, sinks
 from ..sources.scratch import materialize
 
+#: Stands for the target of runs that have none.
+NO_TARGET = "all"
 METRICS = ("mse", "rmse", "mae", "accuracy", "f1", "silhouette", "mase")
 
 
@@ -39,6 +42,28 @@ def _long_metrics(board: DataFrame, run_id: str, target: str) -> DataFrame:
     return board.select(row_per(entries)).select(F.lit(run_id).alias("run_id"), F.lit(target).alias("target"), "r.*")
 
 
+def _inputs(df: DataFrame, target: str, cfg: ModelConfig) -> tuple[DataFrame, list[str]]:
+    """The table without infinities, and the features: those named, else all other numbers."""
+    clean = inf_to_null(df) if target == NO_TARGET else models.prepare_ml(df, target)[0]
+    skip = {target, *cfg.targets, *cfg.key}
+    return clean, list(cfg.features) or [c for c in numeric_columns(clean) if c not in skip]
+
+
+def _save_best(df: DataFrame, target: str, best: str, cfg: ModelConfig, path: str) -> str | None:
+    """Fit the best model on all rows and store it. Look-back models are compared only."""
+    if cfg.use_case == "time_series":
+        return None
+    clean, features = _inputs(df, target, cfg)
+    if cfg.use_case == "classification":
+        model, labels = models.fit_classifier(clean, target, features, best, cfg.seed)
+        sinks.write_report(labels, f"{path}-labels", "parquet")
+    elif cfg.use_case == "clustering":
+        model = models.fit_clusterer(clean, features, best, seed=cfg.seed)
+    else:
+        model = models.fit_regressor(clean, target, features, best, cfg.seed)
+    return sinks.save_model(model, path)
+
+
 def _compare(df: DataFrame, target: str, cfg: ModelConfig) -> DataFrame:
     """The leaderboard of one target for the configured use case."""
     if cfg.use_case == "time_series":
@@ -61,9 +86,7 @@ def _compare(df: DataFrame, target: str, cfg: ModelConfig) -> DataFrame:
             table, target, order, cfg.series_key, lookback=s.lookback, exogenous=exogenous,
             test_size=cfg.test_size, seed=cfg.seed, chunk_rows=s.chunk_rows,
         )
-    clean, _ = models.prepare_ml(df, target)
-    skip = {target, *cfg.targets, *cfg.key}
-    features = list(cfg.features) or [c for c in numeric_columns(clean) if c not in skip]
+    clean, features = _inputs(df, target, cfg)
     if cfg.use_case == "regression":
         return models.compare_regressors(clean, target, features, cfg.key, cfg.excluded_models, cfg.seed)
     if cfg.use_case == "classification":
@@ -77,12 +100,19 @@ def _compare(df: DataFrame, target: str, cfg: ModelConfig) -> DataFrame:
 
 
 def run_models(spark: SparkSession, df: DataFrame, cfg: ModelConfig) -> ModelResult:
-    """Compare models for every target; one failing target is reported and the others go on."""
-    targets, _ = schema.resolve_targets(df.columns, cfg.targets, cfg.primary_target)
+    """Compare models for every target; one failing target is reported and the others go on.
+
+    With an output path the best model of each target is fitted on all rows, stored, and catalogued with its path; anomaly tables
+    are stored as well. Clustering and anomaly detection need no target.
+    """
+    if cfg.use_case in ("clustering", "anomaly") and not cfg.targets:
+        targets = [NO_TARGET]
+    else:
+        targets, _ = schema.resolve_targets(df.columns, cfg.targets, cfg.primary_target)
     run_id = uuid.uuid4().hex
 
     def body(target: str) -> DataFrame:
-        if cfg.output_path and cfg.key:
+        if cfg.output_path and cfg.key and target != NO_TARGET:
             strata = target if cfg.use_case == "classification" else None
             sample = sampling.calibration_sample(df, cfg.key, cfg.sample_share, cfg.seed, strata)
             sinks.write_sample(sample, f"{cfg.output_path}/calibration/{run_id}/{target}")
@@ -95,9 +125,12 @@ def run_models(spark: SparkSession, df: DataFrame, cfg: ModelConfig) -> ModelRes
             metrics = metrics.unionByName(_long_metrics(board, run_id, target))
     if cfg.output_path:
         registry.record_metrics(metrics, f"{cfg.output_path}/metrics")
-        first = [
-            (run_id, datetime.now(), t, b.orderBy("rank").first()["model"], None) for t, b in boards.items() if "model" in b.columns
-        ]
-        if first:
-            registry.record_models(spark, f"{cfg.output_path}/models", first)
+        best = {t: b.orderBy("rank").first()["model"] for t, b in boards.items() if "model" in b.columns}
+        stored = {t: _save_best(df, t, name, cfg, f"{cfg.output_path}/fitted/{run_id}/{t}") for t, name in best.items()}
+        if best:
+            entries = [(run_id, datetime.now(), t, name, stored[t]) for t, name in best.items()]
+            registry.record_models(spark, f"{cfg.output_path}/models", entries)
+        for target, board in boards.items():
+            if "model" not in board.columns:
+                sinks.write_report(board, f"{cfg.output_path}/anomalies/{run_id}/{target}", "parquet")
     return ModelResult(boards, metrics, status)
