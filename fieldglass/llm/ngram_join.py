@@ -10,10 +10,11 @@ classes of sizes have their own number of groups, larger sets also use that of t
 groups beyond ``d + 1`` make sure that an agreeing group is not an empty one (sets with more empty groups than that share a
 key of their own). Keys that occur once are dropped by an aggregation; each of the others is a block with its own tree.
 
-A block is read in pages of bounded size. In a small block all pairs within the bound are candidates; in a larger one each
-point takes its best partner, which links groups of copies without listing their pairs. Where verified links
-leave a larger block in several components, its pages are joined with each other, whole sets at hand, and only points of
-different components are compared. Equal sets are one point from the start, so no link is lost and none is listed twice.
+Blocks that share sets form clusters. A cluster that fits a page is linked in one task: its sets come there once, the tree
+proposes partners, and sets that are already connected are not compared. In a larger cluster links come from its blocks, page
+by page: each point proposes its best partner in another component, for a few rounds, which connects groups of copies without listing
+their pairs. Blocks left in several components are compared whole, and what leaves a task is a spanning forest. Equal sets are
+one point from the start, so no link is lost and none is listed twice.
 
 Sets and contents are compared by 64-bit hashes.
 """
@@ -25,7 +26,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldglass.sources.scratch import materialize
@@ -37,10 +38,14 @@ from .words import ODD, mixed, shingle_set
 
 WINDOW = 4
 SHARE = (85, 100)
-#: Groups of the count vectors.
-GROUPS = 32
+#: Groups of a count vector, at least and at most; in between about half as many as tokens, a power of two.
+GROUPS = (32, 8192)
+#: Rounds at most in which the points of large clusters propose partners.
+ROUNDS = 1
 #: Blocks of at most so many sets give all their pairs within the bound.
 SMALL_BLOCK = 8
+#: Grades of a partner between no and whole overlap (which is half of both sizes).
+STEPS = 400
 #: Points of a page, and tokens of all its sets, about.
 PAGE_POINTS, PAGE_TOKENS = 512, 400_000
 #: Keys and ids are broadcast up to this number (two longs each) and shuffled beyond it.
@@ -109,8 +114,9 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def group_counts(tokens: np.ndarray) -> bytes:
-    starts = np.searchsorted(tokens, _bounds(GROUPS))
-    return np.diff(starts, append=len(tokens)).astype("<i4").tobytes()
+    groups = min(GROUPS[1], max(GROUPS[0], 1 << max(0, len(tokens) // 2 - 1).bit_length()))
+    starts = np.searchsorted(tokens, _bounds(groups))
+    return np.diff(starts, append=len(tokens)).astype("<u2").tobytes()
 
 
 def linked(a: np.ndarray, b: np.ndarray, share: tuple[int, int]) -> bool:
@@ -119,16 +125,16 @@ def linked(a: np.ndarray, b: np.ndarray, share: tuple[int, int]) -> bool:
     return share[1] * both >= share[0] * (len(a) + len(b) - both)
 
 
-DESCRIBED = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()), ("counts", pa.binary())])
+DESCRIBED = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64())])
 
 
 def described(docs: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in row_slices(batches):
             sets = [shingle_set(t, window) for t in texts]
-            yield record_batch(DESCRIBED, [ids, [len(s) for s in sets], [set_id(s) for s in sets], [group_counts(s) for s in sets]])
+            yield record_batch(DESCRIBED, [ids, [len(s) for s in sets], [set_id(s) for s in sets]])
 
-    return docs.mapInArrow(run, "id long, n_shingles long, set_id long, counts binary")
+    return docs.mapInArrow(run, "id long, n_shingles long, set_id long")
 
 
 def keyed(docs: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
@@ -181,25 +187,29 @@ def _column(run: list[pa.RecordBatch], name: str) -> np.ndarray:
 
 
 def _vectors(run: list[pa.RecordBatch]) -> np.ndarray:
-    return np.frombuffer(b"".join(v for b in run for v in b.column("counts").to_pylist()), "<i4").reshape(-1, GROUPS)
+    """Count vectors as a matrix; groups are ranges of hashes, so longer vectors fold into fewer groups by adding neighbours."""
+    own = [np.frombuffer(v, "<u2").astype(np.int64) for b in run for v in b.column("counts").to_pylist()]
+    fewest = min(map(len, own))
+    return np.stack([v if len(v) == fewest else v.reshape(fewest, -1).sum(axis=1) for v in own])
 
 
-def block_pairs(ids: np.ndarray, sizes: np.ndarray, counts: np.ndarray, share: tuple[int, int], every: bool) -> list[tuple[int, int]]:
-    """Candidates of one page: every pair within the bound, or each point's best partner among the points before it."""
+def block_pairs(ids: np.ndarray, label: np.ndarray, sizes: np.ndarray, counts: np.ndarray, share: tuple[int, int], every: bool) -> list[tuple[int, int]]:
+    """Candidates of one page: pairs of different labels within the bound, all or for each point the best with a point before it."""
     tree, found = CountTree(counts, sizes, share), []
     for i in range(1, len(ids)):
         best = None
-        for others, bound in tree.leaves(counts[i].astype(np.int64), int(sizes[i])):
-            earlier = others < i
+        same = lambda s, e: bool((label[tree.order[s:e]] == label[i]).all())  # noqa: B023, E731
+        for others, bound in tree.leaves(tree.counts[i], int(sizes[i]), same):
+            usable = (others < i) & (label[others] != label[i])
             if every:
-                found += [(int(ids[j]), int(ids[i])) for j in others[earlier]]
-            elif earlier.any():
-                score = bound[earlier] / (sizes[others[earlier]] + sizes[i])
-                at = int(score.argmax())
-                if best is None or score[at] > best[0]:
-                    best = (score[at], int(others[earlier][at]))
+                found += [(int(ids[j]), int(ids[i])) for j in others[usable]]
+            elif usable.any():
+                # Of about equally good partners the first, so that blocks with the same sets agree.
+                grade = np.floor(STEPS * bound[usable] / (sizes[others[usable]] + sizes[i]))
+                top = (float(grade.max()), -int(others[usable][grade == grade.max()].min()))
+                best = top if best is None else max(best, top)
         if best is not None:
-            found.append((int(ids[best[1]]), int(ids[i])))
+            found.append((int(ids[-best[1]]), int(ids[i])))
     return found
 
 
@@ -211,14 +221,16 @@ def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def candidates(members: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs to verify from ``members`` (key, page, block_size, pivot, set_id, n, counts), distinct."""
+    """Pairs to verify from ``members`` (key, page, block_size, pivot, set_id, label, n, counts), distinct."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs: set[tuple[int, int]] = set()
         for rows in _runs(batches, ["key", "page"]):
             ids = _column(rows, "set_id")
             size, pivot = int(rows[0].column("block_size")[0].as_py()), int(rows[0].column("pivot")[0].as_py())
-            pairs.update(block_pairs(ids, _column(rows, "n"), _vectors(rows), share, size <= SMALL_BLOCK))
+            label = _column(rows, "label")
+            if (label != label[0]).any():
+                pairs.update(block_pairs(ids, label, _column(rows, "n"), _vectors(rows), share, size <= SMALL_BLOCK))
             if int(ids[0]) != pivot and size > SMALL_BLOCK:
                 pairs.add((pivot, int(ids[0])))
             if len(pairs) > 50_000:
@@ -231,17 +243,20 @@ def candidates(members: DataFrame, share: tuple[int, int]) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """``(set_id, text)`` for the wanted sets, one text each. Documents are found by id, or by their set where that is null."""
+    """``(set_id, n, counts, text)`` for the wanted sets, one text each. Documents are found by id, or by their set where that is null."""
     chosen = materialize(sets.join(wanted, "set_id").select("set_id", F.col("first_id").alias("id")), "wanted")
     by_id = _within(docs, chosen.where("id IS NOT NULL").select("id").distinct(), "id", "left_semi")
     rows = by_id if chosen.where("id IS NULL").isEmpty() else by_id.unionByName(docs.where("id IS NULL"))
+    schema = pa.schema([("set_id", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in row_slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(shingle_set(t, window)) for t in texts], pa.int64()), pa.array(texts, pa.string())], names=["set_id", "text"])
+            tokens = [shingle_set(t, window) for t in texts]
+            yield record_batch(schema, [list(map(set_id, tokens)), list(map(len, tokens)), list(map(group_counts, tokens)), texts])
 
-    found = rows.select("id", "text").mapInArrow(run, "set_id long, text string")
-    return found.join(chosen.select("set_id"), "set_id", "left_semi").groupBy("set_id").agg(F.min("text").alias("text"))
+    found = rows.select("id", "text").mapInArrow(run, "set_id long, n long, counts binary, text string")
+    one = F.min(F.struct("text", "n", "counts")).alias("one")
+    return found.join(chosen.select("set_id"), "set_id", "left_semi").groupBy("set_id").agg(one).select("set_id", "one.n", "one.counts", "one.text")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
@@ -265,38 +280,87 @@ def verified(pairs: DataFrame, texts: DataFrame, window: int, share: tuple[int,
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _rest_links(active: DataFrame, texts: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
-    """Links between different components within blocks that have several; a spanning forest of them per pair of pages."""
+def cluster_links(clustered: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
+    """A spanning forest of the links within each cluster, from rows (cluster, set_id, n, counts, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _runs(batches, ["key", "low", "high"]):
-            page, ids, labels, sizes, counts = (_column(rows, c) if c != "counts" else _vectors(rows) for c in ("page", "set_id", "label", "n", "counts"))
-            texts_here = [t for r in rows for t in r.column("text").to_pylist()]
-            sets: dict[int, np.ndarray] = {}
-            low, high = (int(rows[0].column(c)[0].as_py()) for c in ("low", "high"))
-            tree, found = CountTree(counts, sizes, share), []
-
-            def tokens(i: int) -> np.ndarray:
-                if i not in sets:
-                    sets[i] = shingle_set(texts_here[i], window)
-                return sets[i]
-
-            label = labels.copy()
-            for i in range(len(ids)):
+        for rows in _runs(batches, ["cluster"]):
+            ids, sizes, counts = _column(rows, "set_id"), _column(rows, "n"), _vectors(rows)
+            tokens = [shingle_set(t, window) for r in rows for t in r.column("text").to_pylist()]
+            tree, found, label = CountTree(counts, sizes, share), [], np.arange(len(ids))
+            for i in range(1, len(ids)):
                 same = lambda s, e: bool((label[tree.order[s:e]] == label[i]).all())  # noqa: B023, E731
-                for others, _ in tree.leaves(counts[i].astype(np.int64), int(sizes[i]), same):
+                for others, _ in tree.leaves(tree.counts[i], int(sizes[i]), same):
                     for j in others.tolist():
-                        if j < i and label[j] != label[i] and (low == high or page[i] != page[j]) and linked(tokens(i), tokens(j), share):
+                        if j < i and label[j] != label[i] and linked(tokens[i], tokens[j], share):
                             found.append((int(ids[i]), int(ids[j])))
                             label[label == max(label[i], label[j])] = min(label[i], label[j])
             yield _pair_batch(found)
 
-    spread = active.join(texts, "set_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
-    spread = spread.withColumns({"low": F.least("page", "other"), "high": F.greatest("page", "other")})
-    dealt = spread.repartition(partitions(active), "key", "low", "high").sortWithinPartitions("key", "low", "high", "set_id")
+    dealt = clustered.repartition(partitions(clustered), "cluster").sortWithinPartitions("cluster", "set_id")
     return dealt.mapInArrow(run, "a long, b long")
 
 
+PLACED = "key long, low int, high int, page int, set_id long, label long, n long, counts binary"
+PLACED_COLUMNS = ["key", "low", "high", "page", "set_id", "label", "n", "counts"]
+
+
+def _dealt(placed: DataFrame) -> DataFrame:
+    return placed.repartition(partitions(placed), "key", "low", "high").sortWithinPartitions("key", "low", "high", "set_id")
+
+
+def _partners(tree: CountTree, i: int, label: np.ndarray, page: np.ndarray | None) -> Iterator[int]:
+    """Points before ``i`` within the bound that have another label when their turn comes, and are of another page if pages are given."""
+    same = lambda s, e: bool((label[tree.order[s:e]] == label[i]).all())
+    for others, _ in tree.leaves(tree.counts[i], int(tree.sizes[i]), same):
+        for j in others[others < i].tolist():
+            if label[j] != label[i] and (page is None or page[i] != page[j]):
+                yield j
+
+
+def rest_links(active: DataFrame, texts: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
+    """Links between different labels within blocks (key, page, pages, set_id, label, n, counts): a spanning forest per pair of pages.
+
+    Points without a partner of another label within the bound are dropped before texts are fetched.
+    """
+
+    def pages_of(rows: list[pa.RecordBatch]) -> np.ndarray | None:
+        return None if rows[0].column("low")[0] == rows[0].column("high")[0] else _column(rows, "page")
+
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["key", "low", "high"]):
+            label, page = _column(rows, "label"), pages_of(rows)
+            wanted = np.zeros(len(label), bool)
+            if (label != label[0]).any():
+                tree = CountTree(_vectors(rows), _column(rows, "n"), share)
+                for i in range(1, len(label)):
+                    for others, _ in tree.leaves(tree.counts[i], int(tree.sizes[i])):
+                        usable = others[label[others] != label[i]] if page is None else others[(label[others] != label[i]) & (page[others] != page[i])]
+                        wanted[usable] = True
+                        wanted[i] |= len(usable) > 0
+            start = 0
+            for batch in rows:
+                yield batch.filter(pa.array(wanted[start : start + batch.num_rows]))
+                start += batch.num_rows
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["key", "low", "high"]):
+            ids, label, page, found = _column(rows, "set_id"), _column(rows, "label").copy(), pages_of(rows), []
+            tree = CountTree(_vectors(rows), _column(rows, "n"), share)
+            tokens = [shingle_set(t, window) for r in rows for t in r.column("text").to_pylist()]
+            for i in range(1, len(ids)):
+                for j in _partners(tree, i, label, page):
+                    if linked(tokens[i], tokens[j], share):
+                        found.append((int(ids[i]), int(ids[j])))
+                        label[label == max(label[i], label[j])] = min(label[i], label[j])
+            yield _pair_batch(found)
+
+    spread = active.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
+    spread = spread.withColumns({"low": F.least("page", "other"), "high": F.greatest("page", "other")}).select(*PLACED_COLUMNS)
+    kept = materialize(_dealt(spread).mapInArrow(needed, PLACED), "rest-points")
+    return _dealt(kept.join(texts.select("set_id", "text"), "set_id").select(*PLACED_COLUMNS, "text")).mapInArrow(link, "a long, b long")
+
+
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, share: tuple[int, int] = SHARE) -> DataFrame:
     """One row per document: id, n_shingles, and component_id, the smallest id reachable by links.
 
@@ -308,38 +372,56 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     known = materialize(described(docs, window), "described")
     sets = materialize(
-        known.where("set_id <> 0").groupBy("set_id").agg(F.min("id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("counts").alias("counts")), "sets"
+        known.where("set_id <> 0").groupBy("set_id").agg(F.min("id").alias("first_id"), F.first("n_shingles").alias("n")), "sets"
     )
     keys = keyed(docs, window, share)
     repeated = keys.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot < last")
     repeated = materialize(repeated.select("key", "pivot"), "repeated-keys")
     members = materialize(_within(keys, repeated, "key").distinct(), "members")
-    full = members.join(sets.select("set_id", "n", "counts"), "set_id")
-    size = full.groupBy("key").agg(F.count("*").alias("block_size"), F.sum("n").alias("tokens"))
-    pages = F.greatest(F.ceil(F.col("block_size") / PAGE_POINTS), F.ceil(F.col("tokens") / PAGE_TOKENS)).cast("int")
-    paged = full.join(size.select("key", "block_size", pages.alias("pages")), "key")
-    paged = materialize(paged.withColumn("page", F.pmod(F.xxhash64("set_id"), F.col("pages")).cast("int")), "blocks")
-    pairs = materialize(candidates(paged, share), "candidates")
-    links = materialize(verified(pairs, materialize(texts_of(docs, sets, _ends(pairs), window), "texts"), window, share), "links")
+    stars = members.where("pivot <> set_id").select(F.col("pivot").alias("a"), F.col("set_id").alias("b"))
+    clusters = components(stars)
+    ends = members.select("set_id").distinct().join(clusters.select(F.col("vertex").alias("set_id"), "root"), "set_id", "left")
+    ends = ends.select("set_id", F.coalesce("root", "set_id").alias("cluster")).join(sets.select("set_id", "n"), "set_id")
+    points = materialize(ends, "points")
+    spread = points.groupBy("cluster").agg(_pages(F.count("*"), F.sum("n")).alias("pages"))
+    large = materialize(points.join(spread.where("pages > 1"), "cluster", "left_semi").select("set_id"), "large-clusters")
+    small = points.join(spread.where("pages = 1"), "cluster", "left_semi").select("set_id", "cluster")
+    texts = materialize(texts_of(docs, sets, points.select("set_id"), window), "texts")
+    links = materialize(cluster_links(small.join(texts, "set_id"), window, share), "cluster-links")
+    if not large.isEmpty():
+        links = links.unionByName(_large_links(members, large, texts, window, share))
     found = components(links)
-
-    large = paged.where(F.col("block_size") > SMALL_BLOCK)
-    labelled = large.join(found.select(F.col("vertex").alias("set_id"), "root"), "set_id", "left").withColumn("label", F.coalesce("root", "set_id")).drop("root")
-    several = (
-        labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.expr("bit_xor(xxhash64(set_id))").alias("print"), F.count("*").alias("size"))
-        .where("low < high").groupBy("print", "size").agg(F.min("key").alias("key"))
-    )
-    several = materialize(several.select("key"), "active-blocks")
-    if not several.isEmpty():
-        active = materialize(labelled.join(several, "key", "left_semi"), "active")
-        texts = texts_of(docs, sets, active.select("set_id").distinct(), window)
-        more = materialize(_rest_links(active, texts, window, share), "more-links")
-        found = components(links.unionByName(more))
     return _with_components(known, sets, found, id_col)
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
+def _pages(points: Column, tokens: Column) -> Column:
+    return F.greatest(F.ceil(points / PAGE_POINTS), F.ceil(tokens / PAGE_TOKENS)).cast("int")
+
+
+def _large_links(members: DataFrame, large: DataFrame, texts: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
+    """Links within clusters of several pages, block by block."""
+    full = members.join(large, "set_id").join(texts.select("set_id", "n", "counts"), "set_id")
+    prints = F.expr("bit_xor(xxhash64(set_id))").alias("print")
+    size = full.groupBy("key").agg(F.count("*").alias("block_size"), _pages(F.count("*"), F.sum("n")).alias("pages"), prints)
+    # Of blocks with the same sets one is enough.
+    size = size.groupBy("print", "block_size", "pages").agg(F.min("key").alias("key")).drop("print")
+    paged = full.join(materialize(size, "block-sizes"), "key").withColumn("page", F.pmod(F.xxhash64("set_id"), F.col("pages")).cast("int"))
+    paged = materialize(paged, "blocks")
+    labelled = paged.withColumn("label", F.col("set_id"))
+    links = tested = None
+    for _ in range(ROUNDS):
+        pairs = candidates(labelled, share)
+        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
+        new = materialize(verified(pairs, texts, window, share), "links")
+        tested, links = (pairs, new) if tested is None else (tested.unionByName(pairs), links.unionByName(new))
+        if new.isEmpty():
+            break
+        found = components(links).select(F.col("vertex").alias("set_id"), "root")
+        labelled = paged.join(found, "set_id", "left").withColumn("label", F.coalesce("root", "set_id")).drop("root")
+    several = labelled.where(F.col("block_size") > SMALL_BLOCK).groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    several = several.where("low < high")
+    active = labelled.join(materialize(several.select("key"), "active-blocks"), "key", "left_semi")
+    return links.unionByName(materialize(rest_links(active, texts, window, share), "rest-links"))
 
 
 def _with_components(known: DataFrame, sets: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
