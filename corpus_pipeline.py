@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldglass.llm import crf_lines, ngram_join, packing, secret_scan, site_quality
+from fieldglass.llm.common import share_package
 from fieldglass.sources.scratch import materialize
 
 #: SQL cannot express the stages' methods; tests/llm compares them with brute force.
@@ -18,26 +19,31 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
+    share_package(spark)
     return site_quality.keep_good(docs, _labels(spark, sf_dir))
 
 
 def keep_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose lines are mostly content and that pass the base rules."""
+    share_package(spark)
     return crf_lines.keep_content(docs, crf_lines.fit_on(docs, _labels(spark, sf_dir)))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five words, similarity 0.8 or more."""
+    share_package(spark)
     return ngram_join.keep_one(docs, window=5, share=(80, 100))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets masked."""
+    share_package(spark)
     return secret_scan.mask(docs, "text", "n_chars")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document with its place in a sequence of 2048 tokens."""
+    share_package(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
 
 
