@@ -400,13 +400,13 @@ def _pages(points: Column, tokens: Column) -> Column:
 
 def _large_links(members: DataFrame, large: DataFrame, texts: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
     """Links within clusters of several pages, block by block."""
-    full = members.join(large, "set_id").join(texts.select("set_id", "n", "counts"), "set_id")
-    prints = F.expr("bit_xor(xxhash64(set_id))").alias("print")
-    size = full.groupBy("key").agg(F.count("*").alias("block_size"), _pages(F.count("*"), F.sum("n")).alias("pages"), prints)
-    # Of blocks with the same sets one is enough.
-    size = size.groupBy("print", "block_size", "pages").agg(F.min("key").alias("key")).drop("print")
-    paged = full.join(materialize(size, "block-sizes"), "key").withColumn("page", F.pmod(F.xxhash64("set_id"), F.col("pages")).cast("int"))
-    paged = materialize(paged, "blocks")
+    inside = members.join(large, "set_id", "left_semi")
+    prints = inside.groupBy("key").agg(F.count("*").alias("block_size"), F.expr("bit_xor(xxhash64(set_id))").alias("print"))
+    # Of blocks with the same sets one is enough; vectors join what is left.
+    blocks = materialize(prints.groupBy("print", "block_size").agg(F.min("key").alias("key")).drop("print"), "distinct-blocks")
+    full = materialize(inside.join(blocks, "key").join(texts.select("set_id", "n", "counts"), "set_id"), "block-points")
+    size = full.groupBy("key").agg(_pages(F.count("*"), F.sum("n")).alias("pages"))
+    paged = full.join(size, "key").withColumn("page", F.pmod(F.xxhash64("set_id"), F.col("pages")).cast("int"))
     labelled = paged.withColumn("label", F.col("set_id"))
     links = tested = None
     for _ in range(ROUNDS):
@@ -418,7 +418,7 @@ def _large_links(members: DataFrame, large: DataFrame, texts: DataFrame, window:
             break
         found = components(links).select(F.col("vertex").alias("set_id"), "root")
         labelled = paged.join(found, "set_id", "left").withColumn("label", F.coalesce("root", "set_id")).drop("root")
-    several = labelled.where(F.col("block_size") > SMALL_BLOCK).groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    several = labelled.where((F.col("block_size") > SMALL_BLOCK) | (F.col("pages") > 1)).groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     several = several.where("low < high")
     active = labelled.join(materialize(several.select("key"), "active-blocks"), "key", "left_semi")
     return links.unionByName(materialize(rest_links(active, texts, window, share), "rest-links"))
