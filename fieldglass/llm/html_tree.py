@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 from html import unescape
+from zlib import crc32
 
 # Element names of HTML by their behaviour.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -43,6 +44,7 @@ class Element:
     children: list = field(default_factory=list)  # elements and strings
     chars: int = 0
     link_chars: int = 0
+    checksum: int = 0
 
 
 def _attributes(source: str) -> tuple[str, set[str], bool]:
@@ -119,7 +121,7 @@ def _close(stack: list[Element], names: set[str], stop: frozenset | set) -> None
 
 
 def measure(root: Element) -> None:
-    """Count the characters of content, and of those in links, below every element; without recursion."""
+    """Count the characters of content, and of those in links, below every element, with a checksum of the content; without recursion."""
     order, todo = [], [root]
     while todo:
         element = todo.pop()
@@ -130,6 +132,8 @@ def measure(root: Element) -> None:
         below = [c for c in element.children if not isinstance(c, str)]
         element.chars = own + sum(c.chars for c in below)
         element.link_chars = (own if element.in_link else 0) + sum(c.link_chars for c in below)
+        parts = [" ".join(c.split()) if isinstance(c, str) else f"<{c.checksum}>" for c in element.children if isinstance(c, str) or (c.content and c.chars)]
+        element.checksum = crc32("".join(parts).encode("utf-8", "replace"))
 
 
 def blocks(region: Element, links: bool = True) -> list[str]:

@@ -2,10 +2,14 @@
 
 A wrapper is a union-free regular expression over nested tags: elements, optional groups ``( )?``, repeated groups ``( )+``, constant
 texts and text slots. It starts as one page and is aligned with further ones, one at a time: neighbouring elements of the same
-kind fold into a repeated group, an element that one side lacks becomes optional, texts that differ become a slot. The slots say
-where the host's pages keep their text: an article element, a main element, or the innermost element that holds
-most of the slots' text. That region is read from every page of the host, without menus, forms, adverts and the like. A page without
-the region is read by the wrapper inferred from itself.
+kind fold into a repeated group, an element that one side lacks becomes optional, texts that differ become a slot. A block whose text
+is the same on all pages that have its element, three different ones at least, is fixed. What is not fixed says where the host's
+pages keep their text: an article element or a main element with a fifth of it, or the innermost element that holds most of it. That
+region is read from every page of the host. A page without the region is read by the wrapper inferred from itself.
+
+Fixed lists of tags and classes (``html_tree.NOT_CONTENT``, ``MARKS``) take away menus, forms, adverts and the like before that.
+Fixed blocks are left out of regions other than article and main elements, whose authors have marked the text themselves; a first
+heading stays, and so does a text that is fixed as a whole.
 
 Wrappers are inferred from at most ``SAMPLE_PAGES`` pages of a host: of as many hash buckets of page ids, the page with the smallest
 hash. Only outlines of those pages are moved, minima are combined before the shuffle, and every page is extracted.
@@ -15,10 +19,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from zlib import crc32
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from fieldglass.sources.scratch import materialize
 
 from .common import record_batch, row_slices
-from .html_tree import Element, blocks, measure, parse
+from .html_tree import BLOCK, Element, blocks, measure, parse
 
 SAMPLE_PAGES = 8
 #: Levels of elements that an outline has; deeper text counts for its ancestors.
@@ -36,11 +39,18 @@ MOST = 0.7
 #: Hosts and buckets a task holds before it hands them on.
 HELD = 20_000
 SLOT = None
+#: Different pages that must share a text before it counts as fixed.
+CERTAIN = 3
+NAMED = ("article", "main")
 
 
 @dataclass
 class Node:
-    """Part of a wrapper: an element with the text right inside it, which is a checksum if constant and ``SLOT`` if not."""
+    """Part of a wrapper: an element with the text right inside it, which is a checksum if constant and ``SLOT`` if not.
+
+    ``fixed``: checksums and lengths of whole texts that every page with this element has in it. ``pages``: their number, and
+    ``marks`` the smallest ``CERTAIN`` checksums of different pages among them.
+    """
 
     key: str
     text: int | None = 0
@@ -48,61 +58,96 @@ class Node:
     optional: bool = False
     repeated: bool = False
     children: list[Node] = field(default_factory=list)
+    fixed: dict[int, float] = field(default_factory=dict)
+    pages: int = 1
+    marks: tuple[int, ...] = ()
 
-    def packed(self) -> list:
-        return [self.key, self.text, self.chars, self.optional, self.repeated, [c.packed() for c in self.children]]
+    @property
+    def tag(self) -> str:
+        return tag_of(self.key)
+
+    def packed(self, above: Node | None = None) -> list:
+        """As a list; what equals the parent's is left out."""
+        seen = 0 if above and (above.pages, above.marks) == (self.pages, self.marks) else [self.pages, *self.marks]
+        return [self.key, self.text, self.chars, int(self.optional), int(self.repeated), [c.packed(self) for c in self.children], list(self.fixed.items()), seen]
 
     @staticmethod
-    def unpacked(data: list) -> Node:
-        return Node(*data[:5], [Node.unpacked(c) for c in data[5]])
+    def unpacked(data: list, above: Node | None = None) -> Node:
+        pages, marks = (above.pages, above.marks) if not data[7] else (data[7][0], tuple(data[7][1:]))
+        node = Node(*data[:3], bool(data[3]), bool(data[4]), [], dict(data[6]), pages, marks)
+        node.children = [Node.unpacked(c, node) for c in data[5]]
+        return node
+
+    def loose(self) -> float:
+        """Characters that are not fixed."""
+        own = self.chars - sum(c.chars for c in self.children)
+        left = own + sum(c.loose() for c in self.children)
+        return max(0.0, min(left, self.chars - self.pages * sum(self.fixed.values()) if len(self.marks) == CERTAIN else left))
 
     def __str__(self) -> str:
         inner = ("#TEXT" if self.text is SLOT else "text" if self.text else "") + "".join(map(str, self.children))
-        whole = f"<{self.key}>{inner}</{self.key.split('.')[0].split('#')[0]}>" if self.key else inner
+        whole = f"<{self.key}>{inner}</{self.tag}>" if self.key else inner
         return f"({whole})" + ("+" if self.repeated else "") + ("?" if self.optional else "") if self.optional or self.repeated else whole
 
 
-def outline(element: Element, depth: int = 0) -> Node:
+def tag_of(key: str) -> str:
+    return key.split(".")[0].split("#")[0]
+
+
+def outline(element: Element) -> Node:
     """A measured page as a wrapper. Elements that are not content have no part in it."""
+    return _outline(element, 0, (element.checksum,))
+
+
+def _outline(element: Element, depth: int, marks: tuple[int, ...]) -> Node:
     texts = [c.strip() for c in element.children if isinstance(c, str)]
-    node = Node(element.key, crc32(" ".join(texts).encode()) if any(texts) else 0, float(element.chars - element.link_chars))
+    node = Node(element.key, crc32(" ".join(texts).encode("utf-8", "replace")) if any(texts) else 0, float(element.chars - element.link_chars), marks=marks)
+    if element.tag in BLOCK and element.tag not in ("html", "body", "h1"):
+        node.fixed = {element.checksum: node.chars}
     if depth < DEPTH:
-        node.children = folded([outline(c, depth + 1) for c in element.children if not isinstance(c, str) and c.content and c.chars])
+        node.children = folded([_outline(c, depth + 1, marks) for c in element.children if not isinstance(c, str) and c.content and c.chars])
     return node
 
 
 def folded(children: list[Node]) -> list[Node]:
-    """Neighbours of the same kind become one repeated group."""
+    """Neighbours of the same kind on a page become one repeated group."""
     out: list[Node] = []
     for child in children:
         if out and out[-1].key == child.key:
-            merged = aligned(out[-1], child)
-            merged.chars, merged.repeated = out[-1].chars + child.chars, True
-            out[-1] = merged
+            out[-1] = aligned(out[-1], child, one_page=True)
+            out[-1].repeated = True
         else:
             out.append(child)
     return out
 
 
-def aligned(left: Node, right: Node) -> Node:
-    """The wrapper of two parts of the same kind; texts' lengths add up."""
+def aligned(left: Node, right: Node, one_page: bool = False) -> Node:
+    """The wrapper of two parts of the same kind, of different pages or of one; texts' lengths add up."""
     text = left.text if left.text == right.text else SLOT
-    node = Node(left.key, text, left.chars + right.chars, left.optional or right.optional, left.repeated or right.repeated)
+    node = Node(left.key, text, left.chars + right.chars, left.optional or right.optional, left.repeated or right.repeated, marks=left.marks)
+    if one_page:
+        node.fixed, node.pages = {k: left.fixed.get(k, 0.0) + right.fixed.get(k, 0.0) for k in {**left.fixed, **right.fixed}}, 1
+    else:
+        node.fixed = {k: min(n, right.fixed[k]) for k, n in left.fixed.items() if k in right.fixed}
+        node.pages, node.marks = left.pages + right.pages, tuple(sorted({*left.marks, *right.marks})[:CERTAIN])
     a, b = left.children, right.children
+    if [c.key for c in a] == [c.key for c in b]:
+        node.children = [aligned(x, y, one_page) for x, y in zip(a, b)]
+        return node
     # Longest common subsequence of kinds.
-    best = np.zeros((len(a) + 1, len(b) + 1), np.int32)
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
-            best[i, j] = best[i + 1, j + 1] + 1 if a[i].key == b[j].key else max(best[i + 1, j], best[i, j + 1])
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i].key == b[j].key else max(best[i + 1][j], best[i][j + 1])
     i = j = 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and a[i].key == b[j].key:
-            node.children.append(aligned(a[i], b[j]))
+            node.children.append(aligned(a[i], b[j], one_page))
             i, j = i + 1, j + 1
         else:
-            lacks = j == len(b) or (i < len(a) and best[i + 1, j] >= best[i, j + 1])
+            lacks = j == len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1])
             alone, i, j = (a[i], i + 1, j) if lacks else (b[j], i, j + 1)
-            node.children.append(Node(alone.key, alone.text, alone.chars, True, alone.repeated, alone.children))
+            node.children.append(replace(alone, optional=True))
     return node
 
 
@@ -115,26 +160,61 @@ def infer(pages: list[Node]) -> Node:
 
 
 def region_path(wrapper: Node) -> list[str]:
-    """Kinds of elements from the root to the region that holds the main text."""
+    """Kinds of elements from the root to the region that holds the main text: text that is not fixed, if there is any."""
+    weight = Node.loose if wrapper.loose() else lambda node: node.chars
     best: dict[str, tuple[float, list[str]]] = {}
     todo = [(wrapper, [])]
     while todo:
         node, path = todo.pop()
-        tag = node.key.split(".")[0].split("#")[0]
-        if tag in ("article", "main") and node.chars > best.get(tag, (0, []))[0]:
-            best[tag] = (node.chars, path)
+        if node.tag in NAMED and (found := weight(node)) > best.get(node.tag, (0, []))[0]:
+            best[node.tag] = (found, path)
         todo += [(c, [*path, c.key]) for c in node.children]
-    for tag in ("article", "main"):
-        if tag in best and best[tag][0] >= 0.2 * wrapper.chars:
+    for tag in NAMED:
+        if tag in best and best[tag][0] >= 0.2 * weight(wrapper):
             return best[tag][1]
     node, path = wrapper, []
-    while inner := max((c for c in node.children if not c.repeated and c.key.split(".")[0].split("#")[0] not in ("p", "pre", "ul", "ol", "h1")), key=lambda c: c.chars, default=None):
-        if inner.chars < MOST * node.chars:
+    while inner := max((c for c in node.children if not c.repeated and c.tag not in ("p", "pre", "ul", "ol", "h1")), key=weight, default=None):
+        if not weight(inner) or weight(inner) < MOST * weight(node):
             break
         node, path = inner, [*path, inner.key]
     return path
 
 
+def place(path: list[str], whole: int) -> int:
+    """A text at a place, as one number."""
+    return crc32("/".join(path).encode()) << 32 | whole
+
+
+def fixed_blocks(wrapper: Node) -> list[int]:
+    """Places of the fixed blocks; none if all text is fixed."""
+    found: list[int] = []
+    todo = [(wrapper, [])] if wrapper.loose() else []
+    while todo:
+        node, path = todo.pop()
+        if len(node.marks) == CERTAIN:
+            found += [place(path, whole) for whole in node.fixed]
+        if node.loose():
+            todo += [(c, [*path, c.key]) for c in node.children]
+    return sorted(set(found))
+
+
+def leave_out(region: Element, path: list[str], fixed: frozenset[int]) -> None:
+    """Mark the fixed blocks of a region as no content, unless nothing else is left."""
+    found, todo = [], [(region, path)]
+    while todo:
+        element, at = todo.pop()
+        for c in element.children:
+            if isinstance(c, str) or not c.content or not c.chars or len(at) >= DEPTH:
+                continue
+            if c.tag in BLOCK and place([*at, c.key], c.checksum) in fixed:
+                found.append(c)
+            else:
+                todo.append((c, [*at, c.key]))
+    if sum(c.chars for c in found) < region.chars:
+        for c in found:
+            c.content = False
+
+
 def at_path(root: Element, path: list[str]) -> Element | None:
     """The element that the path leads to; of several the one with the most text."""
     here = [root]
@@ -143,15 +223,18 @@ def at_path(root: Element, path: list[str]) -> Element | None:
     return max(here, key=lambda e: e.chars, default=None)
 
 
-def main_text(html: str | None, path: list[str] | None) -> str:
-    """The main text; ``path`` leads to the host's region, None if nothing is known of the host."""
+def main_text(html: str | None, known: dict | None) -> str:
+    """The main text; ``known``: the path of the host's region and its fixed blocks, None if nothing is known of the host."""
     root = parse(html)
     measure(root)
+    path = known["path"] if known else None
     region = at_path(root, path) if path is not None else None
     if region is None or not region.chars:
         path = region_path(outline(root))
         region = at_path(root, path) or root
-    named = any(k.split(".")[0].split("#")[0] in ("article", "main") for k in path)
+    named = any(tag_of(k) in NAMED for k in path)
+    if known and known["fixed"] and not named:
+        leave_out(region, path, frozenset(known["fixed"]))
     return "\n".join(blocks(region, links=named))
 
 
@@ -164,7 +247,7 @@ OUTLINES = pa.schema([("host", pa.string()), ("bucket", pa.int32()), ("hash", pa
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """``(host, wrapper, region)`` for every host of ``pages`` (host, hash, html); region is the path as JSON."""
+    """``(host, wrapper, region)`` for every host of ``pages`` (host, hash, html); region is its path and the fixed blocks as JSON."""
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int], tuple[int, str]] = {}
@@ -189,7 +272,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hosts, outlines in row_slices(batches):
             made = [infer([Node.unpacked(json.loads(o)) for o in some]) for some in outlines]
-            yield record_batch(schema, [hosts, list(map(str, made)), [json.dumps(region_path(m)) for m in made]])
+            yield record_batch(schema, [hosts, list(map(str, made)), [json.dumps({"path": region_path(m), "fixed": fixed_blocks(m)}) for m in made]])
 
     taken = pages.select("host", "hash", "html").mapInArrow(sample, "host string, bucket int, hash long, outline string")
     chosen = taken.groupBy("host", "bucket").agg(F.min_by("outline", F.struct("hash", "outline")).alias("outline"))

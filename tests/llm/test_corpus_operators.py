@@ -253,6 +253,18 @@ def test_wrapper_of_a_host_without_article_tags(spark):
     assert "(<p>#TEXT" in wrapper.wrapper and ")+" in wrapper.wrapper and '"div.s.story"' in wrapper.region
 
 
+def test_wrapper_leaves_out_what_a_host_repeats(spark):
+    legal = "".join(f"<p>Clause {i} is the same on all pages of this host, and it is long. {'word ' * 60}</p>" for i in range(6))
+    page = "<body><div class=box><div class=legal>{}</div><div class=story><h1>The paper</h1><p>Story {} is short.</p><p>Again</p></div></div></body>"
+    rows = [(n, "http://h/x", page.format(legal, n)) for n in range(6)] + [(9, "http://other/x", page.format(legal, 9))]
+    got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[n].startswith(f"The paper\nStory {n} is short.") and "Clause" not in got[n] for n in range(6))
+    flat = "<body><p>{} of the pages of the host, which has many of them.</p><p>Same words on every page.</p><p>{} is at the end of it</p></body>"
+    rows = [(n, "http://h/x", flat.format(n, n)) for n in range(5)] + [(n, "http://copies/x", flat.format(0, 0)) for n in range(5, 9)]
+    got = {r.page_id: r.text.split("\n") for r in html_wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [len(got[n]) for n in range(9)] == [2] * 5 + [3] * 4
+
+
 def test_alignment_resolves_mismatches():
     def page(html):
         root = parse(html)
