@@ -24,9 +24,13 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose lines are mostly content and that pass the base rules."""
+    """Documents whose lines are mostly content and that pass the base rules.
+
+    The field is that of ``op2_line_rules``: stage 1 takes most documents of one label away, so it is fitted on the whole table.
+    """
     share_package(spark)
-    return crf_lines.keep_content(docs, crf_lines.fit_on(docs, _labels(spark, sf_dir)))
+    whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return crf_lines.keep_content(docs, crf_lines.fit_on(whole, _labels(spark, sf_dir)))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -385,6 +385,23 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed} == set(kept)
 
 
+def test_pipeline_judges_lines_by_the_field_of_the_whole_table(spark):
+    larger = SF.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{larger}/documents.parquet")
+    labels = spark.read.parquet(f"{larger}/labels.parquet")
+    good = docs.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    junk = "BUY!! NOW!! $$$ ###\nX | Y | Z | %% ||\n## FREE $$ CASH !! && **\nCLICK | HERE | $$ ||\n"
+    # Only documents of one label are left, so a field fitted on them finds content everywhere.
+    assert crf_lines.judge(junk, crf_lines.ALL_CONTENT)[-1]
+    given = good.unionByName(spark.createDataFrame([(-1, junk, "en", "s", len(junk))], docs.schema))
+    kept = [r.doc_id for r in corpus_pipeline.keep_content(spark, given, larger).collect()]
+    field = crf_lines.fit_on(docs, labels)
+    assert field is not crf_lines.ALL_CONTENT
+    assert sorted(kept) == sorted(r.doc_id for r in given.collect() if crf_lines.judge(r.text, field)[-1])
+    verdicts = {r.doc_id: r.kept for r in queries.op2_line_rules(spark, larger).collect()}
+    assert all(verdicts[k] for k in kept) and -1 not in kept
+
+
 def test_pipeline_of_empty_documents(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
