@@ -136,11 +136,8 @@ def measure(root: Element) -> None:
         element.checksum = crc32("".join(parts).encode("utf-8", "replace"))
 
 
-def blocks(region: Element, links: bool = True) -> list[str]:
-    """Texts of the blocks of a region in page order, references decoded and white space made one space.
-
-    Without ``links``, blocks of elements whose text is mostly links are left out as menus.
-    """
+def blocks(region: Element) -> list[str]:
+    """Texts of the blocks of a region in page order, references decoded and white space made one space."""
     found: list[str] = []
     held: list[str] = []
 
@@ -157,7 +154,7 @@ def blocks(region: Element, links: bool = True) -> list[str]:
             flush()
         elif isinstance(item, str):
             held.append(unescape(item))
-        elif item.content and (links or item is region or item.tag == "p" or 2 * item.link_chars <= item.chars or item.tag not in BLOCK):
+        elif item.content:
             if item.tag in ("br", "td", "th"):
                 held.append(" ")
             if item.tag in BLOCK:

@@ -4,15 +4,17 @@ A wrapper is a union-free regular expression over nested tags: elements, optiona
 texts and text slots. It starts as one page and is aligned with further ones, one at a time: neighbouring elements of the same
 kind fold into a repeated group, an element that one side lacks becomes optional, texts that differ become a slot. A block whose text
 is the same on all pages that have its element, three different ones at least, is fixed. What is not fixed says where the host's
-pages keep their text: an article element or a main element with a fifth of it, or the innermost element that holds most of it. That
-region is read from every page of the host. A page without the region is read by the wrapper inferred from itself.
+pages keep their text: article elements or main elements with half of it, or the innermost element that holds most of it. All elements
+at that place are read from every page of the host. A page where they hold less than half of what is not fixed, as one of another
+template, is read by the wrapper inferred from itself if that finds more.
 
 Fixed lists of tags and classes (``html_tree.NOT_CONTENT``, ``MARKS``) take away menus, forms, adverts and the like before that.
 Fixed blocks are left out of regions other than article and main elements, whose authors have marked the text themselves; a first
 heading stays, and so does a text that is fixed as a whole.
 
-Wrappers are inferred from at most ``SAMPLE_PAGES`` pages of a host: of as many hash buckets of page ids, the page with the smallest
-hash. Only outlines of those pages are moved, minima are combined before the shuffle, and every page is extracted.
+Every page has a part in its host's wrapper. A task aligns the pages of a host that it sees; wrappers of many pages are aligned in
+``PARTS`` groups by hash first, so that no task has all of a large host. Of at least ``MANY`` pages, optional elements on less than
+a hundredth leave the wrapper (their text still counts for what is around them), so that a wrapper does not grow with the host.
 """
 
 from __future__ import annotations
@@ -31,13 +33,18 @@ from fieldglass.sources.scratch import materialize
 from .common import record_batch, row_slices
 from .html_tree import BLOCK, Element, blocks, measure, parse
 
-SAMPLE_PAGES = 8
 #: Levels of elements that an outline has; deeper text counts for its ancestors.
 DEPTH = 40
 #: Share of a region's text that an element inside needs to be the region itself.
 MOST = 0.7
-#: Hosts and buckets a task holds before it hands them on.
-HELD = 20_000
+#: Share of the text that is not fixed which article and main elements, or the host's region on a page, hold at least.
+SHARE = 0.5
+#: Pages a task aligns before it hands the wrappers on.
+HELD = 2_000
+#: Groups for wrappers of ``SEVERAL`` pages or more of one host.
+PARTS, SEVERAL = 32, 8
+#: Pages from which rare elements leave a wrapper.
+MANY = 100
 SLOT = None
 #: Different pages that must share a text before it counts as fixed.
 CERTAIN = 3
@@ -151,14 +158,23 @@ def aligned(left: Node, right: Node, one_page: bool = False) -> Node:
     return node
 
 
-def infer(pages: list[Node]) -> Node:
-    """The wrapper of a host, its pages aligned one after the other."""
-    wrapper = pages[0]
-    for page in pages[1:]:
-        wrapper = aligned(wrapper, page)
+def pruned(wrapper: Node) -> Node:
+    """The wrapper of many pages without elements that few of them have."""
+    todo = [wrapper] if wrapper.pages >= MANY else []
+    while todo:
+        node = todo.pop()
+        node.children = [c for c in node.children if not c.optional or 100 * c.pages >= node.pages]
+        todo += [c for c in node.children if c.pages >= MANY]
     return wrapper
 
 
+def infer(pages: list[Node]) -> Node:
+    """The wrapper of pages or of wrappers, neighbours aligned first so that all have the same weight."""
+    while len(pages) > 1:
+        pages = [pruned(aligned(*pages[i : i + 2])) if i + 1 < len(pages) else pages[i] for i in range(0, len(pages), 2)]
+    return pages[0]
+
+
 def region_path(wrapper: Node) -> list[str]:
     """Kinds of elements from the root to the region that holds the main text: text that is not fixed, if there is any."""
     weight = Node.loose if wrapper.loose() else lambda node: node.chars
@@ -170,7 +186,7 @@ def region_path(wrapper: Node) -> list[str]:
             best[node.tag] = (found, path)
         todo += [(c, [*path, c.key]) for c in node.children]
     for tag in NAMED:
-        if tag in best and best[tag][0] >= 0.2 * weight(wrapper):
+        if tag in best and best[tag][0] >= SHARE * weight(wrapper):
             return best[tag][1]
     node, path = wrapper, []
     while inner := max((c for c in node.children if not c.repeated and c.tag not in ("p", "pre", "ul", "ol", "h1")), key=weight, default=None):
@@ -180,62 +196,78 @@ def region_path(wrapper: Node) -> list[str]:
     return path
 
 
-def place(path: list[str], whole: int) -> int:
-    """A text at a place, as one number."""
-    return crc32("/".join(path).encode()) << 32 | whole
+def step(at: int, key: str) -> int:
+    """The place of an element below another one's place."""
+    return crc32(f"/{key}".encode("utf-8", "replace"), at)
 
 
 def fixed_blocks(wrapper: Node) -> list[int]:
-    """Places of the fixed blocks; none if all text is fixed."""
-    found: list[int] = []
-    todo = [(wrapper, [])] if wrapper.loose() else []
+    """Places and texts of the fixed blocks, as numbers; none if all text is fixed."""
+    found: set[int] = set()
+    todo = [(wrapper, 0)] if wrapper.loose() else []
     while todo:
-        node, path = todo.pop()
+        node, at = todo.pop()
         if len(node.marks) == CERTAIN:
-            found += [place(path, whole) for whole in node.fixed]
+            found.update(at << 32 | whole for whole in node.fixed)
         if node.loose():
-            todo += [(c, [*path, c.key]) for c in node.children]
-    return sorted(set(found))
+            todo += [(c, step(at, c.key)) for c in node.children]
+    return sorted(found)
 
 
-def leave_out(region: Element, path: list[str], fixed: frozenset[int]) -> None:
-    """Mark the fixed blocks of a region as no content, unless nothing else is left."""
-    found, todo = [], [(region, path)]
+def fixed_elements(root: Element, fixed: frozenset[int]) -> list[Element]:
+    """The fixed blocks of a page."""
+    found, todo = [], [(root, 0, 0)] if fixed else []
     while todo:
-        element, at = todo.pop()
+        element, at, depth = todo.pop()
         for c in element.children:
-            if isinstance(c, str) or not c.content or not c.chars or len(at) >= DEPTH:
-                continue
-            if c.tag in BLOCK and place([*at, c.key], c.checksum) in fixed:
-                found.append(c)
-            else:
-                todo.append((c, [*at, c.key]))
-    if sum(c.chars for c in found) < region.chars:
-        for c in found:
-            c.content = False
-
-
-def at_path(root: Element, path: list[str]) -> Element | None:
-    """The element that the path leads to; of several the one with the most text."""
+            if not isinstance(c, str) and c.content and c.chars and depth < DEPTH:
+                below = step(at, c.key)
+                if c.tag in BLOCK and below << 32 | c.checksum in fixed:
+                    found.append(c)
+                else:
+                    todo.append((c, below, depth + 1))
+    return found
+
+
+def at_path(root: Element, path: list[str]) -> list[Element]:
+    """All elements that the path leads to."""
     here = [root]
     for key in path:
         here = [c for e in here for c in e.children if not isinstance(c, str) and c.key == key and c.content]
-    return max(here, key=lambda e: e.chars, default=None)
+    return here
+
+
+def own_chars(elements: list[Element]) -> int:
+    return sum(e.chars - e.link_chars for e in elements)
 
 
 def main_text(html: str | None, known: dict | None) -> str:
     """The main text; ``known``: the path of the host's region and its fixed blocks, None if nothing is known of the host."""
     root = parse(html)
     measure(root)
-    path = known["path"] if known else None
-    region = at_path(root, path) if path is not None else None
-    if region is None or not region.chars:
-        path = region_path(outline(root))
-        region = at_path(root, path) or root
-    named = any(tag_of(k) in NAMED for k in path)
-    if known and known["fixed"] and not named:
-        leave_out(region, path, frozenset(known["fixed"]))
-    return "\n".join(blocks(region, links=named))
+    gone = fixed_elements(root, frozenset(known["fixed"])) if known else []
+    if own_chars(gone) >= own_chars([root]):
+        gone = []
+
+    def mark(content: bool) -> None:
+        for element in gone:
+            element.content = content
+        if gone:
+            measure(root)
+
+    mark(False)
+    path = known["path"] if known else []
+    regions = at_path(root, path) if known else []
+    held = own_chars(regions)
+    if not sum(e.chars for e in regions) or held < SHARE * own_chars([root]):
+        own = region_path(outline(root))
+        found = at_path(root, own) or [root]
+        if not regions or own_chars(found) > held or (own_chars(found) == held and sum(e.chars for e in found) > sum(e.chars for e in regions)):
+            path, regions = own, found
+    if any(tag_of(k) in NAMED for k in path):
+        mark(True)
+        regions = at_path(root, path)
+    return "\n".join(text for region in regions for text in blocks(region))
 
 
 def host_of(url: Column) -> Column:
@@ -243,40 +275,52 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-OUTLINES = pa.schema([("host", pa.string()), ("bucket", pa.int32()), ("hash", pa.int64()), ("outline", pa.string())])
+OUTLINES = pa.schema([("host", pa.string()), ("part", pa.int32()), ("outline", pa.string())])
+OUTLINES_SQL = "host string, part int, outline string"
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """``(host, wrapper, region)`` for every host of ``pages`` (host, hash, html); region is its path and the fixed blocks as JSON."""
 
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], tuple[int, str]] = {}
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[int, Node]] = {}
+        taken = 0
 
         def out() -> pa.RecordBatch:
-            return record_batch(OUTLINES, list(zip(*((*k, *v) for k, v in held.items()))) or [[]] * 4)
+            rows = [(host, hashed % PARTS if w.pages >= SEVERAL else 0, json.dumps(pruned(w).packed(), separators=(",", ":"))) for host, (hashed, w) in held.items()]
+            return record_batch(OUTLINES, list(zip(*rows)) or [[]] * len(OUTLINES))
 
         for hosts, hashes, htmls in row_slices(batches):
             for host, hashed, html in zip(hosts, hashes, htmls):
-                slot = (host, hashed % SAMPLE_PAGES)
-                if slot not in held or hashed < held[slot][0]:
-                    root = parse(html)
-                    measure(root)
-                    held[slot] = (hashed, json.dumps(outline(root).packed()))
-            if len(held) > HELD:
+                root = parse(html)
+                measure(root)
+                page = outline(root)
+                held[host] = (held[host][0], aligned(held[host][1], page)) if host in held else (hashed, page)
+            taken += len(hosts)
+            if taken >= HELD:
                 yield out()
                 held.clear()
+                taken = 0
         yield out()
 
     schema = pa.schema([("host", pa.string()), ("wrapper", pa.string()), ("region", pa.string())])
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hosts, outlines in row_slices(batches):
-            made = [infer([Node.unpacked(json.loads(o)) for o in some]) for some in outlines]
-            yield record_batch(schema, [hosts, list(map(str, made)), [json.dumps({"path": region_path(m), "fixed": fixed_blocks(m)}) for m in made]])
+    def infer_all(some: list[str]) -> Node:
+        return infer([Node.unpacked(json.loads(o)) for o in sorted(some)])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hosts, outlines in row_slices(batches, 32):
+            yield record_batch(OUTLINES, [hosts, [0] * len(hosts), [o[0] if len(o) == 1 else json.dumps(infer_all(o).packed(), separators=(",", ":")) for o in outlines]])
 
-    taken = pages.select("host", "hash", "html").mapInArrow(sample, "host string, bucket int, hash long, outline string")
-    chosen = taken.groupBy("host", "bucket").agg(F.min_by("outline", F.struct("hash", "outline")).alias("outline"))
-    return chosen.groupBy("host").agg(F.sort_array(F.collect_list("outline")).alias("outlines")).mapInArrow(build, "host string, wrapper string, region string")
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hosts, outlines in row_slices(batches, 32):
+            made = [infer_all(o) for o in outlines]
+            regions = [json.dumps({"path": region_path(m), "fixed": fixed_blocks(m)}) for m in made]
+            yield record_batch(schema, [hosts, list(map(str, made)), regions])
+
+    taken = pages.select("host", "hash", "html").mapInArrow(align, OUTLINES_SQL)
+    parts = taken.groupBy("host", "part").agg(F.collect_list("outline").alias("outlines")).select("host", "outlines").mapInArrow(merge, OUTLINES_SQL)
+    return parts.groupBy("host").agg(F.collect_list("outline").alias("outlines")).mapInArrow(build, "host string, wrapper string, region string")
 
 
 TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])

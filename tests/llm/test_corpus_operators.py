@@ -265,6 +265,26 @@ def test_wrapper_leaves_out_what_a_host_repeats(spark):
     assert [len(got[n]) for n in range(9)] == [2] * 5 + [3] * 4
 
 
+def test_wrapper_reads_other_templates_and_all_parts(spark):
+    long = "Words of the text of page {n}, which go on and on for a while. " * 8
+    usual = "<body><article><h1>T{n}</h1><p>" + long + "</p></article></body>"
+    teaser = "<body><article><p>Teaser {n}</p></article><div class=post><p>" + long + "</p></div></body>"
+    parts = "<body><article><p>First {n}</p></article><article><p>" + long + "</p></article></body>"
+    links = "<body><div class=story><h2><a href=x>Linked heading {n}</a></h2><p>" + long + "</p><ul><li><a href=y>Source {n}</a></li></ul></div></body>"
+    split = "<body><div class=wrap><div class=part1><p>One {n}</p></div><figure>x</figure><div class=part2><p>" + long + "</p></div></div></body>"
+    rows = [(n, "http://many/x", (teaser if n % 20 == 7 else usual).format(n=n)) for n in range(60)]
+    rows += [(100 + n, "http://parts/x", parts.format(n=n)) for n in range(4)]
+    rows += [(200 + n, "http://links/x", links.format(n=n)) for n in range(4)]
+    rows += [(300 + n, "http://split/x", split.format(n=n)) for n in range(4)]
+    got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(60):
+        assert long.format(n=n).strip() in got[n]
+    for n in range(4):
+        assert got[100 + n] == f"First {n}\n" + long.format(n=n).strip()
+        assert got[200 + n] == f"Linked heading {n}\n" + long.format(n=n).strip() + f"\nSource {n}"
+        assert got[300 + n].startswith(f"One {n}\n") and long.format(n=n).strip() in got[300 + n]
+
+
 def test_alignment_resolves_mismatches():
     def page(html):
         root = parse(html)
