@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
@@ -48,10 +49,24 @@ def vocabulary(path: str) -> dict[bytes, int]:
     return {bytes(map(byte_of.__getitem__, t)): i for t, i in model["vocab"].items() if not t.startswith("<|")}
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Texts that the tokenizer file makes one token wherever they stand, with their ids."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    if any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word")):
+        raise ValueError("added tokens that take in spaces or stand alone are not supported")
+    return {t["content"]: t["id"] for t in added}
+
+
 class PieceEncoder(Encoder):
-    """The same memory of pieces with a library's encoder for the new ones; ids are those of the tokenizer file."""
+    """The same memory of pieces with a library's encoder for the new ones; ids are those of the tokenizer file.
+
+    Texts are cut at the file's added tokens first, and what lies between is encoded on its own.
+    """
 
     def __init__(self, path: str):
+        self.added = {t: np.array([i], "<u4").tobytes() for t, i in added_tokens(path).items()}
+        self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pieces = {}
         self.library = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary(path), special_tokens={})
 
@@ -60,7 +75,15 @@ class PieceEncoder(Encoder):
         for p in pieces:
             self.pieces[p] = np.array(encode(p[:-1] if p[-1:] == " " else " " + p), "<u4").tobytes()
 
+    def cut(self, text: str) -> list[str] | None:
+        return None if any(map(text.__contains__, self.added)) else super().cut(text)
+
     def _whole(self, text: str) -> bytes:
+        if self.cuts and len(parts := self.cuts.split(text)) > 1:
+            return b"".join(self.added[p] if i % 2 else self._ordinary(p) for i, p in enumerate(parts))
+        return self._ordinary(text)
+
+    def _ordinary(self, text: str) -> bytes:
         return np.array(self.library.encode_ordinary(text), "<u4").tobytes()
 
 

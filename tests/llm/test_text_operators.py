@@ -110,6 +110,15 @@ def test_packing_query(spark):
     assert len(places) <= 1.02 * total / 2048 + 1
 
 
+@pytest.mark.parametrize("text", ["see foo<|endoftext|>bar here", "<|endoftext|>", "a <|endoftext|> <|endoftext|><|endoftext|>\n b ", "<|endoftext", "<|endoftext|>é" * 50])
+def test_packing_encodes_added_tokens(text):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(TOKENIZER)
+    want = library.encode(text, add_special_tokens=False).ids
+    assert list(packing.piece_encoder(TOKENIZER).encode_many(["plain words", text])) == [library.encode("plain words", add_special_tokens=False).ids, want]
+
+
 def one_by_one(lengths, capacity):
     """Sequences of best-fit on decreasing lengths, one document at a time."""
     gaps = []
