@@ -11,12 +11,12 @@ likelihood with the forward-backward recursion; the sample is the only data the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from .common import record_batch, row_slices
@@ -128,17 +128,31 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
     return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")).select("doc_id", "text", "label")
 
 
-def fit_on(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Field:
-    """Fit on the labelled sample; ``docs`` needs doc_id and text, ``labels`` doc_id and the label (1: content)."""
-    schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.float64()))])
+def sampled_features(docs: DataFrame, labels: DataFrame, label: str, most: int, make: Callable[[str | None], np.ndarray]) -> list[Row]:
+    """Id, label and ``make``'s features of at most ``most`` labelled documents, sorted by id.
+
+    Of rows that share an id the one whose text has the smallest hash counts; only it leaves a task, and minima are combined
+    before the shuffle.
+    """
+    schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("hash", pa.int64()), ("features", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, known in row_slices(batches):
-            rows = [line_features(lines_of(t))[:SAMPLE_LINES].ravel() for t in texts]
-            yield record_batch(schema, [ids, known, rows])
+        held: dict[int, tuple] = {}
+        for ids, texts, known, hashes in row_slices(batches):
+            for i, text, y, hashed in zip(ids, texts, known, hashes):
+                if i not in held or hashed < held[i][1]:
+                    held[i] = (y, hashed, make(text))
+        yield record_batch(schema, list(zip(*((i, *v) for i, v in held.items()))) or [[]] * len(schema))
 
-    made = labelled_sample(docs, labels, label, SAMPLE_DOCS).mapInArrow(run, "id long, label int, features array<double>")
-    rows = sorted(made.collect(), key=lambda r: (r.id, r.features))[: 2 * SAMPLE_DOCS]
+    sample = labelled_sample(docs, labels, label, most).select(F.col("doc_id").cast("long"), "text", "label", F.xxhash64("text"))
+    made = sample.mapInArrow(run, "id long, label int, hash long, features array<double>")
+    one = made.groupBy("id").agg(F.min_by(F.struct("label", "features"), "hash").alias("one"))
+    return sorted(one.select("id", "one.label", "one.features").collect(), key=lambda r: r.id)
+
+
+def fit_on(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Field:
+    """Fit on the labelled sample; ``docs`` needs doc_id and text, ``labels`` doc_id and the label (1: content)."""
+    rows = sampled_features(docs, labels, label, SAMPLE_DOCS, lambda text: line_features(lines_of(text))[:SAMPLE_LINES].ravel())
     return fit([np.array(r.features).reshape(-1, len(LINE_FEATURES)) for r in rows], [r.label for r in rows])
 
 

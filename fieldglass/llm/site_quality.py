@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 
 from fieldglass.sources.scratch import materialize
 
-from .common import record_batch, row_slices
-from .crf_lines import labelled_sample
+from .crf_lines import sampled_features
 from .text_features import DOCUMENT_FEATURES, document_features, lines_of
 
 SAMPLE_DOCS = 4_000
@@ -61,14 +60,7 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) ->
 
 def fit_on(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Evidence:
     """Fit on at most ``SAMPLE_DOCS`` labelled documents; ``docs`` needs doc_id and text."""
-    schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.float64()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, known in row_slices(batches):
-            yield record_batch(schema, [ids, known, [document_features(lines_of(t)) for t in texts]])
-
-    made = labelled_sample(docs, labels, label, SAMPLE_DOCS).mapInArrow(run, "id long, label int, features array<double>")
-    rows = sorted(made.collect(), key=lambda r: (r.id, r.features))[: 2 * SAMPLE_DOCS]
+    rows = sampled_features(docs, labels, label, SAMPLE_DOCS, lambda text: document_features(lines_of(text)))
     return fit(np.array([r.features for r in rows]).reshape(-1, len(DOCUMENT_FEATURES)), np.array([r.label for r in rows]))
 
 

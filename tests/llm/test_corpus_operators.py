@@ -111,6 +111,16 @@ def test_line_rules_query(spark):
     assert sum(kept for kept, q in judged if not q) <= 0.2 * sum(not q for _, q in judged)
 
 
+def test_sample_has_one_row_per_repeated_id(spark):
+    rows = [(0, f"copy {n} of the same id") for n in range(9000)] + [(n, f"BUY $$ {n}") for n in range(1, 9)] + [(9, None), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(n, int(n == 0)) for n in range(10)], "doc_id long, quality int")
+    sampled = crf_lines.sampled_features(docs, labels, "quality", 50, lambda text: np.array([len(text or "")]))
+    assert [(r.id, r.label) for r in sampled] == [(n, int(n == 0)) for n in range(10)]
+    assert crf_lines.fit_on(docs, labels) is not crf_lines.ALL_CONTENT
+    assert len(set(site_quality.fit_on(docs, labels).scale.tolist())) > 1
+
+
 # Joins of word windows
 
 
