@@ -4,8 +4,10 @@ The field has a weight per line feature (for content against boilerplate), a wei
 labels and one for the first label. Viterbi decoding finds the best labels of all lines of a document together; the share of the
 document's word characters in content lines decides whether it is kept.
 
-Weights are fitted on a bounded sample of labelled documents (``SAMPLE_DOCS`` documents with the smallest hash of their id, and of
-each at most ``SAMPLE_LINES`` lines), where the document's label stands for its lines. The fit maximises the
+Weights are fitted on a bounded sample of labelled documents (``SAMPLE_DOCS`` documents with the smallest hash of their id). Of a
+document of more than ``SAMPLE_LINES`` lines, three stretches count: its first lines, its last ones, and some from a place in
+between that the hash of its text says. Labels of lines are estimated first: they start as their document's, and then follow a
+logistic regression on all lines, while at least half of a document's lines keep its label. The fit maximises the
 likelihood with the forward-backward recursion; the sample is the only data the driver sees.
 """
 
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -65,32 +68,63 @@ def viterbi(scores: list[float], field: Field) -> list[int]:
     return labels[::-1]
 
 
-def fit(features: list[np.ndarray], labels: list[int], rounds: int = 300, rate: float = 0.1, penalty: float = 1e-3) -> Field:
-    """Fit on documents: a matrix of line features each, and the label of all its lines.
+def stretches(n: int, at: int) -> list[range]:
+    """Lines of a document of ``n`` lines that the fit sees; ``at`` is any number and says where the middle ones lie."""
+    if n <= SAMPLE_LINES:
+        return [range(n)]
+    size = SAMPLE_LINES // 3
+    middle = size + at % (n - 3 * size + 1)
+    return [range(size), range(middle, middle + size), range(n - size, n)]
+
+
+def estimated_labels(features: list[np.ndarray], labels: list[int], rounds: int = 3, penalty: float = 1.0) -> list[np.ndarray]:
+    """A label for each line: what a logistic regression on all lines says, but at least half of a document's lines keep its label."""
+    x = np.concatenate(features)
+    cuts = np.cumsum([len(f) for f in features])[:-1]
+    lines = [np.full(len(f), y) for f, y in zip(features, labels)]
+    ridge = np.full(x.shape[1], penalty)
+    for _ in range(rounds):
+        y, w = np.concatenate(lines), np.zeros(x.shape[1])
+        for _ in range(15):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (y - p) - ridge * w)
+        for i, score in enumerate(np.split(x @ w, cuts)):
+            agrees = score if labels[i] else -score
+            own = agrees >= 0
+            own[np.argsort(-agrees, kind="stable")[: (len(own) + 1) // 2]] = True
+            lines[i] = np.where(own, labels[i], 1 - labels[i])
+    return lines
+
+
+def fit(features: list[np.ndarray], labels: list[int], parts: list[list[range]] | None = None, rounds: int = 300, rate: float = 0.1, penalty: float = 1e-3) -> Field:
+    """Fit on documents: a matrix of line features each, and the document's label. ``parts``: runs of rows that are neighbours.
 
     Needs documents of both labels, else every line is content.
     """
-    used = [(f, y) for f, y in zip(features, labels) if len(f)]
-    if len({y for _, y in used}) < 2:
+    parts = parts or [[range(len(f))] for f in features]
+    used = [(f, y, p) for f, y, p in zip(features, labels, parts) if len(f)]
+    if len({y for _, y, _ in used}) < 2:
         return ALL_CONTENT
-    n, longest, width = len(used), max(len(f) for f, _ in used), len(LINE_FEATURES)
+    estimated = estimated_labels([f for f, _, _ in used], [y for _, y, _ in used])
+    runs = [(f[r.start : r.stop], e[r.start : r.stop], r.start == 0) for (f, _, p), e in zip(used, estimated) for r in p]
+    n, longest, width = len(runs), max(len(f) for f, _, _ in runs), len(LINE_FEATURES)
     x = np.zeros((n, longest, width))
-    mask = np.zeros((n, longest))
-    for i, (f, _) in enumerate(used):
+    mask, y = np.zeros((n, longest)), np.zeros((n, longest))
+    for i, (f, e, _) in enumerate(runs):
         x[i, : len(f)] = f
         mask[i, : len(f)] = 1
-    y = np.array([label for _, label in used], float)
-    pairs = mask[:, 1:].sum(axis=1)
-    seen = np.zeros((2, 2))
-    seen[0, 0], seen[1, 1] = pairs[y == 0].sum(), pairs[y == 1].sum()
-    seen_emission = np.einsum("nlf,nl,n->f", x, mask, y)
+        y[i, : len(f)] = e
+    begins = np.array([b for _, _, b in runs], float)
+    both = mask[:, 1:]
+    seen = np.array([[(both * (y[:, :-1] == a) * (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
+    seen_emission = np.einsum("nlf,nl,nl->f", x, mask, y)
     w = np.zeros(width + 5)
     first, second = np.zeros_like(w), np.zeros_like(w)
     lines = mask.sum()
     for step in range(1, rounds + 1):
         between = w[width : width + 4].reshape(2, 2)
         score = np.stack([np.zeros((n, longest)), x @ w[:width]], axis=2)
-        score[:, 0, 1] += w[-1]
+        score[:, 0, 1] += w[-1] * begins
         forward = np.zeros((n, longest, 2))
         forward[:, 0] = score[:, 0]
         for t in range(1, longest):
@@ -108,7 +142,7 @@ def fit(features: list[np.ndarray], labels: list[int], rounds: int = 300, rate:
             expected += (np.exp(np.minimum(joint, 0)) * inside[:, :, None]).sum(axis=0)
         content = np.exp(np.minimum(forward[:, :, 1] + backward[:, :, 1] - total[:, None], 0)) * mask
         gradient = np.concatenate([
-            seen_emission - np.einsum("nlf,nl->f", x, content), (seen - expected).ravel(), [y.sum() - content[:, 0].sum()],
+            seen_emission - np.einsum("nlf,nl->f", x, content), (seen - expected).ravel(), [begins @ (y[:, 0] - content[:, 0])],
         ]) / lines - penalty * w
         first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
         w += rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
@@ -152,8 +186,19 @@ def sampled_features(docs: DataFrame, labels: DataFrame, label: str, most: int,
 
 def fit_on(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Field:
     """Fit on the labelled sample; ``docs`` needs doc_id and text, ``labels`` doc_id and the label (1: content)."""
-    rows = sampled_features(docs, labels, label, SAMPLE_DOCS, lambda text: line_features(lines_of(text))[:SAMPLE_LINES].ravel())
-    return fit([np.array(r.features).reshape(-1, len(LINE_FEATURES)) for r in rows], [r.label for r in rows])
+
+    def make(text: str | None) -> np.ndarray:
+        lines = line_features(lines_of(text))
+        taken = stretches(len(lines), crc32((text or "").encode("utf-8", "replace")))
+        return np.concatenate([[len(taken)], *(lines[r.start : r.stop].ravel() for r in taken)])
+
+    rows = sampled_features(docs, labels, label, SAMPLE_DOCS, make)
+    features = [np.array(r.features[1:]).reshape(-1, len(LINE_FEATURES)) for r in rows]
+    parts = []
+    for r, f in zip(rows, features):
+        size = len(f) // int(r.features[0])
+        parts.append([range(k * size, (k + 1) * size) for k in range(int(r.features[0]))])
+    return fit(features, [r.label for r in rows], parts)
 
 
 def judge(text: str | None, field: Field) -> tuple[int, int, int, int, int, bool, float, int, bool]:

@@ -111,6 +111,27 @@ def test_line_rules_query(spark):
     assert sum(kept for kept, q in judged if not q) <= 0.2 * sum(not q for _, q in judged)
 
 
+def test_field_learns_from_whole_documents_of_mixed_lines(spark):
+    pick = random.Random(5)
+    words, signs = "some plain words of a text that goes on with others".split(), ["BUY!!", "$$$", "###", "NOW!!", "|", "%%"]
+
+    def lines(n, of):
+        return "\n".join(" ".join(pick.choice(of) for _ in range(pick.randint(5, 9))) + f" {pick.random()}" for _ in range(n))
+
+    good = [lines(40, words) + "\n" + lines(12, signs) for _ in range(60)]
+    junk = [lines(8, words) + "\n" + lines(44, signs) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(good + junk)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, quality int")
+    field = crf_lines.fit_on(docs, labels)
+    found = [[y for _, y in crf_lines.line_labels(t, field)] for t in good + junk]
+    want = [[1] * 40 + [0] * 12] * 60 + [[1] * 8 + [0] * 44] * 60
+    assert np.mean(np.concatenate(found) == np.concatenate(want)) > 0.97
+    assert [list(r) for r in crf_lines.stretches(30, 7)] == [list(range(30))]
+    for at in range(100):
+        first, middle, last = crf_lines.stretches(31 + at, 17 * at)
+        assert first.start == 0 and first.stop <= middle.start and middle.stop <= last.start and last.stop == 31 + at
+
+
 def test_sample_has_one_row_per_repeated_id(spark):
     rows = [(0, f"copy {n} of the same id") for n in range(9000)] + [(n, f"BUY $$ {n}") for n in range(1, 9)] + [(9, None), (None, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
