@@ -1,9 +1,14 @@
 """Embedding near-duplicates by spherical-cap filters.
 
 Filter directions form a random product code: after a random rotation a vector is cut into two halves, and a direction is a
-pair of codewords, one of each half. A vector belongs to every filter whose direction it exceeds a threshold with; these are listed
-by sorting the scores of either half and walking down, without looking at the other directions, and are never fewer than
-``LEAST_FILTERS``. Vectors of one label that share a filter meet in a bucket and are verified by their cosine.
+pair of codewords, one of each half. A vector belongs to the filters whose caps it lies in, that is whose directions it exceeds a
+threshold with; they are listed from the sorted scores of either half, without looking at the other directions. Vectors of one label
+that share a filter meet in a bucket and are verified by their cosine.
+
+The threshold is the vector's own, so that every vector is in the same number of caps, and this number is measured: pairs with just the
+cosine asked for are drawn in the width at hand, and all but ``MISSED`` of them have a filter in common. Narrow vectors are padded with
+zeros before the rotation: the halves of a vector of four components can be of very different lengths, and then no
+direction is near it. Scores are compared with a tolerance, so parallel vectors always meet.
 
 The number of filters grows with the largest label, so that buckets of unlike vectors keep their size. A bucket of many
 alike vectors is cut into pages, and pairs of pages are tasks; a pair of vectors is counted only in its first common
@@ -29,8 +34,12 @@ from .components import components
 from .ngram_join import _column, _runs
 
 THRESHOLD = 0.98
-#: Filters of a vector on average, and at least.
-FILTERS, LEAST_FILTERS = 16, 10
+#: Share of the pairs just at the threshold that may have no filter in common, and pairs drawn to measure it.
+MISSED, DRAWN = 0.0002, 16_384
+#: Filters of a vector that are tried first, and that the number of directions is chosen for.
+FILTERS = 12
+#: Components that vectors are padded to, and differences of scores that come from rounding.
+LEAST_WIDTH, TOLERANCE = 32, 1e-9
 #: Unlike vectors of a bucket on average.
 BUCKET = 16
 PAGE = 1024
@@ -40,16 +49,43 @@ BROADCAST_ROWS = 500_000
 
 @dataclass(frozen=True)
 class Code:
-    """Number of codewords per half and the threshold of a filter."""
+    """Number of codewords per half and of the filters of a vector."""
 
     words: int
-    cut: float
+    filters: int
+
 
+def code_for(vectors: int, width: int, threshold: float = THRESHOLD) -> Code:
+    """The code for at most so many vectors of a label."""
+    words = int(np.ceil(np.sqrt(max(4096, vectors * FILTERS // BUCKET))))
+    return Code(words, _filters(words, width, threshold))
 
-def code_for(vectors: int, width: int) -> Code:
-    filters = max(4096, vectors * FILTERS // BUCKET)
-    words = int(np.ceil(np.sqrt(filters)))
-    return Code(words, NormalDist().inv_cdf(1 - FILTERS / words**2) / np.sqrt(width))
+
+def pairs_at(threshold: float, width: int, count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of random unit vectors with this cosine (of one component: equal ones)."""
+    first, other = np.random.Generator(np.random.PCG64([seed, width])).standard_normal((2, count, width))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    other -= (first * other).sum(axis=1, keepdims=True) * first
+    length = np.linalg.norm(other, axis=1, keepdims=True)
+    second = threshold * first + np.sqrt(max(0.0, 1 - threshold**2)) * np.where(length > 1e-9, other / np.where(length > 1e-9, length, 1), 0)
+    return first, second / np.linalg.norm(second, axis=1, keepdims=True)
+
+
+@cache
+def _filters(words: int, width: int, threshold: float) -> int:
+    """Filters per vector under which all but ``MISSED`` of the pairs just at the threshold have one in common."""
+    first, second = pairs_at(threshold, width, DRAWN, words)
+    depth = FILTERS
+    while True:
+        needed = []
+        for start in range(0, DRAWN, 512):
+            (a, ranks_a), (b, ranks_b) = (best_filters(x[start : start + 512], Code(words, depth)) for x in (first, second))
+            worst = np.maximum(ranks_a[:, :, None], ranks_b[:, None, :])
+            needed.append(np.where(a[:, :, None] == b[:, None, :], worst, depth).min(axis=(1, 2)) + 1)
+        found = int(np.quantile(np.concatenate(needed), 1 - MISSED, method="higher"))
+        if found <= depth or depth >= words:
+            return min(found, depth)
+        depth = min(2 * depth, words)
 
 
 @cache
@@ -59,31 +95,44 @@ def _codebook(width: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     halves = []
     for size in (width - width // 2, width // 2):
         code = random.standard_normal((words, size))
-        norm = np.linalg.norm(code, axis=1, keepdims=True)
-        halves.append(code / np.where(norm > 0, norm, 1) * np.sqrt(size / width))
+        halves.append(code / np.linalg.norm(code, axis=1, keepdims=True) * np.sqrt(size / width))
     return rotation, halves[0], halves[1]
 
 
-def decode_filters(vectors: np.ndarray, code: Code) -> list[np.ndarray]:
-    """Sorted numbers of the filters of each unit vector."""
-    width = vectors.shape[1]
-    rotation, first, second = _codebook(width, code.words)
+def _top(scores: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The largest scores of each row, falling, and their places."""
+    places = np.argpartition(-scores, count - 1, axis=1)[:, :count]
+    best = np.take_along_axis(scores, places, 1)
+    order = np.argsort(-best, axis=1, kind="stable")
+    return np.take_along_axis(best, order, 1), np.take_along_axis(places, order, 1)
+
+
+def best_filters(vectors: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """The best filters of each unit vector, best first, and how many other filters are clearly better; -1 pads the filters.
+
+    There are more than asked for only if several are as good as the last one.
+    """
+    vectors = np.pad(vectors, ((0, 0), (0, max(0, LEAST_WIDTH - vectors.shape[1]))))
+    rotation, first, second = _codebook(vectors.shape[1], code.words)
     turned = vectors @ rotation
     left, right = turned[:, : first.shape[1]] @ first.T, turned[:, first.shape[1] :] @ second.T
-    by_left, by_right = np.argsort(-left, axis=1), np.argsort(-right, axis=1)
-    left, right = np.take_along_axis(left, by_left, 1), np.take_along_axis(right, by_right, 1)
-    few = min(LEAST_FILTERS, code.words)
-    out = []
-    for a, b, at, bt in zip(left, right, by_left, by_right):
-        # The best pairs lie among the best few of either half.
-        sums = (a[:few, None] + b[None, :few]).ravel()
-        cut = min(code.cut, np.partition(sums, -few)[-few])
-        rows = int(np.searchsorted(-a, b[0] - cut, side="right"))
-        reach = np.searchsorted(-b, a[:rows] - cut, side="right")
-        i = np.repeat(np.arange(rows), reach)
-        j = np.arange(len(i)) - np.repeat(np.cumsum(reach) - reach, reach)
-        out.append(np.sort(at[i].astype(np.int64) * code.words + bt[j]))
-    return out
+    # A direction among the best has few better codewords in either half: numbers i and j with (i + 1) * (j + 1) <= filters, and ties.
+    deep = min(code.words, code.filters + 1)
+    (left, at), (right, bt) = _top(left, deep), _top(right, deep)
+    i, j = np.nonzero(np.add.outer(np.arange(deep), np.arange(deep)) + np.multiply.outer(np.arange(deep), np.arange(deep)) < code.filters + 1)
+    scores = left[:, i] + right[:, j]
+    numbers = at[:, i].astype(np.int64) * code.words + bt[:, j]
+    order = np.argsort(-scores, axis=1, kind="stable")
+    scores, numbers = np.take_along_axis(scores, order, 1), np.take_along_axis(numbers, order, 1)
+    ranks = np.stack([np.searchsorted(-s, -s - TOLERANCE, side="left") for s in scores])
+    good = ranks < code.filters
+    widest = int(good.sum(axis=1).max(initial=0))
+    return np.where(good, numbers, -1)[:, :widest], ranks[:, :widest]
+
+
+def decode_filters(vectors: np.ndarray, code: Code) -> list[np.ndarray]:
+    """Numbers of the filters of each unit vector, rising."""
+    return [np.sort(row[row >= 0]) for row in best_filters(vectors, code)[0]]
 
 
 def _vectors(batch: pa.RecordBatch, name: str = "vector") -> np.ndarray:
@@ -185,7 +234,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     Only vectors of the same, not null label and of the same length are compared, in double precision. A vector that is null, empty or
     zero, or has a null or non-finite component, is linked with nothing. Null ids are never the smallest. Repeated rows are vectors of their own.
-    Filters find all but very few links; what is linked has been verified.
+    Filters find all but ``MISSED`` of the links just at the threshold, and more of the closer ones; what is linked has been verified.
     """
     v = F.col(f"`{vector_col}`")
     usable = (
@@ -198,7 +247,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     classes = rows.where("usable").groupBy("id", "second").agg(F.min("vec").alias("first_vec"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("vector").alias("vector"))
     classes = materialize(classes, "vectors")
     largest = classes.groupBy("label", F.size("vector").alias("width")).count().groupBy("width").agg(F.max("count").alias("most")).collect()
-    found = [_bucketed(classes, code_for(r.most, r.width), r.width, threshold) for r in largest]
+    found = [_bucketed(classes, code_for(r.most, r.width, threshold), r.width, threshold) for r in largest]
     links = None
     for part in found:
         links = part if links is None else links.unionByName(part)

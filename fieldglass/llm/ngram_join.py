@@ -125,23 +125,25 @@ def linked(a: np.ndarray, b: np.ndarray, share: tuple[int, int]) -> bool:
     return share[1] * both >= share[0] * (len(a) + len(b) - both)
 
 
-DESCRIBED = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64())])
+DESCRIBED = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64())])
 
 
 def described(docs: DataFrame, window: int) -> DataFrame:
+    """``(id, tag, n_shingles, set_id)`` of rows (id, text, tag)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in row_slices(batches):
+        for ids, texts, tags in row_slices(batches):
             sets = [shingle_set(t, window) for t in texts]
-            yield record_batch(DESCRIBED, [ids, [len(s) for s in sets], [set_id(s) for s in sets]])
+            yield record_batch(DESCRIBED, [ids, tags, [len(s) for s in sets], [set_id(s) for s in sets]])
 
-    return docs.mapInArrow(run, "id long, n_shingles long, set_id long")
+    return docs.mapInArrow(run, "id long, tag long, n_shingles long, set_id long")
 
 
 def keyed(docs: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
     """``(key, set_id)`` for every key of every set; equal sets near each other give theirs once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in row_slices(batches, 1024):
+        for _, texts, _ in row_slices(batches, 1024):
             keys, owners, done = [], [], set()
             for text in texts:
                 tokens = shingle_set(text, window)
@@ -244,7 +246,7 @@ def candidates(members: DataFrame, share: tuple[int, int]) -> DataFrame:
 
 def texts_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """``(set_id, n, counts, text)`` for the wanted sets, one text each. Documents are found by id, or by their set where that is null."""
-    chosen = materialize(sets.join(wanted, "set_id").select("set_id", F.col("first_id").alias("id")), "wanted")
+    chosen = materialize(sets.join(wanted, "set_id").select("set_id", F.col("first.id").alias("id")), "wanted")
     by_id = _within(docs, chosen.where("id IS NOT NULL").select("id").distinct(), "id", "left_semi")
     rows = by_id if chosen.where("id IS NULL").isEmpty() else by_id.unionByName(docs.where("id IS NULL"))
     schema = pa.schema([("set_id", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), ("text", pa.string())])
@@ -369,11 +371,20 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``share[1] * intersection >= share[0] * union``. A null id is never the smallest; it stands for itself if all ids of its component are null.
     Ids may repeat: each row is a document. Other columns are not read.
     """
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), F.lit(None).cast("long").alias("tag"))
     known = materialize(described(docs, window), "described")
-    sets = materialize(
-        known.where("set_id <> 0").groupBy("set_id").agg(F.min("id").alias("first_id"), F.first("n_shingles").alias("n")), "sets"
-    )
+    sets = _sets(known)
+    return _with_components(known, sets, set_components(docs, sets, window, share), id_col)
+
+
+def _sets(known: DataFrame) -> DataFrame:
+    """``(set_id, first, n)``: every set once, with the least of its rows by id and tag; rows without an id come last."""
+    row = F.struct(F.col("id").isNull().alias("unnamed"), "id", "tag")
+    return materialize(known.where("set_id <> 0").groupBy("set_id").agg(F.min(row).alias("first"), F.first("n_shingles").alias("n")), "sets")
+
+
+def set_components(docs: DataFrame, sets: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
+    """``(vertex, root)`` of the sets that are not the smallest of their component, from rows (id, text, tag) and their sets."""
     keys = keyed(docs, window, share)
     repeated = keys.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot < last")
     repeated = materialize(repeated.select("key", "pivot"), "repeated-keys")
@@ -390,8 +401,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links = materialize(cluster_links(small.join(texts, "set_id"), window, share), "cluster-links")
     if not large.isEmpty():
         links = links.unionByName(_large_links(members, large, texts, window, share))
-    found = components(links)
-    return _with_components(known, sets, found, id_col)
+    return components(links)
 
 
 def _pages(points: Column, tokens: Column) -> Column:
@@ -425,22 +435,33 @@ def _large_links(members: DataFrame, large: DataFrame, texts: DataFrame, window:
     return links.unionByName(materialize(rest_links(active, texts, window, share), "rest-links"))
 
 
+def _rooted(sets: DataFrame, found: DataFrame) -> DataFrame:
+    """``(set_id, first, root)``."""
+    rooted = sets.select("set_id", "first").join(found.select(F.col("vertex").alias("set_id"), "root"), "set_id", "left")
+    return materialize(rooted.select("set_id", "first", F.coalesce("root", "set_id").alias("root")), "rooted")
+
+
 def _with_components(known: DataFrame, sets: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
-    rooted = sets.select("set_id", "first_id").join(found.select(F.col("vertex").alias("set_id"), "root"), "set_id", "left")
-    rooted = materialize(rooted.select("set_id", "first_id", F.coalesce("root", "set_id").alias("root")), "rooted")
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    final = rooted.join(smallest, "root").select(F.col("set_id").alias("of"), "component_id")
+    rooted = _rooted(sets, found)
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    final = rooted.join(smallest, "root").select(F.col("set_id").alias("of"), F.col("least.id").alias("component_id"))
     return known.join(final, F.col("set_id") == F.col("of"), "left").select(
         F.col("id").alias(id_col), "n_shingles", F.when(F.col("set_id") != 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, share: tuple[int, int] = SHARE) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; documents without an id or without words stay.
+    """``docs`` with one row of each component: the one with the smallest id, of rows that share it one, and one without an id only if all are.
 
-    Rows that share an id cannot be told apart: they stay if any of them is the smallest of its component.
+    Documents without words are linked with nothing and stay. The rows are written once with a tag that tells them apart.
     """
-    groups = duplicate_groups(docs, id_col, text_col, window, share)
-    gone = groups.groupBy(F.col(id_col).alias("_gone")).agg(F.bool_and(F.col(id_col) != F.col("component_id")).alias("all"))
-    gone = materialize(gone.where("all").select("_gone"), "gone")
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    tag = "_row"
+    while tag in {c.lower() for c in docs.columns}:
+        tag += "_"
+    tagged = materialize(docs.withColumn(tag, F.monotonically_increasing_id()), "tagged")
+    rows = tagged.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(tag).alias("tag"))
+    known = materialize(described(rows, window), "described")
+    sets = _sets(known)
+    kept = _rooted(sets, set_components(rows, sets, window, share)).groupBy("root").agg(F.min("first").alias("least")).select("least.tag")
+    kept = materialize(kept.unionByName(known.where("set_id = 0").select("tag")).select(F.col("tag").alias(tag)), "kept")
+    return tagged.join(kept, tag, "left_semi").drop(tag)

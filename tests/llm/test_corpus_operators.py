@@ -204,7 +204,17 @@ def test_ngram_edges(spark):
     rows = Counter((r.doc_id, r.component_id) for r in ngram_join.duplicate_groups(frame).collect())
     assert rows == Counter({(None, 7): 1, (7, 7): 2, (None, None): 1, (3, 3): 1})
     assert ngram_join.duplicate_groups(frame.limit(0)).count() == 0
-    assert ngram_join.keep_one(frame).count() == 5
+    kept = Counter((r.doc_id, r.text) for r in ngram_join.keep_one(frame).collect())
+    assert kept == Counter({(7, "same text of five words"): 1, (None, "x y z w v"): 1, (3, None): 1})
+    assert ngram_join.keep_one(frame.limit(0)).count() == 0
+
+
+def test_one_of_many_rows_without_a_telling_id_stays(spark):
+    rows = [(7, "same text of five words", i, "x") for i in range(50)] + [(None, "SAME text of five words", i, "y") for i in range(50)] + [(None, "other text of some six words", 1, "z")] * 9
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _ROW int, _gone string")
+    kept = ngram_join.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id or 0, r._gone) for r in kept.collect()) == [(0, "z"), (7, "x")]
 
 
 @settings(max_examples=200, deadline=None)
@@ -407,6 +417,29 @@ def test_vector_links_equal_brute_force(spark, monkeypatch, page):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+@pytest.mark.parametrize("width", [1, 2, 3, 4, 6, 8, 32, 64, 768])
+def test_pairs_at_the_threshold_share_a_filter(width):
+    for vectors in (5_000, 50_000):
+        code = cap_filters.code_for(vectors, width)
+        first, second = cap_filters.pairs_at(0.9801, width, 4000, 77)
+        a, b = (cap_filters.decode_filters(x, code) for x in (first, second))
+        assert np.mean([len(np.intersect1d(f, g)) > 0 for f, g in zip(a, b)]) >= 0.999
+        longer = 3.7 * first
+        c = cap_filters.decode_filters(longer / np.linalg.norm(longer, axis=1, keepdims=True), code)
+        assert all(len(np.intersect1d(f, g)) for f, g in zip(a, c))
+
+
+@pytest.mark.parametrize("width", [1, 3, 4])
+def test_narrow_vectors_keep_their_links(spark, width):
+    random_state = np.random.default_rng(width)
+    rows = [(i, 0, v.tolist()) for i, v in enumerate(random_state.standard_normal((300, width)).astype(np.float32))]
+    pairs = brute_vectors(rows)
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in cap_filters.near_duplicates(frame).collect()}
+    counts = Counter(i for p in pairs for i in p)
+    assert len(pairs) > 50 and sum(got.values()) >= 0.999 * 2 * len(pairs) and all(got[i] <= counts[i] for i in got)
+
+
 def test_vector_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, 0, [1.0, 2.0]), (2, 0, [2.0, 4.0]), (3, 1, [1.0, 2.0]), (4, None, [1.0, 2.0]), (5, 0, None), (6, 0, [0.0, 0.0]), (7, 0, [nan, 1.0]), (8, 0, [inf, 1.0]), (9, 0, [None, 1.0]), (10, 0, []), (11, 0, [1.0, 2.0, 3.0]), (None, 0, [1.0, 2.0]), (2, 0, [2.0, 4.0])]
