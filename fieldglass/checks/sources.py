@@ -8,7 +8,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from ..operators import profile, sampling
-from ..sources import files, registry, sinks
+from ..sources import files, heads, registry, sinks
 from ..sources.scratch import scratch_path
 from .base import MEASURES, check, columns_of, profile_sql, rounded, table
 
@@ -95,12 +95,44 @@ def skip_bad_files(spark, sf_dir):
 def skip_corrupt_file(spark, sf_dir):
     """A file that is no archive in spite of its name, among the good ones."""
     folder = day_files(spark, sf_dir)
-    broken = f"{folder}/day=broken/part.csv.gz"
-    system, path = files._filesystem(spark, broken)
-    stream = system.create(path)
+    _broken_archive(spark, f"{folder}/day=broken/part.csv.gz")
+    return files.read_csv_files(spark, [folder])[0].withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+DECLARED = "event_id INT, user_id INT, value DOUBLE"
+
+
+@check("csv_declared_schema_reordered", "SELECT CAST(event_id AS INTEGER) AS event_id, CAST(user_id AS INTEGER) AS user_id, value FROM events")
+def csv_declared_schema_reordered(spark, sf_dir):
+    """Day files whose columns come in three orders, two with a column more, read by declared names."""
+    events = table(spark, sf_dir, "events").withColumn("kind", F.dayofmonth("ts") % 3)
+    root = scratch_path(spark, "reordered")
+    for kind, shown in enumerate((["event_id", "user_id", "value"], ["value", "event_type", "event_id", "user_id"], ["user_id", "value", "event_id", "event_type"])):
+        _write_csv(events.filter(F.col("kind") == kind).select(*shown), f"{root}/kind_{kind}")
+    return files.read_csv_files(spark, [root], schema=DECLARED)[0]
+
+
+def _broken_archive(spark, path):
+    system, where = files._filesystem(spark, path)
+    stream = system.create(where)
     stream.write(bytearray(b"no archive " * 50))
     stream.close()
-    return files.read_csv_files(spark, [folder])[0].withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@check("csv_declared_schema_corrupt", "SELECT CAST(event_id AS INTEGER) AS event_id, CAST(user_id AS INTEGER) AS user_id, value FROM events")
+def csv_declared_schema_corrupt(spark, sf_dir):
+    """A file that is no archive and one that lacks a column, among the good ones."""
+    folder = day_files(spark, sf_dir)
+    _broken_archive(spark, f"{folder}/day=broken/part.csv.gz")
+    _write_csv(table(spark, sf_dir, "events").select("event_id", "value").limit(5), f"{folder}/day=narrow")
+    return files.read_csv_files(spark, [folder], schema=DECLARED)[0]
+
+
+@check("file_heads", "SELECT 'event_id,ts,user_id,event_type,value' AS header, CAST(NULL AS VARCHAR) AS reason, count(DISTINCT CAST(ts AS DATE)) AS files FROM events")
+def file_heads(spark, sf_dir):
+    """Headers of the day files, one block read of each."""
+    found = heads.file_heads(spark, [day_files(spark, sf_dir)])
+    return found.groupBy("header", "reason").agg(F.count(F.lit(1)).alias("files"))
 
 
 @check("reject_empty_file", "SELECT 'empty file' AS reason, count(DISTINCT CAST(ts AS DATE)) AS n FROM events")

@@ -248,6 +248,75 @@ def test_declared_schema_reads_without_inference(spark, tmp_path):
     assert sorted(map(tuple, read.collect()), key=str) == [(1, "x"), (None, "y")]
 
 
+def test_declared_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("x,y\n10,20\n")
+    (tmp_path / "two.csv").write_text("y,z,x\n21,0,11\n")
+    (tmp_path / "lacks.csv").write_text("x,z\n5,6\n")
+    (tmp_path / "bad.csv.gz").write_bytes(b"no archive " * 50)
+    read, names, rejected, accepted = files.read_csv_files(spark, [str(tmp_path)], schema="x INT, y INT")
+    assert sorted(map(tuple, read.collect())) == [(10, 20), (11, 21)] and names == ["x", "y"] and accepted == 2
+    reasons = {r.path.rsplit("/", 1)[1]: r.reason for r in rejected.collect()}
+    assert reasons["lacks.csv"] == "without column y" and "header check" in reasons["bad.csv.gz"] and len(reasons) == 2
+
+
+def test_odd_heads_and_paths(spark, tmp_path):
+    import bz2
+    import gzip
+
+    folder = tmp_path / "day=1" / "with space"
+    folder.mkdir(parents=True)
+    (tmp_path / "_hidden.csv").write_text("h\n1\n")
+    (folder / "q%20#.csv").write_text("\n\ufeff\"a,1\",b,b,\n1,x,y,z\n\"2\",\"p,q\",,w\n")
+    (folder / "g.csv.gz").write_bytes(gzip.compress(b"b0,k\r\n7,true\r\n"))
+    (folder / "b.csv.bz2").write_bytes(bz2.compress(b"k\nfalse\n"))
+    (folder / "cut.csv.gz").write_bytes(gzip.compress(b"k\n" + b"true\n" * 9)[:-4])
+    (folder / "header_only.csv").write_text("k,m")
+    read, names, rejected, accepted = files.read_csv_files(spark, [str(tmp_path), str(tmp_path / "none.csv")])
+    assert accepted == 4 and set(names) == {"a,1", "b1", "b2", "_c3", "b0", "k", "m"}
+    types = dict(read.dtypes)
+    assert types["a,1"] == types["b0"] == "int" and types["k"] == "boolean" and types["m"] == types["b1"] == "string"
+    rows = sorted(((r["a,1"], r.b1, r.b2, r._c3, r.b0, r.k) for r in read.collect()), key=str)
+    assert rows == sorted([(1, "x", "y", "z", None, None), (2, "p,q", None, "w", None, None), (None, None, None, None, 7, True), (None, None, None, None, None, False)], key=str)
+    assert {r.path.rsplit("/", 1)[1]: r.reason for r in rejected.collect()}.keys() == {"cut.csv.gz", "none.csv"}
+
+
+@pytest.mark.parametrize("value, kind", [("1", "int"), ("+3000000000", "bigint"), ("9" * 25, "decimal(38,0)"), ("9" * 50, "double"), ("1.5", "double"), ("-1e3", "double"),
+                                         ("2024-02-29", "date"), ("2023-02-29", "string"), ("2024-01-01 10:00:00.5", "timestamp"), ("True", "boolean"), (" 1", "double"), ("", "string"), ("2024", "int")])
+def test_types_of_text(spark, tmp_path, value, kind):
+    (tmp_path / "one.csv").write_text(f"a,b\n{value},x\n,y\n")
+    read = files.read_csv_files(spark, [str(tmp_path)])[0]
+    assert read.dtypes[0] == ("a", kind)
+    assert [r.b for r in read.filter("a IS NULL").collect()] == (["y"] if value else ["x", "y"])
+
+
+def test_types_widen_over_files():
+    assert [files.type_of(k).simpleString() for k in (0, files.INT | files.LONG, files.LONG | files.DOUBLE, files.DATE | files.TIMESTAMP, files.INT | files.DATE, files.BOOLEAN | files.INT)] == [
+        "string", "bigint", "double", "timestamp", "string", "string"]
+
+
+def test_heads_of_a_store_only_spark_opens(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "one.csv").write_text("\na,b\n1,x\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "bad.csv.gz").write_bytes(gzip.compress(b"a\n")[:5])
+    heads = {r.path.rsplit("/", 1)[1]: (r.header, r.reason) for r in files._scanned_heads(spark, [str(tmp_path), str(tmp_path / "none.csv")]).collect()}
+    assert heads == {"one.csv": ("a,b", None), "empty.csv": (None, "empty file"), "bad.csv.gz": (None, "unreadable"), "none.csv": (None, "not found")}
+    assert not files.openable(["viewfs://store/in"]) and files.openable(["/data", "file:/data"])
+
+
+def test_heads_read_one_block_of_plain_files(spark, tmp_path):
+    """The plan of the heads has no text scan, and that of the table one scan for all files."""
+    from fieldglass.sources.heads import file_heads
+
+    for i in range(5):
+        (tmp_path / f"f{i}.csv").write_text(f"a,c{i}\n{i},1\n")
+    assert "FileScan" not in file_heads(spark, [str(tmp_path)])._jdf.queryExecution().toString()
+    read = files.read_csv_files(spark, [str(tmp_path)])[0]
+    assert read._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    assert sorted(r.a for r in read.filter("c3 = 1 OR c4 = 1").collect()) == [3, 4]
+
+
 def test_failed_write_falls_back(spark, tmp_path):
     (tmp_path / "file").write_text("x")
     with pytest.raises(RuntimeError, match="parquet.*csv"):
