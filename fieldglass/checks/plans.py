@@ -59,15 +59,48 @@ def run_etl_folder(spark, sf_dir):
 
 @check(
     "run_features_many_labels",
-    "SELECT event_id, site_index FROM (SELECT event_id, concat('s', event_id % 150) AS site FROM events) e JOIN (SELECT site, "
-    "CAST(row_number() OVER (ORDER BY n DESC, site) - 1 AS DOUBLE) AS site_index FROM "
-    "(SELECT concat('s', event_id % 150) AS site, count(*) AS n FROM events GROUP BY 1) c) l USING (site)",
+    "SELECT event_id, CAST(event_id % 4 = 0 AS DOUBLE) AS site_main, round(CAST(n AS DOUBLE) / (SELECT count(*) FROM events), 9) AS site_frequency FROM "
+    "(SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'main' ELSE concat('s', event_id % 150) END AS site FROM events) e JOIN "
+    "(SELECT CASE WHEN event_id % 4 = 0 THEN 'main' ELSE concat('s', event_id % 150) END AS site, count(*) AS n FROM events GROUP BY 1) c USING (site)",
 )
 def run_features_many_labels(spark, sf_dir):
-    """A category with more labels than indicator columns stays, as an index."""
-    rows = table(spark, sf_dir, "events").selectExpr("event_id", "concat('s', event_id % 150) AS site", "value + event_id % 150 AS y")
-    cfg = FeatureConfig(targets=("y",), order_by=("event_id",), categorical_columns=("site",), selection_methods=("correlation",))
-    return features.prepare_features(spark, rows, cfg).table.select("event_id", "site_index")
+    """A category with one frequent label, which gets a column, and many rare ones, which are known by their frequency."""
+    rows = table(spark, sf_dir, "events").selectExpr("event_id", "CASE WHEN event_id % 4 = 0 THEN 'main' ELSE concat('s', event_id % 150) END AS site", "value + event_id % 150 AS y")
+    cfg = FeatureConfig(
+        targets=("y",), order_by=("event_id",), categorical_columns=("site",), selection_methods=("correlation",), selection_ratio={"correlation": 1.0}
+    )
+    return rounded(features.prepare_features(spark, rows, cfg).table.select("event_id", "site_main", "site_frequency"), 9)
+
+
+NEW_LINES = f"""
+WITH lines AS (SELECT l_orderkey, l_partkey, l_linenumber, CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS q, l_tax AS t, l_returnflag AS f, CASE WHEN l_partkey % 3 = 0 THEN 'big' ELSE concat('p', l_partkey % 211) END AS p, volume AS v FROM ({LINES}) l),
+old AS (SELECT * FROM lines WHERE l_orderkey % 2 = 0),
+m AS (SELECT avg(q) AS mq FROM old),
+filled AS (SELECT coalesce(q, mq) AS q, t FROM old, m),
+s AS (SELECT avg(q) AS aq, stddev_samp(q) AS dq, avg(t) AS mt, stddev_samp(t) AS dt FROM filled),
+shares AS (SELECT p, count(*) / (SELECT count(*) FROM old) AS share FROM old GROUP BY p)
+SELECT l_orderkey, l_partkey, l_linenumber, round(coalesce(q, mq), 6) AS q, t, CAST(f = 'A' AS DOUBLE) AS f_A, CAST(f = 'N' AS DOUBLE) AS f_N, CAST(f = 'R' AS DOUBLE) AS f_R,
+  CAST(p = 'big' AS DOUBLE) AS p_big, round(coalesce(share, 0), 9) AS p_frequency, round((coalesce(q, mq) - aq) / dq, 6) AS q_scaled, round((t - mt) / dt, 6) AS t_scaled
+FROM lines LEFT JOIN shares USING (p), m, s WHERE l_orderkey % 2 = 1
+"""
+
+
+@check("features_applied_to_new_rows", NEW_LINES)
+def features_applied_to_new_rows(spark, sf_dir):
+    """A preparation fitted on the even orders, stored, found by the catalogue, loaded and applied to the odd ones, which have no target."""
+    lines = line_measures(spark, sf_dir).selectExpr(
+        "l_orderkey", "l_partkey", "l_linenumber", "CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS q", "l_tax AS t", "l_returnflag AS f",
+        "CASE WHEN l_partkey % 3 = 0 THEN 'big' ELSE concat('p', l_partkey % 211) END AS p", "volume AS v",
+    )
+    stored, out = scratch_path(spark, "lines"), scratch_path(spark, "features")
+    lines.filter("l_orderkey % 2 = 0").write.parquet(stored)
+    cfg = FeatureConfig(
+        input_path=stored, output_path=out, targets=("v",), order_by=("l_orderkey", "l_partkey", "l_linenumber"), imputation="mean",
+        selection_methods=("correlation",), selection_ratio={"correlation": 1.0},
+    )
+    features.run_features(spark, cfg)
+    ready = features.apply_preparation(spark, f"{out}/catalog", lines.filter("l_orderkey % 2 = 1").drop("v"))
+    return ready.select(*[F.round(c, 9 if c == "p_frequency" else 6).alias(c) if t == "double" and c != "t" else F.col(c) for c, t in ready.dtypes])
 
 
 @check("analyze", profile_sql(CSV_ROWS, CSV_COLUMNS))

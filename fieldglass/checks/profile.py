@@ -97,9 +97,11 @@ def cardinality(spark, sf_dir):
     return profile.cardinality(flawed(spark, sf_dir))
 
 
-@check("dtype_report", union_all([f"SELECT '{c}' AS column_name, '{t}' AS dtype" for c, t in columns_of("lineitem")]))
+@check("dtype_report", union_all([f"SELECT '{c}' AS column_name, '{t}' AS dtype, count({c}) AS nonnull_count FROM lineitem" for c, t in columns_of("lineitem")]))
 def dtype_report(spark, sf_dir):
-    return profile.dtype_report(table(spark, sf_dir, "lineitem"))
+    """Types beside the number of values that have them."""
+    lines = table(spark, sf_dir, "lineitem")
+    return profile.dtype_report(lines).join(F.broadcast(profile.nonnull_profile(lines)), "column_name")
 
 
 def _profile_query(name: str):
@@ -239,7 +241,7 @@ def drop_high_missing(spark, sf_dir):
 @check("drop_constant", f"SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, rare, nothing, line, tag FROM ({FLAWED_SQL}) f")
 def drop_constant(spark, sf_dir):
     lines = flawed(spark, sf_dir)
-    return quality.drop_constant(lines, profile.profile_columns(lines))
+    return quality.drop_constant(lines)
 
 
 @check("drop_high_cardinality", f"SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, rare, seven, nothing, line FROM ({FLAWED_SQL}) f")

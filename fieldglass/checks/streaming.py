@@ -60,7 +60,7 @@ def incremental_pca(spark, sf_dir):
     folder, schema = parquet_files(spark, sf_dir)
     base = scratch_path(spark, "pca")
     stream = incremental.file_stream(spark, folder, schema, "parquet", 2)
-    incremental.update_moments(stream, ["value", "user_id"], f"{base}/parts", f"{base}/checkpoint", [50.0, 70.0])
+    incremental.update_moments(stream, ["value", "user_id"], f"{base}/parts", f"{base}/checkpoint")
     loadings = incremental.incremental_pca(spark, ["value", "user_id"], f"{base}/parts")
     return rounded(loadings.select("component", "ratio").distinct())
 

@@ -46,8 +46,8 @@ class FeatureConfig(Replaceable):
     categorical_columns: tuple[str, ...] = ()
     numerical_columns: tuple[str, ...] = ()
     categorical_threshold: int = 10
-    # labels that get a column each; columns with more labels become one index column
-    indicator_limit: int = 100
+    # a label that one in so many rows has gets a column of its own
+    rows_per_indicator: int = 100
     scaling: str = "standard"
     selection_methods: tuple[str, ...] = ("correlation", "lasso")
     correlation_method: str = "pearson"

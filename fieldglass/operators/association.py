@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.missing import known_double, row_per
+from ..functions.missing import known_double, quoted, row_per
 from ..sources.scratch import materialize
 from .ordered import CHUNK, add_running, find_chunks, running_sums
 
@@ -30,6 +30,15 @@ def _pearson(x: Column, y: Column) -> Column:
     return F.coalesce(F.nanvl(r, F.lit(None).cast("double")), F.lit(0.0))
 
 
+def _near_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as DOUBLE less their value in some row: r stays as it is, and values far from zero keep their digits in the moments."""
+    names = list(dict.fromkeys(columns))
+    values = df.select(*[known_double(df, c).alias(c) for c in names])
+    row = values.first()
+    shifts = {c: row[c] if row is not None and row[c] is not None and abs(row[c]) < float("inf") else 0.0 for c in names}
+    return values.select(*[(quoted(c) - F.lit(shifts[c])).alias(c) for c in names])
+
+
 def _pair_columns(df: DataFrame, pairs: Pairs, dropna: bool = True) -> DataFrame:
     """Long form ``(pair_id, x, y)``."""
     entries = [{"pair_id": F.lit(i), "x": known_double(df, a), "y": known_double(df, b)} for i, (a, b) in enumerate(pairs)]
@@ -47,6 +56,7 @@ def _labelled(df: DataFrame, spark, pairs: Pairs, r: Column) -> DataFrame:
 def pearson(df: DataFrame, pairs: Pairs) -> DataFrame:
     """``(a, b, r)``, signed. One aggregate and one formula; in long form once there are many pairs."""
     pairs = list(pairs)
+    df = _near_zero(df, [c for pair in pairs for c in pair])
     if len(pairs) <= WIDE_PAIRS:
         wide = df.agg(*[_pearson(known_double(df, a), known_double(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
         return wide.select(row_per([{"a": F.lit(a), "b": F.lit(b), "r": F.col(f"r{i}")} for i, (a, b) in enumerate(pairs)])).select("r.*")

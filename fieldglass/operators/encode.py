@@ -132,6 +132,18 @@ def _minmax(value: Column, low: float | None, high: float | None, constant: floa
     return (value - _number(low)) / _number(high - low)
 
 
+def fit_scale(df: DataFrame, columns: Sequence[str], method: str) -> dict[str, tuple[float, float]]:
+    """What ``scaled_columns`` needs of the rows: mean and deviation for ``standard``, else least and largest value."""
+    return fit_spread(df, columns) if method == "standard" else fit_range(df, columns)
+
+
+def scaled_columns(df: DataFrame, fitted: dict[str, Sequence[float]], method: str) -> list[Column]:
+    """``<c>_scaled`` for every fitted column."""
+    if method == "standard":
+        return [_standard(known_double(df, c), *f).alias(f"{c}_scaled") for c, f in fitted.items()]
+    return [_minmax(known_double(df, c), *f, 0.5).alias(f"{c}_scaled") for c, f in fitted.items()]
+
+
 def scale(df: DataFrame, columns: Sequence[str], method: str = "standard") -> DataFrame:
     """Add ``<c>_scaled``; rows with a missing input are dropped first, as assembling them would.
 
@@ -141,13 +153,7 @@ def scale(df: DataFrame, columns: Sequence[str], method: str = "standard") -> Da
     if method == "none" or not columns:
         return df
     valid = skip_invalid_rows(df, columns)
-    if method == "standard":
-        fitted = fit_spread(valid, columns)
-        added = [_standard(known_double(df, c), *fitted[c]).alias(f"{c}_scaled") for c in columns]
-    else:
-        fitted = fit_range(valid, columns)
-        added = [_minmax(known_double(df, c), *fitted[c], 0.5).alias(f"{c}_scaled") for c in columns]
-    return valid.select("*", *added)
+    return valid.select("*", *scaled_columns(df, fit_scale(valid, columns, method), method))
 
 
 def minmax_column(df: DataFrame, column: str, bounds: tuple[float, float]) -> Column:

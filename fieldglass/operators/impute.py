@@ -22,19 +22,22 @@ def _replace(df: DataFrame, filled: dict[str, Column]) -> DataFrame:
     return df.select(*[filled[c].alias(c) if c in filled else quoted(c) for c in df.columns])
 
 
+def fill_with(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
+    """Each column's gaps replaced by its value."""
+    return _replace(df, {c: F.coalesce(known_double(df, c), F.lit(v).cast("double")) for c, v in values.items()})
+
+
 def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    means = fit_means(df, columns)
-    return _replace(df, {c: F.coalesce(known_double(df, c), F.lit(m).cast("double")) for c, m in means.items()})
+    return fill_with(df, fit_means(df, columns))
 
 
 def impute_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _replace(df, {c: F.coalesce(known_double(df, c), F.lit(0.0)) for c in columns})
+    return fill_with(df, {c: 0.0 for c in columns})
 
 
 def impute_ffill_as_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The mean, and zero for a column without any known value."""
-    means = fit_means(df, columns)
-    return _replace(df, {c: F.coalesce(known_double(df, c), F.lit(m or 0.0)) for c, m in means.items()})
+    return fill_with(df, {c: m or 0.0 for c, m in fit_means(df, columns).items()})
 
 
 def columns_with_missing(report: DataFrame, columns: Sequence[str]) -> list[str]:

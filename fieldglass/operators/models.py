@@ -20,7 +20,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import (
@@ -29,12 +29,12 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import known_double, quoted
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, scratch_scope
+from . import gram
 from .encode import fit_range, label_table, minmax_column, minmax_exogenous, minmax_inverse, scale, string_index
 from .profile import exact_quantiles, null_counts
 from .quality import inf_to_null, skip_invalid_rows
@@ -42,6 +42,8 @@ from .sampling import fold_column, holdout_split
 from .series import chronological_split, lookback_sequences
 
 FEATURES, LABEL = "features", "label"
+#: Columns up to which a sum over all pairs of columns is written out.
+FORMULA_COLUMNS = 8
 
 
 def regressors(seed: int = 42) -> dict[str, Estimator]:
@@ -213,17 +215,26 @@ def fit_clusterer(df: DataFrame, features: Sequence[str], name: str, k: int = 4,
 
 
 def kfold_cv(
-    df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], reg_params: Sequence[float] = (0.0, 0.1), folds: int = 5, seed: int = 42
+    df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], reg_params: Sequence[float] = (0.0, 0.1), folds: int = 5, seed: int = 42, fold: Column | None = None
 ) -> DataFrame:
-    """``(reg_param, rmse)`` averaged over folds that depend on the key alone."""
-    split = df.withColumn("_fold", fold_column(key, folds, seed))
-    data = materialize(_assembled(split, known_double(df, label), features, ["_fold"]), "assembled")
-    estimator = LinearRegression(featuresCol=FEATURES, labelCol=LABEL)
-    grid = ParamGridBuilder().addGrid(estimator.regParam, list(reg_params)).build()
-    fitted = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=LABEL), numFolds=folds, foldCol="_fold", seed=seed
-    ).fit(data)
-    rows = [(float(p[estimator.regParam]), float(m)) for p, m in zip(grid, fitted.avgMetrics)]
+    """``(reg_param, rmse)`` of ridge regressions, averaged over folds that depend on the key alone, or are given by ``fold``.
+
+    One pass adds up the products of all columns per fold. What a model is fitted on are the sums of the other folds, and
+    its error on its own fold follows from that fold's sums, so there is no training and no scoring pass per fold and parameter.
+    """
+    known_rows = df.filter(known_double(df, label).isNotNull())
+    by_fold = gram.grams(known_rows, [*features, label], fold if fold is not None else fold_column(key, folds, seed))
+    rows = []
+    for reg in reg_params:
+        errors = []
+        for own, held_out in by_fold.items():
+            rest = None
+            for other, state in by_fold.items():
+                if other != own:
+                    rest = state if rest is None else rest.with_rows_of(state)
+            if rest is not None:
+                errors.append(float(np.sqrt(gram.squared_error(held_out, *gram.ridge(rest, reg)) / held_out.n)))
+        rows.append((float(reg), float(np.mean(errors)) if errors else None))
     return df.sparkSession.createDataFrame(rows, "reg_param double, rmse double")
 
 
@@ -253,25 +264,23 @@ def robust_z_anomalies(df: DataFrame, columns: Sequence[str], threshold: float =
 def mahalanobis(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``distance``, the squared Mahalanobis distance; rows with a missing input are dropped.
 
-    One aggregate gives means and covariances; only that small matrix is inverted on the driver.
+    One pass gives means and covariances; only that small matrix is inverted on the driver.
     """
-    valid = skip_invalid_rows(df, columns)
-    values = [known_double(df, c) for c in columns]
-    size = len(columns)
-    cells = [(i, j) for i in range(size) for j in range(i, size)]
-    row = valid.agg(
-        *[F.avg(v).alias(f"m{i}") for i, v in enumerate(values)],
-        *[F.covar_samp(values[i], values[j]).alias(f"c{i}_{j}") for i, j in cells],
-    ).first()
-    covariance = np.zeros((size, size))
-    for i, j in cells:
-        covariance[i, j] = covariance[j, i] = row[f"c{i}_{j}"]
-    inverse = np.linalg.pinv(covariance)
-    apart = [v - F.lit(row[f"m{i}"]) for i, v in enumerate(values)]
-    distance = F.lit(0.0)
-    for i, j in cells:
-        distance = distance + apart[i] * apart[j] * F.lit(float(inverse[i, j]) * (1 if i == j else 2))
-    return valid.select("*", distance.alias("distance"))
+    state = gram.gram(df, columns)
+    inverse = np.linalg.pinv(state.covariance())
+    apart = [known_double(df, c) - F.lit(float(m)) for c, m in zip(columns, state.mean)]
+    if len(columns) <= FORMULA_COLUMNS:
+        distance = F.lit(0.0)
+        for i, row in enumerate(inverse):
+            for j in range(i, len(columns)):
+                distance = distance + apart[i] * apart[j] * F.lit(float(row[j]) * (1 if i == j else 2))
+    else:
+        # the same sum as a loop over arrays: a formula of all products would be too long to compile
+        matrix = F.lit([[float(x) for x in row] for row in inverse])
+        dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+        distance = dot(F.transform(matrix, lambda row: dot(row, F.col("_apart"))), F.col("_apart"))
+    valid = skip_invalid_rows(df, columns).withColumn("_apart", F.array(*apart))
+    return valid.select(*[quoted(c) for c in df.columns], distance.alias("distance"))
 
 
 def centre_distance(df: DataFrame, columns: Sequence[str], k: int = 4, seed: int = 42) -> DataFrame:
@@ -410,12 +419,14 @@ def prepare_ml(df: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
 def per_target_runs(spark, targets: Sequence[str], body: Callable[[str], DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
     """Results by target, and the status table ``(target, status, message, finished)``.
 
-    Each result is written while its target runs, so a failure of the work itself is recorded; it does not stop the others.
+    Each result is written while its target runs, so a failure of the work itself is recorded; it does not stop the others. What
+    else the target has written in between is deleted.
     """
     results, rows = {}, []
     for target in targets:
         try:
-            results[target] = materialize(body(target), "target")
+            with scratch_scope(spark):
+                results[target] = materialize(body(target), "target", keep=True)
             rows.append((target, "ok", None, datetime.now()))
         except Exception as error:
             rows.append((target, "failed", str(error).splitlines()[0][:300], datetime.now()))

@@ -151,7 +151,12 @@ def distinct_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def constant_flags(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return profile_columns(df, columns).select("column_name", "is_constant")
+    """Columns whose known values are all the same: the least equals the largest. One aggregate, no distinct values travel."""
+    chosen = fields(df, columns)
+    values = [_grouping_value(f)[1] for f in chosen]
+    ends = df.agg(*[m(v).alias(f"{n}{i}") for i, v in enumerate(values) for n, m in (("a", F.min), ("b", F.max))])
+    same = [F.coalesce(F.col(f"a{i}") == F.col(f"b{i}"), F.lit(False)) for i in range(len(chosen))]
+    return ends.select(row_per([{"column_name": F.lit(f.name), "is_constant": c} for f, c in zip(chosen, same)])).select("r.*")
 
 
 def cardinality(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.missing import fields, is_floating, missing, quoted
+from .profile import constant_flags
 
 
 def _without(df: DataFrame, report: DataFrame, condition: Column) -> DataFrame:
@@ -22,8 +23,9 @@ def drop_high_missing(df: DataFrame, report: DataFrame, threshold: float = 0.95)
     return _without(df, report, F.col("missing_fraction") > threshold)
 
 
-def drop_constant(df: DataFrame, report: DataFrame) -> DataFrame:
-    return _without(df, report, F.col("is_constant"))
+def drop_constant(df: DataFrame, report: DataFrame | None = None) -> DataFrame:
+    """Without a report the constant columns are found by one aggregate of least and largest values."""
+    return _without(df, report if report is not None else constant_flags(df), F.col("is_constant"))
 
 
 def drop_high_cardinality(df: DataFrame, report: DataFrame, threshold: int = 1000) -> DataFrame:

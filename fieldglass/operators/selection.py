@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import known_double, quoted, row_per
 from ..sources.scratch import materialize
+from . import gram
 from .association import correlation_matrix, correlation_scores
-from .encode import MAX_BROADCAST_LABELS, scale
+from .encode import MAX_BROADCAST_LABELS
 from .quality import skip_invalid_rows
 
 SCORES = "target string, feature string, method string, score double"
@@ -138,21 +139,13 @@ def bounded_sample(df: DataFrame, key: Sequence[str], share: float = 0.1, seed:
 
 
 def recursive_elimination(df: DataFrame, target: str, features: Sequence[str], keep: int = 10) -> DataFrame:
-    """``(feature, eliminated_at, kept)``: refit on standardised inputs, drop the smallest coefficient."""
-    valid = skip_invalid_rows(df, [target, *features])
-    scaled = scale(valid, features).select(
-        *[quoted(f"{f}_scaled").alias(f"s{i}") for i, f in enumerate(features)], known_double(df, target).alias("_label")
-    )
-    left = list(range(len(features)))
-    steps: list[tuple[str, int | None]] = []
-    while len(left) > max(1, keep):
-        data = VectorAssembler(inputCols=[f"s{i}" for i in left], outputCol="_features").transform(scaled)
-        fit = LinearRegression(featuresCol="_features", labelCol="_label", solver="normal").fit(data)
-        sizes = [(abs(float(c)), features[i], i) for c, i in zip(fit.coefficients.toArray(), left)]
-        weakest = min(sizes)[2]
-        steps.append((features[weakest], len(steps) + 1))
-        left.remove(weakest)
-    steps += [(features[i], None) for i in left]
+    """``(feature, eliminated_at, kept)``: regress on standardised inputs, drop the smallest coefficient, and again.
+
+    One pass over the rows gives all products of columns; the regressions are sweeps of that matrix. Of equal coefficients
+    the feature named first goes first, and before all others those that are constant or follow from the ones named before them.
+    """
+    gone, left = gram.elimination_order(gram.gram(df, [*features, target]), keep)
+    steps = [(features[k], i) for i, k in enumerate(gone, 1)] + [(features[k], None) for k in left]
     table = df.sparkSession.createDataFrame(steps, "feature string, eliminated_at int")
     return table.withColumn("kept", F.col("eliminated_at").isNull())
 

@@ -22,7 +22,7 @@ from ..functions.calendar import (
 from ..functions.missing import fields, known, known_double, quoted, row_per
 from ..sources.scratch import materialize
 from .encode import fit_range, minmax_column
-from .impute import fit_means
+from .impute import fill_with, fit_means
 from .ordered import POSITION, frame_windows, nearest_known, with_positions
 from .quality import drop_rows_any_null
 
@@ -93,6 +93,15 @@ def hour_onehot(df: DataFrame, ts: str = "ts") -> DataFrame:
 # --- filling gaps --------------------------------------------------------------------------------
 
 
+def carry_forward(
+    df: DataFrame, columns: Names, order_by: Names, series_key: Names = (), chunk_rows: int | None = None
+) -> DataFrame:
+    """Carry the last value forward as DOUBLE; gaps at the start stay."""
+    carried = nearest_known(_clean(df, columns), columns, series_key, order_by, chunk_rows)
+    forward = {c: quoted(f"_prev_{c}")["value"].cast("double") for c in columns}
+    return carried.select(*[forward[c].alias(c) if c in forward else quoted(c) for c in df.columns])
+
+
 def impute_ffill(
     df: DataFrame, columns: Names, order_by: Names, series_key: Names = (), chunk_rows: int | None = None
 ) -> DataFrame:
@@ -100,14 +109,8 @@ def impute_ffill(
 
     The mean is taken after carrying forward, as filling in that order does. Filled columns are DOUBLE.
     """
-    carried = nearest_known(_clean(df, columns), columns, series_key, order_by, chunk_rows)
-    forward = {c: quoted(f"_prev_{c}")["value"].cast("double") for c in columns}
-    filled = carried.select(*[forward[c].alias(c) if c in forward else quoted(c) for c in df.columns])
-    filled = materialize(filled, "filled")  # read for the means, then for the result
-    means = fit_means(filled, columns)
-    return filled.select(
-        *[F.coalesce(quoted(c), F.lit(means[c]).cast("double")).alias(c) if c in means else quoted(c) for c in df.columns]
-    )
+    filled = materialize(carry_forward(df, columns, order_by, series_key, chunk_rows), "filled")  # read for the means, then for the result
+    return fill_with(filled, fit_means(filled, columns))
 
 
 def interpolate_time(

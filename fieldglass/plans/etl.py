@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import EtlConfig
 from ..operators import profile, quality, schema
 from ..sources import files, sinks
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, scratch_scope
 
 SUMMARY = (
     "files int, rejected_files int, total_rows bigint, initial_columns int, kept_columns int, "
@@ -37,24 +37,28 @@ def read_inputs(spark: SparkSession, cfg: EtlConfig) -> tuple[DataFrame, list[st
 
 
 def run_etl(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
-    table, names, rejected, count = read_inputs(spark, cfg)
-    table = schema.keep_columns(table, cfg.keep_columns)
-    table = schema.drop_by_type(table, cfg.drop_types)
-    # text is parsed once; profile and output read the columnar copy
-    table = materialize(table, "ingested")
-    report = materialize(profile.profile_columns(table), "report")
-    kept = quality.drop_high_missing(table, report, cfg.missing_threshold)
-    if cfg.constant_columns == "drop":
-        kept = quality.drop_constant(kept, report)
-    if cfg.high_cardinality == "drop":
-        kept = quality.drop_high_cardinality(kept, report, cfg.high_cardinality_threshold)
-    if cfg.duplicate_rows == "drop":
-        kept = quality.drop_duplicates(kept)
-    fmt, location = ("none", None)
-    if cfg.output_path:
-        fmt, location = sinks.write_with_fallback(kept, cfg.output_path)
-    if cfg.report_path:
-        sinks.write_report(report, cfg.report_path)
+    """Read, profile, drop and store. Intermediate tables are deleted; without an output path the ingested copy stays, as the result reads it."""
+    with scratch_scope(spark):
+        table, names, rejected, count = read_inputs(spark, cfg)
+        rejected = materialize(rejected, "rejected", keep=True)
+        table = schema.keep_columns(table, cfg.keep_columns)
+        table = schema.drop_by_type(table, cfg.drop_types)
+        # text is parsed once; profile and output read the columnar copy
+        table = materialize(table, "ingested", keep=not cfg.output_path)
+        report = materialize(profile.profile_columns(table), "report", keep=True)
+        kept = quality.drop_high_missing(table, report, cfg.missing_threshold)
+        if cfg.constant_columns == "drop":
+            kept = quality.drop_constant(kept, report)
+        if cfg.high_cardinality == "drop":
+            kept = quality.drop_high_cardinality(kept, report, cfg.high_cardinality_threshold)
+        if cfg.duplicate_rows == "drop":
+            kept = quality.drop_duplicates(kept)
+        fmt, location = ("none", None)
+        if cfg.output_path:
+            fmt, location = sinks.write_with_fallback(kept, cfg.output_path)
+            kept = files.csv_scan(spark, location, kept.schema) if fmt == "csv" else files.load_table(spark, location, fmt)
+        if cfg.report_path:
+            sinks.write_report(report, cfg.report_path)
     summary = etl_run_summary(report, count, rejected, names, kept, fmt, location)
     return EtlResult(kept, report, summary, rejected)
 

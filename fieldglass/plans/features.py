@@ -6,10 +6,11 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import FeatureConfig
-from ..operators import encode, impute, profile, schema, selection, series
+from ..operators import impute, prepared, profile, schema, selection
 from ..sources import files, registry, sinks
 from ..sources.scratch import materialize
 
@@ -21,6 +22,8 @@ class FeatureResult:
     scores: DataFrame
     metadata: DataFrame
     names: dict[str, str]
+    #: Everything fitted, from raw columns to the table above; to be stored and applied to new rows.
+    preparation: PipelineModel
 
 
 def _report(spark: SparkSession, cfg: FeatureConfig, table: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -32,29 +35,14 @@ def _report(spark: SparkSession, cfg: FeatureConfig, table: DataFrame, names: di
     return materialize(profile.profile_columns(table), "report")
 
 
-def fill_missing(df: DataFrame, cfg: FeatureConfig, columns: list[str]) -> DataFrame:
-    if not columns:
-        return df
-    if cfg.imputation == "mean":
-        return impute.impute_mean(df, columns)
-    if cfg.imputation == "zero":
-        return impute.impute_zero(df, columns)
-    if cfg.imputation == "ffill_as_mean":
-        return impute.impute_ffill_as_mean(df, columns)
-    if cfg.imputation != "ffill":
-        raise ValueError(f"unknown imputation {cfg.imputation!r}")
-    if not cfg.order_by:
-        raise ValueError("forward fill needs order_by: rows of a DataFrame have no order of their own")
-    order, key = [[schema.clean_name(c) for c in names] for names in (cfg.order_by, cfg.series_key)]
-    return series.impute_ffill(df, columns, order, key, cfg.chunk_rows)
-
-
 def prepare_features(spark: SparkSession, df: DataFrame, cfg: FeatureConfig) -> FeatureResult:
     """The feature stage on a DataFrame, without sinks."""
-    table, names = schema.sanitize_names(df)
+    (clean,), table = prepared.run_stages(df, [prepared.CleanNames()])
+    names = clean["names"]
     targets, primary = schema.resolve_targets(table.columns, cfg.targets, cfg.primary_target)
     report = _report(spark, cfg, table, names)
-    axis = {schema.clean_name(c) for c in (*cfg.order_by, *cfg.series_key)}
+    order, key = [[schema.clean_name(c) for c in given] for given in (cfg.order_by, cfg.series_key)]
+    axis = {*order, *key}
     roles = schema.classify_columns(
         table,
         report,
@@ -65,21 +53,17 @@ def prepare_features(spark: SparkSession, df: DataFrame, cfg: FeatureConfig) ->
     )
     lists = schema.collect_roles(roles, table.columns)
     numerical = [c for c in lists.numerical if c not in axis]
-    distinct = {r["column_name"]: r["distinct_count"] for r in report.collect()}
-    indicators: list[str] = []
-    for column in lists.categorical:
-        if column in axis:
-            continue
-        if distinct.get(column, 0) <= cfg.indicator_limit:
-            table, added = encode.indicator_columns(table, column)
-            indicators += added
-        else:
-            # too many labels for a column each: the label's index stands for them
-            table = encode.string_index(table, column)
-            indicators.append(f"{column}_index")
-    table = fill_missing(table, cfg, impute.columns_with_missing(report, numerical))
+    stages = [
+        prepared.EncodeLabels(columns=[c for c in lists.categorical if c not in axis], rows_per_indicator=cfg.rows_per_indicator),
+        prepared.FillMissing(
+            columns=impute.columns_with_missing(report, numerical), method=cfg.imputation, order_by=order, series_key=key, chunk_rows=cfg.chunk_rows
+        ),
+        prepared.ScaleColumns(columns=numerical, method=cfg.scaling),
+    ]
+    fitted, table = prepared.run_stages(table, stages)
+    indicators = fitted[0].names
     # everything below reads this table several times
-    table = materialize(encode.scale(table, numerical, cfg.scaling), "prepared")
+    table = materialize(table, "prepared")
     features = numerical + indicators
     scores = materialize(
         selection.multi_target_selection(
@@ -90,13 +74,15 @@ def prepare_features(spark: SparkSession, df: DataFrame, cfg: FeatureConfig) ->
     kept = scores.filter("kept").select("feature").distinct().collect()
     chosen = schema.fallback_features([f for f in features if f in {r["feature"] for r in kept}], numerical)
     if cfg.use_pca:
-        table, components, _ = selection.pca(table, chosen, cfg.pca_components)
-        chosen = chosen + components
+        (components,), table = prepared.run_stages(table, [prepared.Components(columns=chosen, components=cfg.pca_components)])
+        fitted.append(components)
+        chosen = chosen + components.names
     metadata = schema.rename_in_table(selection.feature_metadata(roles, scores, cfg.scaling), names, restore=True)
     scaled = [f"{c}_scaled" for c in chosen if f"{c}_scaled" in table.columns]
     keep = [c for c in table.columns if c in axis]
-    out = schema.project_features(table, [*keep, *chosen, *scaled], targets)
-    return FeatureResult(out, chosen, scores, metadata, names)
+    last = prepared.KeepColumnsModel({"columns": [*keep, *chosen, *scaled], "optional": targets})
+    preparation = PipelineModel([clean, *fitted, last])
+    return FeatureResult(last.transform(table), chosen, scores, metadata, names, preparation)
 
 
 def project(result: FeatureResult, target: str) -> DataFrame:
@@ -116,12 +102,20 @@ def run_features(spark: SparkSession, cfg: FeatureConfig) -> FeatureResult:
         axis = [schema.clean_name(c) for c in (*cfg.series_key, *cfg.order_by)]
         artifacts = sinks.write_selected_features(result.table, f"{cfg.output_path}/data", per_target, targets, axis)
         sinks.write_report(result.metadata, f"{cfg.output_path}/metadata")
+        sinks.save_model(result.preparation, f"{cfg.output_path}/preparation")
+        artifacts.append(("preparation", f"{cfg.output_path}/preparation", result.table.schema.json()))
         artifacts.append(("metadata", f"{cfg.output_path}/metadata", result.metadata.schema.json()))
         catalog = cfg.catalog_path or f"{cfg.output_path}/catalog"
         registry.record_artifacts(spark, catalog, uuid.uuid4().hex, datetime.now(), artifacts)
     return result
 
 
+def apply_preparation(spark: SparkSession, catalog_path: str, df: DataFrame) -> DataFrame:
+    """New rows prepared as those of the latest run were: with its means, labels, bounds and selection. Targets may be absent."""
+    catalog = registry.read(spark, catalog_path, registry.ARTIFACTS)
+    return sinks.load_model(registry.latest_artifact_path(catalog, "preparation")).transform(df)
+
+
 def analyze_features(spark: SparkSession, path: str, target: str) -> tuple[DataFrame, DataFrame]:
     """``(summary, scores of the first numerical columns against the target)`` of a stored table."""
     table, _ = schema.sanitize_names(files.load_table(spark, path))

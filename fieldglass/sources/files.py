@@ -47,6 +47,20 @@ def remove_path(spark: SparkSession, path: str) -> None:
         pass
 
 
+def replace_path(spark: SparkSession, new: str, target: str) -> None:
+    """Move ``new`` to ``target``; what was there goes only once the new one is complete, and comes back if it cannot be moved."""
+    files, new_path = _filesystem(spark, new)
+    _, path = _filesystem(spark, target)
+    _, old = _filesystem(spark, f"{new}.old")
+    held = files.exists(path) and files.rename(path, old)
+    if not files.rename(new_path, path):
+        if held:
+            files.rename(old, path)
+        raise AnalysisException(f"{new} could not be moved to {target}")
+    if held:
+        files.delete(old, True)
+
+
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``(path, length, modified)`` of the files under folders, files or globs, listed by Spark."""
     paths = [paths] if isinstance(paths, str) else list(paths)

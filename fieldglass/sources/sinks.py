@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.missing import quoted
 from ..operators.schema import project_features
-from .files import FAILURES, delta_available, path_exists, remove_path
+from .files import FAILURES, delta_available, path_exists, remove_path, replace_path
 
 REPORT_SCHEMA = (
     "column_name string, dtype string, total_rows bigint, missing_count bigint, missing_fraction double, "
@@ -20,21 +21,31 @@ REPORT_SCHEMA = (
 
 
 def write_with_fallback(df: DataFrame, path: str, formats: Sequence[str] = ("delta", "parquet", "csv")) -> tuple[str, str]:
-    """Overwrite ``path`` in the first format that works; ``(format, path)``. Raises if none does."""
-    failures = []
+    """Replace ``path`` in the first format that works; ``(format, path)``. Raises if none does, and then what was there is still there.
+
+    A format is written beside the target, which takes the target's place once it is complete.
+    """
+    spark, failures = df.sparkSession, []
     for fmt in formats:
-        if fmt == "delta" and not delta_available(df.sparkSession):
+        if fmt == "delta" and not delta_available(spark):
             failures.append("delta: connector not available")
             continue
         writer = df.write.format(fmt).mode("overwrite")
         if fmt == "csv":
             writer = writer.option("header", "true")
         try:
-            writer.save(path)
-            return fmt, path
+            if fmt == "delta":  # its log makes the change all at once
+                writer.save(path)
+                return fmt, path
+            beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+            try:
+                writer.save(beside)
+                replace_path(spark, beside, path)
+                return fmt, path
+            finally:
+                remove_path(spark, beside)
         except FAILURES as error:
             failures.append(f"{fmt}: {str(error).splitlines()[0]}")
-            remove_path(df.sparkSession, path)
     raise RuntimeError("no format could be written: " + "; ".join(failures))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.missing import fields, known_double, missing, quoted, row_per
+from ..operators import gram, states
 from ..sources.files import CSV_OPTIONS, path_exists
 
 
@@ -118,59 +119,44 @@ def merged_profile(spark: SparkSession, parts: str) -> DataFrame:
 
 # --- principal components ------------------------------------------------------------------------
 
-MOMENTS = "a int, b int, n bigint, sum double, product double, batch_id bigint"
+MOMENT_PARTS = f"{states.SCHEMA}, batch_id bigint"
 
 
-def update_moments(stream: DataFrame, columns: Sequence[str], parts: str, checkpoint: str, shift: Sequence[float] | None = None) -> None:
-    """Write count, sums and products of every two columns for each new batch.
+def update_moments(stream: DataFrame, columns: Sequence[str], parts: str, checkpoint: str) -> None:
+    """Write the states of each new batch: count, means and centred products of the columns, tile by tile.
 
-    Rows with a missing input are skipped. ``shift`` (any fixed point near the data, the same in every
-    call) keeps the products from losing digits.
+    Rows with a missing input are skipped. A batch that runs again replaces what it wrote.
     """
-    shift = list(shift or [0.0] * len(columns))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        values = [known_double(batch, c) - F.lit(float(s)) for c, s in zip(columns, shift)]
-        complete = F.lit(True)
-        for field in fields(batch, columns):
-            complete = complete & ~missing(field)
-        entries = [
-            {"a": F.lit(i), "b": F.lit(j), "x": values[i], "p": values[i] * values[j]}
-            for i in range(len(columns))
-            for j in range(i, len(columns))
-        ]
-        long = batch.filter(complete).select(row_per(entries)).select("r.*")
-        parts_of_batch = long.groupBy("a", "b").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("x").alias("sum"), F.sum("p").alias("product")
-        )
-        parts_of_batch.write.mode("overwrite").parquet(f"{parts}/batch_id={batch_id}")
+        gram.tiles_of(batch, columns).write.mode("overwrite").parquet(f"{parts}/batch_id={batch_id}")
 
     _run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
+def merged_moments(spark: SparkSession, columns: Sequence[str], parts: str) -> gram.Gram | None:
+    """The state of all rows seen so far, or None before the first complete one."""
+    stored = spark.read.schema(MOMENT_PARTS).parquet(parts)
+    # tasks of different batches have the same numbers: deal the states out evenly
+    spread = F.pmod(F.xxhash64("batch_id", "node"), F.lit(max(1, stored.count())))
+    found = states.tree_merged(stored.select("key", spread.alias("node"), "state"), gram.merged)
+    return gram.assembled(found, len(columns)).get(0)
+
+
 def incremental_pca(spark: SparkSession, columns: Sequence[str], parts: str, k: int | None = None) -> DataFrame:
     """``(component, ratio, column_name, loading)`` of the rows seen so far.
 
-    The merged moments are one small matrix; its eigenvectors are found on the driver. The sign of a
-    component makes its largest loading positive.
+    The states of all batches are merged in a tree to one small matrix; its eigenvectors are found on the driver. The sign of a
+    component makes its largest loading positive. With fewer than two complete rows there are no components.
     """
-    merged = (
-        spark.read.schema(MOMENTS).parquet(parts).groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("sum").alias("s"), F.sum("product").alias("p"))
-    ).collect()
-    size = len(columns)
-    sums, products, n = np.zeros(size), np.zeros((size, size)), 0
-    for r in merged:
-        n = r["n"]
-        products[r["a"], r["b"]] = products[r["b"], r["a"]] = r["p"]
-        if r["a"] == r["b"]:
-            sums[r["a"]] = r["s"]
-    covariance = (products - np.outer(sums, sums) / n) / (n - 1)
-    values, vectors = np.linalg.eigh(covariance)
+    found = merged_moments(spark, columns, parts)
     rows = []
-    for place, at in enumerate(np.argsort(values)[::-1][: k or size]):
-        vector = vectors[:, at]
-        vector = vector * np.sign(vector[np.argmax(np.abs(vector))])
-        rows += [(f"pca_{place}", float(values[at] / values.sum()), c, float(v)) for c, v in zip(columns, vector)]
+    if found is not None and found.n > 1:
+        values, vectors = np.linalg.eigh(found.covariance())
+        for place, at in enumerate(np.argsort(values)[::-1][: k or len(columns)]):
+            vector = vectors[:, at]
+            vector = vector * np.sign(vector[np.argmax(np.abs(vector))])
+            rows += [(f"pca_{place}", float(values[at] / values.sum()), c, float(v)) for c, v in zip(columns, vector)]
     return spark.createDataFrame(rows, "component string, ratio double, column_name string, loading double")
 
 

@@ -328,6 +328,29 @@ def test_failed_write_falls_back(spark, tmp_path):
     assert not (tmp_path / "u").exists()
 
 
+def test_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_with_fallback(spark.range(3), path)
+    failing = spark.range(3).select(F.raise_error(F.lit("no value")).alias("x"))
+    with pytest.raises(RuntimeError):
+        sinks.write_with_fallback(failing, path)
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert sinks.write_with_fallback(spark.read.parquet(path).limit(2), path)[0] == "parquet"
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_constants_are_found_without_distinct_values(spark):
+    nan = float("nan")
+    rows = [(1, 1.0, nan, None, "x" * 100, [1], -0.0), (1, 2.0, nan, None, "x" * 100, [1], 0.0), (None, 1.0, None, None, "x" * 100, [1], 0.0)]
+    df = spark.createDataFrame(rows, "a int, b double, c double, d string, e string, f array<int>, g double")
+    flags = profile.constant_flags(df)
+    assert {r["column_name"] for r in flags.filter("is_constant").collect()} == {"a", "c", "e", "f", "g"}
+    assert {r["column_name"]: r["is_constant"] for r in profile.profile_columns(df).collect()} == {r["column_name"]: r["is_constant"] for r in flags.collect()}
+    plan = flags._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" in plan and "hashpartitioning" not in plan
+    assert quality.drop_constant(df).columns == ["b", "d"] and not profile.constant_flags(df.limit(0)).filter("is_constant").count()
+
+
 def test_encoding_many_labels_loses_nothing(spark):
     many = spark.range(300).selectExpr("id", "CASE WHEN id % 10 > 0 THEN concat('s', id % 150) END AS c")
     long = encode.one_hot_long(many, ["id"], "c")

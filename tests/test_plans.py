@@ -39,8 +39,12 @@ def test_three_stages(spark, events):
 
     catalog = registry.read(spark, f"{out}/features/catalog", registry.ARTIFACTS)
     assert {r["artifact"] for r in registry.latest_artifacts(catalog, datetime(2100, 1, 1)).collect()} == {
-        "selected_features", "features_load", "metadata",
+        "selected_features", "features_load", "metadata", "preparation",
     }
+    new = events.selectExpr("event_id", "event_type AS `event type`", "CAST(NULL AS DOUBLE) AS `value.raw`", "CAST(ts AS STRING) AS day").limit(7)
+    again = features.apply_preparation(spark, f"{out}/features/catalog", new)
+    assert again.columns == [c for c in result.table.columns if c != "load"] and again.count() == 7
+    assert again.filter(F.col("value_raw").isNull()).count() == 0
     table = modelling.latest_features(spark, f"{out}/features/catalog")
     assert "load" in table.columns
 

@@ -51,8 +51,22 @@ def test_replayed_batch_overwrites_its_part(spark, events):
             incremental.file_stream(spark, folder, SCHEMA, "parquet"), ["value", "event_id"], f"{base}/p", f"{base}/c"
         )
         shutil.rmtree(f"{base}/c")  # as if the checkpoint had been lost after the write
-    counts = spark.read.schema(incremental.MOMENTS).parquet(f"{base}/p").select("n").distinct().collect()
-    assert [r["n"] for r in counts] == [events.count()]
+    assert incremental.merged_moments(spark, ["value", "event_id"], f"{base}/p").n == events.count()
+
+
+def test_moments_of_many_batches(spark, events):
+    import numpy as np
+
+    folder, base = scratch_path(spark, "in"), scratch_path(spark, "out")
+    drop(events.repartition(40).withColumn("value", F.expr("value + 1e9")), folder, "true")
+    stream = incremental.file_stream(spark, folder, SCHEMA, "parquet", 2)
+    incremental.update_moments(stream, ["value", "event_id"], f"{base}/p", f"{base}/c")
+    found = incremental.merged_moments(spark, ["value", "event_id"], f"{base}/p")
+    rows = np.array([(r["value"], r["event_id"]) for r in events.collect()], float)
+    assert found.n == len(rows) and np.allclose(found.covariance(), np.cov(rows.T), rtol=1e-6)
+    empty = incremental.file_stream(spark, folder, SCHEMA, "parquet").filter("event_id < 0")
+    incremental.update_moments(empty, ["value", "event_id"], f"{base}/q", f"{base}/d")
+    assert incremental.incremental_pca(spark, ["value", "event_id"], f"{base}/q").count() == 0
 
 
 def test_late_rows_are_dropped(spark, events):
