@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from fieldglass.sources.scratch import materialize, scratch_path
 
-from .common import record_batch, row_slices
+from .common import record_batch
 
 CRLF = b"\r\n"
 RECORD_END = "\r\n\r\n"
@@ -34,6 +34,10 @@ SEGMENT_BYTES = 16_384
 CHUNK_BYTES = 4_096
 #: Records of one archive; with the segment size this bounds an archive at about 34 MB before compression.
 ARCHIVE_RECORDS = 2_048
+#: Bytes of the rows that go to Spark at a time.
+BATCH_BYTES = 1 << 20
+#: Repeated digests that are broadcast (about 100 bytes each), and the part of all rows beyond which one always is.
+BROADCAST_DIGESTS, HOT = 200_000, 10_000
 STATUS = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
 
@@ -86,40 +90,64 @@ def page_records(number: str, uri: str, payload: bytes | None, digest: str, refe
 
 
 def deduplicated(pages: DataFrame) -> DataFrame:
-    """``pages`` (page_id, uri, payload) with digest and ``refers_to``, the largest page_id that has the same large payload.
+    """``pages`` (page_id, uri, payload) with digest and ``refers_to``, the largest page_id that has the same large payload; then without the payload.
 
-    Counts per digest are combined before the shuffle; only digests that repeat are joined back.
+    Repeated digests are found from digests and ids alone. Their table is broadcast if it is small; else those that many pages have
+    are, and the pages with one of the others are joined by a shuffle in which no digest has more than a ``HOT``-th part of all rows.
     """
     known = pages.select("*", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("bytes"))
-    repeated = (
-        known.where(F.col("bytes") >= REVISIT_BYTES).groupBy("digest")
-        .agg(F.max("page_id").alias("first_id"), F.count("*").alias("n"))
-        .where("n > 1").drop("n")
-    )
-    joined = known.join(repeated, "digest", "left")
-    revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id")) & (F.col("bytes") >= REVISIT_BYTES)
-    return joined.select("page_id", "uri", "payload", "digest", F.when(revisit, F.col("first_id")).alias("refers_to"))
+    large = F.col("bytes") >= REVISIT_BYTES
+    repeated = known.where(large).groupBy("digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
+    repeated = materialize(repeated.select(F.col("digest").alias("of"), "first_id", "n"), "repeated-digests")
+    sizes = repeated.agg(F.count("*").alias("digests"), F.sum("n").alias("rows")).first()
+    same = (F.col("digest") == F.col("of")) & large
+    if sizes["digests"] <= BROADCAST_DIGESTS:
+        joined = known.join(F.broadcast(repeated), same, "left")
+    else:
+        often = F.col("n") > max(1, sizes["rows"] // HOT)
+        settled = known.join(F.broadcast(repeated.where(often)), same, "left")
+        open_ = settled.where("of IS NULL").drop("of", "first_id", "n")
+        joined = settled.where("of IS NOT NULL").unionByName(open_.join(repeated.where(~often), same, "left"))
+    revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
+    return joined.select("page_id", "uri", F.when(~revisit, F.col("payload")).alias("payload"), "digest", F.when(revisit, F.col("first_id")).alias("refers_to"))
+
+
+def _by_bytes(schema: pa.Schema, rows: Iterator[tuple], size) -> Iterator[pa.RecordBatch]:
+    """Batches of rows, each closed once its rows have ``BATCH_BYTES``."""
+    held, total = [], 0
+    for row in rows:
+        held.append(row)
+        total += 200 + size(row)
+        if total >= BATCH_BYTES:
+            yield record_batch(schema, list(zip(*held)))
+            held, total = [], 0
+    if held:
+        yield record_batch(schema, list(zip(*held)))
 
 
 def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT_BYTES, records: int = ARCHIVE_RECORDS) -> None:
-    """Write archives for ``pages`` (page_id, uri, payload, digest, refers_to) below ``path``."""
+    """Write archives for ``pages`` (page_id, uri, payload, digest, refers_to) below ``path``; those that refer to another have no payload."""
     schema = pa.schema([("record", pa.binary())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes]]:
         from pyspark import TaskContext
 
         part, row = TaskContext.get().partitionId(), 0
-        for ids, uris, payloads, digests, refers in row_slices(batches, 32):
-            out = []
-            for page_id, uri, payload, digest, refers_to in zip(ids, uris, payloads, digests, refers):
+        for batch in batches:
+            # one row after the other, so that only one page at a time is held twice
+            for values in zip(*batch.columns):
+                page_id, uri, payload, digest, refers_to = (v.as_py() for v in values)
                 name = f"{'' if page_id is None else page_id}:{part}-{row}"
                 row += 1
                 clean = "".join(c for c in uri or "" if c not in "\r\n")
-                out += page_records(name, clean, None if refers_to is not None else payload, digest, refers_to, segment)
-            yield record_batch(schema, [out])
+                for record in page_records(name, clean, None if refers_to is not None else payload, digest, refers_to, segment):
+                    yield (record,)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _by_bytes(schema, made(batches), lambda r: len(r[0]))
 
-    made = pages.select("page_id", "uri", "payload", "digest", "refers_to").mapInArrow(run, "record binary")
-    writer = made.select(F.col("record").cast("string").alias("value")).write
+    rows = pages.select("page_id", "uri", "payload", "digest", "refers_to").mapInArrow(run, "record binary")
+    writer = rows.select(F.col("record").cast("string").alias("value")).write
     writer.option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
 
 
@@ -163,24 +191,27 @@ RECORDS = "origin string, number int, total long, type string, uri string, diges
 RECORDS_ARROW = pa.schema([("origin", pa.string()), ("number", pa.int32()), ("total", pa.int64()), ("type", pa.string()), ("uri", pa.string()), ("digest", pa.string()), ("refers_to", pa.string()), ("block", pa.binary())])
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives below ``path``; ``number`` is null for records in one piece."""
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path).select("content")
+
+
+def _records_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for data in batch.column(0):
+            for h, block in parse_archive(data.as_py()):
+                number, total = h.get("WARC-Segment-Number"), h.get("WARC-Segment-Total-Length")
+                origin = h.get("WARC-Segment-Origin-ID", h["WARC-Record-ID"])
+                yield origin, number and int(number), total and int(total), h["WARC-Type"], h.get("WARC-Target-URI"), h.get("WARC-Payload-Digest"), h.get("WARC-Refers-To"), block
+
+
+def read_records(spark: SparkSession, path: str, segmented: bool | None = None) -> DataFrame:
+    """One row per record of the archives below ``path``; ``number`` is null for records in one piece. ``segmented``: only those in several, or in one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data in batch.column(0):
-                out: list[tuple] = []
-                for h, block in parse_archive(data.as_py()):
-                    number, total = h.get("WARC-Segment-Number"), h.get("WARC-Segment-Total-Length")
-                    out.append((h.get("WARC-Segment-Origin-ID", h["WARC-Record-ID"]), number and int(number), total and int(total), h["WARC-Type"], h.get("WARC-Target-URI"), h.get("WARC-Payload-Digest"), h.get("WARC-Refers-To"), block))
-                    if len(out) == 64:
-                        yield record_batch(RECORDS_ARROW, list(zip(*out)))
-                        out = []
-                if out:
-                    yield record_batch(RECORDS_ARROW, list(zip(*out)))
+        rows = (r for r in _records_of(batches) if segmented is None or segmented == (r[1] is not None))
+        yield from _by_bytes(RECORDS_ARROW, rows, lambda r: len(r[-1]))
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("content").mapInArrow(run, RECORDS)
+    return _archives(spark, path).mapInArrow(run, RECORDS)
 
 
 def reassembled(records: DataFrame) -> DataFrame:
@@ -198,38 +229,53 @@ def reassembled(records: DataFrame) -> DataFrame:
     numbers = F.transform("parts", lambda p: p["number"])
     length = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.octet_length(p["block"]))
     good = numbers.eqNullSafe(F.sequence(F.lit(1), F.size("parts"))) & length.eqNullSafe(F.col("total"))
-    block = F.aggregate("parts", F.lit(b"").cast("binary"), lambda b, p: F.concat(b, p["block"]))
+    # joined in one call: adding one part after the other would copy a long block once per part
+    block = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["block"])), ""))
     failed = F.raise_error(F.concat(F.lit("segments are missing or lengths differ: "), "origin")).cast("binary")
     return whole.unionByName(parts.select("origin", "type", "uri", "digest", "refers_to", F.when(good, block).otherwise(failed).alias("block")))
 
 
-PAGES = "page_id long, uri string, type string, stated string, refers_to long, payload binary"
-PAGES_ARROW = pa.schema([("page_id", pa.int64()), ("uri", pa.string()), ("type", pa.string()), ("stated", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+PAGES = "page_id long, uri string, type string, stated string, refers_to long, bytes long, payload binary"
+PAGES_ARROW = pa.schema([("page_id", pa.int64()), ("uri", pa.string()), ("type", pa.string()), ("stated", pa.string()), ("refers_to", pa.int64()), ("bytes", pa.int64()), ("payload", pa.binary())])
 
 
-def decoded(records: DataFrame) -> DataFrame:
-    """Pages of whole records: HTTP header cut off, transfer framing decoded, digest compared with the stated one.
+def page_of(origin: str, kind: str, uri: str, digest: str, refers_to: str | None, block: bytes, payloads: bool) -> tuple:
+    """The page of a whole record: HTTP header cut off, transfer framing decoded, digest compared with the stated one."""
+    head, _, body = block.partition(b"\r\n\r\n")
+    page, payload = origin.split(":")[2], None
+    if kind == "response":
+        payload = dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
+        if "sha1:" + hashlib.sha1(payload).hexdigest() != digest:
+            raise ValueError(f"{origin} has another payload than its digest says")
+    size = None if payload is None else len(payload)
+    return int(page) if page else None, uri, kind, digest.removeprefix("sha1:"), refers_to and int(refers_to[13:-1]), size, payload if payloads else None
+
+
+def _page_batches(rows: Iterator[tuple], payloads: bool) -> Iterator[pa.RecordBatch]:
+    return _by_bytes(PAGES_ARROW, (page_of(*r, payloads) for r in rows), lambda p: len(p[-1] or b""))
 
-    A revisit has no payload of its own (null).
-    """
+
+def decoded(records: DataFrame, payloads: bool = True) -> DataFrame:
+    """Pages of whole records. A revisit has no payload of its own (null); without ``payloads`` only their lengths are given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for origins, types, uris, digests, refers, blocks in row_slices(batches, 64):
-            out: list[tuple] = []
-            for origin, kind, uri, digest, refers_to, block in zip(origins, types, uris, digests, refers, blocks):
-                head, _, body = block.partition(b"\r\n\r\n")
-                page = origin.split(":")[2]
-                payload = None
-                if kind == "response":
-                    payload = dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
-                    if "sha1:" + hashlib.sha1(payload).hexdigest() != digest:
-                        raise ValueError(f"{origin} has another payload than its digest says")
-                out.append((int(page) if page else None, uri, kind, digest.removeprefix("sha1:"), refers_to and int(refers_to[13:-1]), payload))
-            yield record_batch(PAGES_ARROW, list(zip(*out)) or [[]] * 6)
+        rows = (tuple(v.as_py() for v in values) for batch in batches for values in zip(*batch.columns))
+        yield from _page_batches(rows, payloads)
 
     return records.select("origin", "type", "uri", "digest", "refers_to", "block").mapInArrow(run, PAGES)
 
 
+def read_pages(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """All pages of the archives below ``path``. Records in one piece are decoded where they are read, the others once their segments have met."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((origin, *rest) for origin, number, _, *rest in _records_of(batches) if number is None)
+        yield from _page_batches(rows, payloads)
+
+    whole = _archives(spark, path).mapInArrow(run, PAGES)
+    return whole.unionByName(decoded(reassembled(read_records(spark, path, segmented=True)), payloads))
+
+
 def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Archive ``pages`` (page_id, url, html) and read them back: one row per page.
 
@@ -241,9 +287,7 @@ def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     picked = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("uri"), payload.alias("payload"))
     write_archives(deduplicated(picked), path)
-    back = decoded(reassembled(read_records(spark, path)))
-    slim = back.select("page_id", "uri", "type", "stated", "refers_to", F.octet_length("payload").cast("long").alias("own_bytes"))
-    slim = materialize(slim, "warc-pages")
+    slim = materialize(read_pages(spark, path, payloads=False).drop("payload").withColumnRenamed("bytes", "own_bytes"), "warc-pages")
     lengths = slim.where("type = 'response'").groupBy(F.col("stated").alias("of")).agg(F.max("own_bytes").alias("bytes"))
     revisits = slim.where("type = 'revisit'").join(lengths, F.col("stated") == F.col("of"), "left")
     columns = ["page_id", F.col("uri").alias("url"), F.col("stated").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to"]
