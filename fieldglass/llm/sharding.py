@@ -57,13 +57,13 @@ def slot_of(key: Column, size: int) -> Column:
 def place(df: DataFrame, key: str, shards: list[str], size: int = TABLE_SIZE) -> DataFrame:
     """``df`` with ``slot`` (long) and ``shard`` (name). Every row gets a shard, equal keys the same one.
 
-    Null keys share one shard. Columns already called slot or shard are refused.
+    Null keys share one shard. Where ``df`` has a column called slot or shard, it stays, and the added one gets underscores until its name is free.
     """
-    if {"slot", "shard"} & set(df.columns):
-        raise ValueError("the input already has a column slot or shard")
-    rows = [(slot, shards[owner]) for slot, owner in enumerate(fill_table(shards, size))]
-    table = df.sparkSession.createDataFrame(rows, "slot long, shard string")
-    return df.withColumn("slot", slot_of(F.col(f"`{key}`"), size)).join(F.broadcast(table), "slot")
+    taken = {c.lower() for c in df.columns}
+    slot, shard = (n + "_" * next(k for k in range(len(taken) + 1) if n + "_" * k not in taken) for n in ("slot", "shard"))
+    rows = [(number, shards[owner]) for number, owner in enumerate(fill_table(shards, size))]
+    table = df.sparkSession.createDataFrame(rows, f"{slot} long, {shard} string")
+    return df.withColumn(slot, slot_of(F.col(f"`{key}`"), size)).join(F.broadcast(table), slot)
 
 
 def write_shards(placed: DataFrame, path: str, files: int = 4) -> None:

@@ -356,6 +356,38 @@ def test_site_quality_query(spark):
     assert sum(rows[k].kept for k, q in quality.items() if not q) <= 0.15 * sum(1 - q for q in quality.values())
 
 
+def test_site_scores_equal_plain_sums(spark):
+    """Posteriors and scores from the documents' own evidence, in plain Python."""
+    rows = queries.op8_site_quality(spark, SF).collect()
+    p = [1 / (1 + np.exp(-r.evidence)) for r in rows]
+    rate = sum(p) / len(p)
+
+    def strength(groups, centre):
+        n = sum(len(g) for g in groups.values())
+        mean = {k: sum(g) / len(g) for k, g in groups.items()}
+        spread = sum(len(g) * (mean[k] - centre(k)) ** 2 for k, g in groups.items())
+        noise = sum(sum(x * x for x in g) / len(g) - mean[k] ** 2 for k, g in groups.items())
+        whole = sum(len(g) * centre(k) * (1 - centre(k)) for k, g in groups.items())
+        between = (spread - noise) / n
+        low, high = site_quality.STRENGTH
+        return min(max(whole / n / between - 1, low), high) if between > 0 else high
+
+    hosts, paths = {}, {}
+    for r, own in zip(rows, p):
+        hosts.setdefault(r.source, []).append(own)
+        paths.setdefault((r.source, r.lang), []).append(own)
+    k = strength(hosts, lambda _: rate)
+    host_rate = {h: (sum(g) + k * rate) / (len(g) + k) for h, g in hosts.items()}
+    k = strength(paths, lambda key: host_rate[key[0]])
+    odds = lambda q: np.log(min(max(q, 1e-6), 1 - 1e-6) / (1 - min(max(q, 1e-6), 1 - 1e-6)))
+    for r, own in zip(rows, p):
+        group = paths[r.source, r.lang]
+        others = (sum(group) - own + k * host_rate[r.source]) / (len(group) - 1 + k)
+        shift = min(max(odds(others) - odds(rate), -site_quality.SITE_BOUND), site_quality.SITE_BOUND)
+        assert abs(r.host_rate - host_rate[r.source]) < 1e-9 and abs(r.path_rate - others) < 1e-9
+        assert abs(r.score - (r.evidence + shift)) < 1e-7 and r.kept == (r.score >= 0)
+
+
 def test_sparse_sites_shrink(spark):
     rows = [("big", "a", 3.0)] * 400 + [("bad", "a", -3.0)] * 400 + [("mixed", "a", 3.0)] * 50 + [("mixed", "b", -3.0)] * 50 + [("one", "a", -3.0), (None, None, 3.0)]
     evidence = spark.createDataFrame(rows, f"host string, path string, {site_quality.EVIDENCE} double")

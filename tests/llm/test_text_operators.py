@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+from collections import Counter
 import re
 import zlib
 
@@ -231,6 +232,48 @@ def test_every_shard_gets_its_share():
         sharding.fill_table(shards, 1000)
 
 
+@pytest.mark.parametrize("shards, size", [(1, 2), (3, 11), (7, 7), (40, 1009)])
+def test_table_equals_naive_filling(shards, size):
+    names = [f"s{i}" for i in range(shards)]
+    number = lambda name, salt: int(hashlib.sha256(f"{salt}:{name}".encode()).hexdigest()[:16], 16)
+    orders = []
+    for name in names:
+        start, step = number(name, "offset") % size, number(name, "skip") % (size - 1) + 1 if size > 2 else 1
+        orders.append([(start + k * step) % size for k in range(size)])
+        assert sorted(orders[-1]) == list(range(size))
+    owner = {}
+    while len(owner) < size:
+        for shard, order in enumerate(orders):
+            if len(owner) < size:
+                owner[next(slot for slot in order if slot not in owner)] = shard
+    assert sharding.fill_table(names, size) == [owner[slot] for slot in range(size)]
+
+
+def test_placement_equals_looking_up_every_key(spark):
+    import struct
+
+    import xxhash
+
+    placed = queries.op6_sharding(spark, SF)
+    table = sharding.fill_table(queries.SHARDS)
+    for r in placed.collect():
+        first = xxhash.xxh64(str(r.doc_id).encode(), seed=42).intdigest()
+        value = xxhash.xxh64(struct.pack("<i", 0), seed=first).intdigest()
+        slot = (value - (1 << 64) if value >> 63 else value) % sharding.TABLE_SIZE
+        assert (r.slot, r.shard) == (slot, queries.SHARDS[table[slot]])
+
+
+def test_shards_of_clashing_names_and_of_nothing(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 5, "x"), (2, "b", 6, "y")], "k long, Slot string, shard int, slot_ string")
+    placed = sharding.place(df, "Slot", ["p", "q"], 11)
+    assert set(placed.columns) == {"k", "Slot", "shard", "slot_", "slot__", "shard_"} and placed.count() == 2
+    empty = sharding.place(spark.createDataFrame([], "k long"), "k", ["p", "q"], 11)
+    assert empty.count() == 0
+    sharding.write_shards(empty, str(tmp_path / "none"))
+    assert secret_scan.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert secret_scan.mask(spark.createDataFrame([], "doc_id long, text string, n_chars long"), "text", "n_chars").count() == 0
+
+
 def test_sharding_places_every_row(spark):
     rows = sharding.place(edge_docs(spark), "doc_id", ["a", "b", "c"], 11).collect()
     assert len(rows) == 6 and len({r.shard for r in rows if r.doc_id is None}) == 1
@@ -256,6 +299,40 @@ def test_warc_query_keeps_every_payload(spark):
         assert (rows[p.page_id].payload_bytes, rows[p.page_id].payload_digest) == (len(payload), hashlib.sha1(payload).hexdigest())
 
 
+def test_warc_revisits_refer_to_the_largest_id(spark, monkeypatch):
+    big, bigger, small = "x" * 1000, "é" * 9000, "y" * 999
+    rows = [(i, "u", [big, bigger, small, f"{i}" * 1500, None][i % 5], "z") for i in range(200)] + [(1000 + i, "u", big, "z") for i in range(150)] + [(None, "u", big, "z")] * 3
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string").repartition(9)
+    largest = {}
+    for i, _, html, _ in rows:
+        if len((html or "").encode()) >= 1000 and i is not None:
+            largest[html] = max(largest.get(html, i), i)
+    want = Counter()
+    for i, url, html, _ in rows:
+        data = (html or "").encode()
+        first = largest.get(html)
+        again = first is not None and first != i
+        want[(i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", first if again else None, url)] += 1
+    assert Counter(map(tuple, warc.round_trip(pages).collect())) == want
+    # by a shuffle, hot digests broadcast
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 0)
+    monkeypatch.setattr(warc, "HOT", 3)
+    monkeypatch.setattr(warc, "BATCH_BYTES", 5000)
+    assert Counter(map(tuple, warc.round_trip(pages).collect())) == want
+
+
+def test_long_pages_are_joined_in_linear_time(spark):
+    import time
+
+    took = {}
+    for mb in (8, 32):
+        pages = spark.createDataFrame([(1, "u", "a" * (mb << 20))], "page_id long, url string, html string")
+        start = time.time()
+        assert warc.round_trip(pages).first().payload_bytes == mb << 20
+        took[mb] = time.time() - start
+    assert took[32] < 4 * took[8] + 3
+
+
 def test_warc_edges(spark, tmp_path):
     long = "<p>é" * 30_000 + "\r\n\r\nWARC/1.0\r\n"
     rows = [(1, "u", None), (2, "u\r\nX: y", ""), (3, None, long), (5, "u", long), (4, "u", long), (6, "u", "short"), (7, "u", "short"), (None, "u", long)]
