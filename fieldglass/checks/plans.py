@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import EtlConfig, FeatureConfig, ModelConfig, SeriesConfig
+from ..config import EtlConfig, FeatureConfig, ModelConfig, ModelSetup, SeriesConfig
 from ..plans import etl, features, modelling
 from ..sources import registry, sinks
 from ..sources.files import load_table
@@ -172,6 +172,21 @@ def run_models_saved_model(spark, sf_dir):
     return scored.select("l_orderkey", "l_partkey", "l_linenumber", F.round("prediction", 3).alias("y"))
 
 
+@check("run_models_with_setup", "SELECT l_orderkey, l_partkey, l_linenumber, round(0.2 * l_quantity * l_quantity - 300 * l_quantity * l_tax + 40 * l_tax + 1, 3) AS y FROM lineitem")
+def run_models_with_setup(spark, sf_dir):
+    """A target of products of features: the set-up drops a constant and a repeated feature, adds products and standardises; the stored model repeats it all on raw rows."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr("*", "7.0D AS seven", "2 * l_quantity + 1 AS twice", "0.2 * l_quantity * l_quantity - 300 * l_quantity * l_tax + 40 * l_tax + 1 AS y")
+    cfg = ModelConfig(
+        use_case="regression", targets=("y",), features=("l_quantity", "l_tax", "seven", "twice"), key=tuple(KEY), output_path=scratch_path(spark, "models"),
+        excluded_models=("gbt", "random_forest", "decision_tree"),
+        setup=ModelSetup(normalize=True, ignore_low_variance=True, remove_multicollinearity=True, polynomial_features=True),
+    )
+    modelling.run_models(spark, lines, cfg)
+    newest = registry.latest_models(registry.read(spark, f"{cfg.output_path}/models", registry.MODELS)).first()
+    scored = sinks.load_model(newest["path"]).transform(lines.drop("y"))
+    return scored.select("l_orderkey", "l_partkey", "l_linenumber", F.round("prediction", 3).alias("y"))
+
+
 @check("run_models_without_target", "SELECT 'all' AS target, count(*) AS n FROM lineitem")
 def run_models_without_target(spark, sf_dir):
     """Clusters of lines; the stored model assigns every line."""

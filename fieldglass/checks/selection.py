@@ -139,15 +139,20 @@ def corr_preview(spark, sf_dir):
     return rounded(selection.correlation_preview(lines, "volume", profile.numeric_columns(lines)))
 
 
-@check("bounded_sample")
+@check("bounded_sample", "SELECT *, true AS approximate FROM lineitem WHERE (l_orderkey * 7 + l_linenumber) % 100 < 10")
 def bounded_sample(spark, sf_dir):
+    """A tenth by arithmetic on the key, which any engine can repeat."""
     lines = table(spark, sf_dir, "lineitem")
-    return selection.bounded_sample(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"])
+    return selection.bounded_sample(lines, ["l_orderkey", "l_linenumber"], by=F.expr("double((l_orderkey * 7 + l_linenumber) % 100) / 100"))
 
 
-@check("lasso_importance")
+@check(
+    "lasso_importance",
+    f"SELECT 'volume' AS target, 'l_quantity' AS feature, 'lasso' AS method, round(greatest(0, abs(corr(l_quantity, volume)) - 20000 / stddev_samp(volume)) * stddev_samp(volume) / stddev_samp(l_quantity), 1) AS score FROM ({LINES}) l",
+)
 def lasso_importance(spark, sf_dir):
-    return selection.lasso_importance(line_measures(spark, sf_dir), "volume", MEASURES)
+    """One feature: the standardised coefficient is the correlation less the penalty relative to the target's deviation."""
+    return rounded(selection.lasso_importance(line_measures(spark, sf_dir), "volume", ["l_quantity"], 20000.0), 1)
 
 
 def _ranked(scores: str, ratio: float, share: float) -> str:
@@ -278,16 +283,35 @@ def recursive_elimination_collinear(spark, sf_dir):
     return selection.recursive_elimination(lines, "y", ["l_quantity", "twice", "seven", "l_tax"], 1)
 
 
-@check("pca")
+# The larger component of two columns: (big - c, b) is its direction.
+TWO_COMPONENTS = (
+    "SELECT l_orderkey, l_linenumber, l_partkey, round(abs(((big - c) * l_quantity + b * percent) / sqrt((big - c) * (big - c) + b * b)), 5) AS pca_0{second} FROM "
+    "(SELECT *, 100 * l_discount AS percent FROM lineitem) l, (SELECT *, (a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS big FROM "
+    "(SELECT var_samp(l_quantity) AS a, covar_samp(l_quantity, 100 * l_discount) AS b, var_samp(100 * l_discount) AS c FROM lineitem) m) v"
+)
+SECOND = ", round(abs((b * l_quantity - (big - c) * percent) / sqrt((big - c) * (big - c) + b * b)), 5) AS pca_1"
+
+
+def _two_columns(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").withColumn("percent", F.col("l_discount") * 100)
+
+
+def _unsigned(reduced, names):
+    """A component may have either sign."""
+    return reduced.select("l_orderkey", "l_linenumber", "l_partkey", *[F.round(F.abs(n), 5).alias(n) for n in names])
+
+
+@check("pca", TWO_COMPONENTS.format(second=SECOND))
 def pca(spark, sf_dir):
-    reduced, names, _ = selection.pca(line_measures(spark, sf_dir), MEASURES + ["revenue"], 0.5)
-    return reduced.select("l_orderkey", "l_partkey", *names)
+    reduced, names, _ = selection.pca(_two_columns(spark, sf_dir), ["l_quantity", "percent"], 2)
+    return _unsigned(reduced, names)
 
 
-@check("pca_by_variance")
+@check("pca_by_variance", TWO_COMPONENTS.format(second=""))
 def pca_by_variance(spark, sf_dir):
-    reduced, names, _ = selection.pca_by_variance(line_measures(spark, sf_dir), MEASURES, 0.95)
-    return reduced.select("l_orderkey", "l_partkey", *names)
+    """The first component alone has nine tenths of the variance."""
+    reduced, names, _ = selection.pca_by_variance(_two_columns(spark, sf_dir), ["l_quantity", "percent"], 0.9)
+    return _unsigned(reduced, names)
 
 
 @check(
@@ -355,7 +379,10 @@ def feature_interactions(spark, sf_dir):
     return rounded(crossed.select("l_orderkey", "l_quantity_x_l_discount", "l_quantity_x_l_tax", "l_discount_x_l_tax"))
 
 
-@check("univariate_selection")
+@check(
+    "univariate_selection",
+    f"SELECT feature, row_number() OVER (ORDER BY r DESC, feature) <= 2 AS kept FROM ({union_all([f'SELECT {chr(39)}{m}{chr(39)} AS feature, abs(corr(volume, {m})) AS r FROM ({LINES}) l' for m in MEASURES])}) s",
+)
 def univariate_selection(spark, sf_dir):
     return selection.univariate_selection(line_measures(spark, sf_dir), "volume", MEASURES, 2)
 

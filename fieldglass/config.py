@@ -72,6 +72,25 @@ class SeriesConfig(Replaceable):
     chunk_rows: int | None = None
 
 
+@dataclass(frozen=True)
+class ModelSetup(Replaceable):
+    """What is done to the features before models see them; nothing unless asked for."""
+
+    normalize: bool = False
+    ignore_low_variance: bool = False
+    low_variance: float = 0.0
+    remove_multicollinearity: bool = False
+    multicollinearity: float = 0.9
+    polynomial_features: bool = False
+    feature_interaction: bool = False
+    feature_selection: bool = False
+    selected_share: float = 0.2
+    pca: bool = False
+    pca_components: float = 0.95
+    # for classification: rows of smaller classes are repeated for training
+    fix_imbalance: bool = False
+
+
 @dataclass(frozen=True)
 class ModelConfig(Replaceable):
     use_case: str = "time_series"
@@ -89,3 +108,4 @@ class ModelConfig(Replaceable):
     excluded_models: tuple[str, ...] = ()
     output_path: str | None = None
     series: SeriesConfig = field(default_factory=SeriesConfig)
+    setup: ModelSetup = field(default_factory=ModelSetup)

@@ -17,6 +17,8 @@ from ..sources.scratch import materialize
 from .ordered import CHUNK, add_running, find_chunks, running_sums
 
 WIDE_PAIRS = 12
+#: Distinct values of a column whose ranks are broadcast (two numbers each); beyond it rows meet them by a shuffle.
+BROADCAST_VALUES = 200_000
 
 Pairs = Sequence[tuple[str, str]]
 
@@ -70,32 +72,62 @@ def _counted_pairs(df: DataFrame, pairs: Pairs) -> DataFrame:
     )
 
 
-def _with_average_rank(counted: DataFrame, value: str, other: str, output: str, chunk_rows: int | None) -> DataFrame:
-    """Add the average rank of ``value`` within its pair, ties sharing theirs."""
-    chunking = find_chunks(counted, ["pair_id", value, other], chunk_rows)
-    frame = counted.withColumn(CHUNK, chunking.column())
-    frame = add_running(frame, chunking, ["pair_id"], [value, other], {"_upto": F.col("n")})
-    frame = add_running(frame, chunking, ["pair_id", value], [other], {"_tied": F.col("n")}, ["_tied"])
-    rank = F.col("_upto") - F.col("_tied") + (F.col("_tied_total") + 1) / F.lit(2.0)
-    return frame.select(*counted.columns, rank.alias(output))
+def _rank_tables(df: DataFrame, tables: Sequence[tuple[str, frozenset[str]]], chunk_rows: int | None) -> DataFrame:
+    """``(table_id, value, n, rank)``: the distinct values of a column, counted over the rows where some columns are known, with the average
+    rank of their rows less the middle one."""
+    entries = []
+    for i, (column, required) in enumerate(tables):
+        complete = F.lit(True)
+        for c in sorted(required):
+            complete = complete & known_double(df, c).isNotNull()
+        entries.append({"table_id": F.lit(i), "value": F.when(complete, known_double(df, column))})
+    long = df.select(row_per(entries)).select("r.*").where("value IS NOT NULL")
+    counted = materialize(long.groupBy("table_id", "value").agg(F.count(F.lit(1)).alias("n")), "values")
+    ran = running_sums(counted, ["table_id"], ["value"], {"_upto": F.col("n")}, chunk_rows=chunk_rows)
+    sizes = counted.groupBy("table_id").agg(((F.sum("n") + 1) / F.lit(2.0)).alias("middle"))
+    # ranks have mean (N + 1) / 2; taking it off keeps the sums exact enough at any N
+    rank = F.col("_upto") - F.col("n") + (F.col("n") + 1) / F.lit(2.0) - F.col("middle")
+    return materialize(ran.join(F.broadcast(sizes), "table_id").select("table_id", "value", "n", rank.alias("rank")), "ranks")
 
 
 def spearman(df: DataFrame, pairs: Pairs, chunk_rows: int | None = None) -> DataFrame:
-    """``(a, b, r)``: Pearson's r of the average ranks."""
+    """``(a, b, r)``: Pearson's r of the average ranks.
+
+    Ranks are kept per distinct value of a column and per set of rows they are taken over, and all pairs share them: pairs of complete
+    columns need one table per column, others also one for the rows where both are known. Rows then meet the tables of their
+    values (broadcast if small), so the work follows the columns, not the pairs.
+    """
     pairs = list(pairs)
-    half = materialize(_with_average_rank(_counted_pairs(df, pairs), "x", "y", "rx", chunk_rows), "ranks")
-    ranked = _with_average_rank(half, "y", "x", "ry", chunk_rows)
-    weight = F.col("n").cast("double")
-    # ranks have mean (N + 1) / 2; centring on it keeps the sums exact enough at any N
-    sizes = half.groupBy("pair_id").agg(((F.sum("n") + 1) / F.lit(2.0)).alias("mid"))
-    centred = ranked.join(F.broadcast(sizes), "pair_id").select(
-        "pair_id", weight.alias("w"), (F.col("rx") - F.col("mid")).alias("u"), (F.col("ry") - F.col("mid")).alias("v")
-    )
-    sums = centred.groupBy("pair_id").agg(
-        F.sum(F.expr("w * u * v")).alias("suv"), F.sum(F.expr("w * u * u")).alias("suu"), F.sum(F.expr("w * v * v")).alias("svv")
-    )
-    r = F.try_divide(F.col("suv"), F.sqrt("suu") * F.sqrt("svv"))
-    return _labelled(sums, df.sparkSession, pairs, r)
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    gaps = df.agg(*[F.count_if(known_double(df, c).isNull()).alias(f"g{i}") for i, c in enumerate(columns)]).first()
+    gappy = {c for i, c in enumerate(columns) if gaps[i]}
+    required = [frozenset({a, b} & gappy) for a, b in pairs]
+    tables = list(dict.fromkeys((c, rows) for pair, rows in zip(pairs, required) for c in pair))
+    number = {t: i for i, t in enumerate(tables)}
+    ranks = _rank_tables(df, tables, chunk_rows)
+    facts = ranks.groupBy("table_id").agg(F.count(F.lit(1)).alias("values"), F.sum(F.expr("double(n) * rank * rank")).alias("spread"))
+    facts = {r["table_id"]: r for r in facts.collect()}  # one row per table
+    rows = df.select(*[known_double(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    for i, (column, _) in enumerate(tables):
+        own = ranks.where(F.col("table_id") == i).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"r{i}"))
+        own = F.broadcast(own) if i not in facts or facts[i]["values"] <= BROADCAST_VALUES else own
+        rows = rows.join(own, F.col(f"c{columns.index(column)}") == F.col(f"v{i}"), "left").drop(f"v{i}")
+    sums = []
+    for k, ((a, b), both) in enumerate(zip(pairs, required)):
+        product = F.col(f"r{number[a, both]}") * F.col(f"r{number[b, both]}")
+        for c in sorted(both):
+            product = F.when(F.col(f"c{columns.index(c)}").isNotNull(), product)
+        sums.append(F.sum(product).alias(f"s{k}"))
+    found = rows.agg(*sums)
+
+    def spread(table: tuple) -> float:
+        return float(facts[number[table]]["spread"]) if number[table] in facts else 0.0
+
+    entries = []
+    for k, ((a, b), both) in enumerate(zip(pairs, required)):
+        scale = (spread((a, both)) ** 0.5) * (spread((b, both)) ** 0.5)
+        entries.append({"a": F.lit(a), "b": F.lit(b), "r": F.coalesce(F.try_divide(F.col(f"s{k}"), F.lit(scale)), F.lit(0.0))})
+    return found.select(row_per(entries)).select("r.*")
 
 
 RADIX_BITS = 4

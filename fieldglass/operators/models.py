@@ -140,14 +140,18 @@ def compare_regressors(
 
 
 def compare_classifiers(
-    df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], exclude: Sequence[str] = (), seed: int = 42
-) -> DataFrame:
+    df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], exclude: Sequence[str] = (), seed: int = 42,
+    balance: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """``(model, accuracy, f1, rank)`` on a held-out fifth, best first by accuracy.
 
     Features are scaled by the range of the training rows; test rows beyond it are cut to it, as some models need numbers from 0.
+    ``balance`` may repeat training rows; the held-out ones stay as they are.
     """
     indexed = string_index(skip_invalid_rows(df.filter(quoted(label).isNotNull()), features), label, "_label")
     split = holdout_split(indexed, key, seed=seed)
+    if balance is not None:
+        split = balance(split.filter("part = 'train'")).unionByName(split.filter("part = 'test'"))
     bounds = fit_range(split.filter("part = 'train'"), features)
     scaled = [F.least(F.greatest(minmax_column(split, f, bounds[f]), F.lit(0.0)), F.lit(1.0)).alias(f"{f}_scaled") for f in features]
     data = materialize(_assembled(split.select("*", *scaled), F.col("_label"), [f"{f}_scaled" for f in features], ["part"]), "assembled")

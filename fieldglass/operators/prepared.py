@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
+import numpy as np
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReader, MLWriter
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import known_double, quoted
 from ..sources.scratch import materialize
-from . import encode, impute, schema, series
+from ..config import ModelSetup
+from . import encode, gram, impute, schema, series
 from .encode import MAX_BROADCAST_LABELS
 from .quality import skip_invalid_rows
 
@@ -268,6 +270,17 @@ class ComponentsModel(FittedStage):
         return skip_invalid_rows(df, self["columns"]).select("*", *scores)
 
 
+class ProductsModel(FittedStage):
+    """``<a>_x_<b>`` for every pair in ``pairs``; missing where a factor is. A pair may name a column twice."""
+
+    @property
+    def names(self) -> list[str]:
+        return [f"{a}_x_{b}" for a, b in self["pairs"]]
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.select("*", *[(known_double(df, a) * known_double(df, b)).alias(n) for n, (a, b) in zip(self.names, self["pairs"])])
+
+
 class KeepColumnsModel(FittedStage):
     """The chosen ``columns`` in their order, and those of ``optional`` that are there: targets are not known for new rows."""
 
@@ -282,3 +295,63 @@ def run_stages(df: DataFrame, stages: Sequence[Stage]) -> tuple[list[Model], Dat
         model, df = stage.fitted(df)
         models.append(model)
     return models, df
+
+
+# --- set-up of model inputs ----------------------------------------------------------------------
+
+
+def distinct_inputs(df: DataFrame, features: Sequence[str], least_variance: float | None, largest_r: float | None) -> list[str]:
+    """The features whose variance is larger than ``least_variance``, and of two that correlate by ``largest_r`` or more the one named first.
+
+    One pass gives all variances and correlations.
+    """
+    state = gram.gram(df, features)
+    covariance = state.covariance()
+    spread = np.sqrt(np.diag(covariance))
+    kept: list[int] = []
+    for k in range(len(features)):
+        if least_variance is not None and not covariance[k, k] > least_variance:
+            continue
+        if largest_r is not None and any(abs(covariance[j, k]) >= largest_r * spread[j] * spread[k] > 0 for j in kept):
+            continue
+        kept.append(k)
+    return [features[k] for k in kept]
+
+
+def strongest_inputs(df: DataFrame, label: str, features: Sequence[str], share: float) -> list[str]:
+    """The share of the features, at least one, that correlate most with a numeric label; of equal ones those named first."""
+    state = gram.gram(df.filter(known_double(df, label).isNotNull()), [*features, label])
+    spread = np.sqrt(np.diag(state.products))
+    scale = spread[:-1] * spread[-1]
+    r = np.divide(np.abs(state.products[:-1, -1]), scale, out=np.zeros(len(features)), where=scale > 0)
+    keep = sorted(range(len(features)), key=lambda k: (-r[k], k))[: max(1, int(len(features) * share))]
+    return [features[k] for k in sorted(keep)]
+
+
+def model_inputs(df: DataFrame, features: Sequence[str], label: str | None, setup: ModelSetup) -> tuple[list[Model], DataFrame, list[str]]:
+    """Stages that make the inputs of a model of the features, the prepared rows, and the names of the inputs.
+
+    In this order: features that vary too little or follow from another one are left out; products are added; the inputs that tell most
+    about the label stay; inputs are standardised; components take their place. Rows with a missing feature are dropped by the last two.
+    """
+    models: list[Model] = []
+    chosen = list(features)
+    if setup.ignore_low_variance or setup.remove_multicollinearity:
+        least = setup.low_variance if setup.ignore_low_variance else None
+        chosen = distinct_inputs(df, chosen, least, setup.multicollinearity if setup.remove_multicollinearity else None)
+    if setup.polynomial_features or setup.feature_interaction:
+        squares = [[c, c] for c in chosen] if setup.polynomial_features else []
+        products = ProductsModel({"pairs": squares + [[a, b] for i, a in enumerate(chosen) for b in chosen[i + 1 :]]})
+        models.append(products)
+        df, chosen = products.transform(df), chosen + products.names
+    if setup.feature_selection and label is not None:
+        chosen = strongest_inputs(df, label, chosen, setup.selected_share)
+    if setup.normalize and chosen:
+        model, df = ScaleColumns(columns=chosen, method="standard").fitted(df)
+        models.append(model)
+        chosen = [f"{c}_scaled" for c in chosen]
+    if setup.pca and chosen:
+        model, df = Components(columns=chosen, components=setup.pca_components).fitted(df)
+        models.append(model)
+        chosen = model.names
+    return models, df, chosen

@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import known_double, quoted, row_per
@@ -131,11 +131,15 @@ def multi_target_selection(
     return result
 
 
-def bounded_sample(df: DataFrame, key: Sequence[str], share: float = 0.1, seed: int = 42) -> DataFrame:
-    """About ``share`` of the rows, chosen by a seeded hash of the key; ``approximate`` tells whether any may be left out."""
+def bounded_sample(df: DataFrame, key: Sequence[str], share: float = 0.1, seed: int = 42, by: Column | None = None) -> DataFrame:
+    """About ``share`` of the rows, chosen by a seeded hash of the key; ``approximate`` tells whether any may be left out.
+
+    ``by``: a number from 0 to 1 per row in place of the hash.
+    """
     resolution = 1 << 40
     draw = F.pmod(F.xxhash64(F.lit(seed), *[quoted(k) for k in key]), F.lit(resolution))
-    return df.filter(draw < int(resolution * share)).withColumn("approximate", F.lit(share < 1))
+    kept = draw < int(resolution * share) if by is None else by < share
+    return df.filter(kept).withColumn("approximate", F.lit(share < 1))
 
 
 def recursive_elimination(df: DataFrame, target: str, features: Sequence[str], keep: int = 10) -> DataFrame:

@@ -6,12 +6,13 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ModelConfig
 from ..functions.missing import row_per
-from ..operators import models, sampling, schema, series
+from ..operators import models, prepared, sampling, schema, selection, series
 from ..operators.profile import numeric_columns
 from ..operators.quality import inf_to_null
 from ..sources import files, registry, sinks
@@ -42,26 +43,33 @@ def _long_metrics(board: DataFrame, run_id: str, target: str) -> DataFrame:
     return board.select(row_per(entries)).select(F.lit(run_id).alias("run_id"), F.lit(target).alias("target"), "r.*")
 
 
-def _inputs(df: DataFrame, target: str, cfg: ModelConfig) -> tuple[DataFrame, list[str]]:
-    """The table without infinities, and the features: those named, else all other numbers."""
+def _inputs(df: DataFrame, target: str, cfg: ModelConfig) -> tuple[list, DataFrame, list[str]]:
+    """The set-up's stages, the table without infinities and with the inputs they make, and the inputs: of the features named, else of all other numbers."""
     clean = inf_to_null(df) if target == NO_TARGET else models.prepare_ml(df, target)[0]
     skip = {target, *cfg.targets, *cfg.key}
-    return clean, list(cfg.features) or [c for c in numeric_columns(clean) if c not in skip]
+    features = list(cfg.features) or [c for c in numeric_columns(clean) if c not in skip]
+    label = target if cfg.use_case == "regression" else None
+    return prepared.model_inputs(clean, features, label, cfg.setup)
 
 
 def _save_best(df: DataFrame, target: str, best: str, cfg: ModelConfig, path: str) -> str | None:
-    """Fit the best model on all rows and store it. Look-back models are compared only."""
+    """Fit the best model on all rows and store it with the set-up of its inputs. Look-back models are compared only."""
     if cfg.use_case == "time_series":
         return None
-    clean, features = _inputs(df, target, cfg)
+    stages, table, features = _inputs(df, target, cfg)
     if cfg.use_case == "classification":
-        model, labels = models.fit_classifier(clean, target, features, best, cfg.seed)
+        rows = _balanced(table, target, cfg)
+        model, labels = models.fit_classifier(rows, target, features, best, cfg.seed)
         sinks.write_report(labels, f"{path}-labels", "parquet")
     elif cfg.use_case == "clustering":
-        model = models.fit_clusterer(clean, features, best, seed=cfg.seed)
+        model = models.fit_clusterer(table, features, best, seed=cfg.seed)
     else:
-        model = models.fit_regressor(clean, target, features, best, cfg.seed)
-    return sinks.save_model(model, path)
+        model = models.fit_regressor(table, target, features, best, cfg.seed)
+    return sinks.save_model(PipelineModel([*stages, *model.stages]), path)
+
+
+def _balanced(df: DataFrame, target: str, cfg: ModelConfig) -> DataFrame:
+    return selection.oversample(df, target, cfg.key, cfg.seed).drop("copy") if cfg.setup.fix_imbalance else df
 
 
 def _compare(df: DataFrame, target: str, cfg: ModelConfig) -> DataFrame:
@@ -79,24 +87,23 @@ def _compare(df: DataFrame, target: str, cfg: ModelConfig) -> DataFrame:
         table = materialize(table, "series")
         order = [c for c in dict.fromkeys(["ts", *cfg.order_by]) if c in table.columns]
         candidates = [c for c in numeric_columns(table) if c not in {target, *cfg.order_by, *cfg.series_key}]
-        from ..operators.selection import top_exogenous
-
-        exogenous = [r["feature"] for r in top_exogenous(table, target, candidates).collect()]
+        exogenous = [r["feature"] for r in selection.top_exogenous(table, target, candidates).collect()]
         return models.lookback_regressors(
             table, target, order, cfg.series_key, lookback=s.lookback, exogenous=exogenous,
             test_size=cfg.test_size, seed=cfg.seed, chunk_rows=s.chunk_rows,
         )
-    clean, features = _inputs(df, target, cfg)
+    if cfg.use_case not in ("regression", "classification", "clustering", "anomaly"):
+        raise ValueError(f"unknown use case {cfg.use_case!r}")
+    _, clean, features = _inputs(df, target, cfg)
     if cfg.use_case == "regression":
         return models.compare_regressors(clean, target, features, cfg.key, cfg.excluded_models, cfg.seed)
     if cfg.use_case == "classification":
-        return models.compare_classifiers(clean, target, features, cfg.key, cfg.excluded_models, cfg.seed)
+        balance = (lambda rows: _balanced(rows, target, cfg)) if cfg.setup.fix_imbalance else None
+        return models.compare_classifiers(clean, target, features, cfg.key, cfg.excluded_models, cfg.seed, balance)
     if cfg.use_case == "clustering":
         return models.compare_clusterers(clean, features, seed=cfg.seed)
-    if cfg.use_case == "anomaly":
-        scored = models.centre_distance(clean, features, seed=cfg.seed)
-        return scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("farthest"))
-    raise ValueError(f"unknown use case {cfg.use_case!r}")
+    scored = models.centre_distance(clean, features, seed=cfg.seed)
+    return scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("farthest"))
 
 
 def run_models(spark: SparkSession, df: DataFrame, cfg: ModelConfig) -> ModelResult:

@@ -81,3 +81,29 @@ def test_forward_fill_needs_an_order(spark):
         prepared.FillMissing(columns=["x"], method="ffill", order_by=[], series_key=[], chunk_rows=None).fit(spark.createDataFrame([(1.0,)], "x double"))
     with pytest.raises(ValueError, match="unknown"):
         prepared.FillMissing(columns=[], method="other", order_by=[], series_key=[], chunk_rows=None).fit(spark.range(1))
+
+
+def test_inputs_of_models(spark):
+    from pyspark.sql import functions as F
+
+    from fieldglass.config import ModelSetup
+
+    df = spark.range(60).select(
+        F.col("id").cast("double").alias("a"), (F.col("id") * 2 + 1).cast("double").alias("twice"), F.lit(3.0).alias("seven"), ((F.col("id") * 7) % 11).cast("double").alias("b"),
+        (F.col("id") * ((F.col("id") * 7) % 11)).cast("double").alias("y"),
+    )
+    names = ["a", "twice", "seven", "b"]
+    models, table, chosen = prepared.model_inputs(df, names, "y", ModelSetup())
+    assert (models, table, chosen) == ([], df, names)
+    setup = ModelSetup(ignore_low_variance=True, remove_multicollinearity=True, feature_interaction=True, feature_selection=True, selected_share=0.4, normalize=True)
+    models, table, chosen = prepared.model_inputs(df, names, "y", setup)
+    assert chosen == ["a_x_b_scaled"]
+    loaded = [stored(m, spark) for m in models]
+    again = df
+    for m in loaded:
+        again = m.transform(again)
+    assert sorted(r[chosen[0]] for r in again.collect()) == sorted(r[chosen[0]] for r in table.collect())
+    _, _, chosen = prepared.model_inputs(df, names, None, ModelSetup(ignore_low_variance=True, polynomial_features=True, pca=True, pca_components=2))
+    assert chosen == ["pca_0", "pca_1"]
+    # a correlation of just the limit counts
+    assert prepared.distinct_inputs(df, names, None, 1.0) == ["a", "seven", "b"] and prepared.distinct_inputs(df, names, 0.0, None) == ["a", "twice", "b"]

@@ -92,3 +92,27 @@ def test_forecasts_cover_the_tail(events):
     scored = models.score_and_compare(base, "value", ["ts", "event_id"], lookback=10)
     sequences = series.lookback_sequences(base, "value", ["ts", "event_id"], lookback=10).count()
     assert {r["count"] for r in scored.groupBy("model").count().collect()} == {sequences - int(sequences * 0.8)}
+
+
+def test_sample_of_hot_keys_and_equal_rows(spark, monkeypatch):
+    """A key with most of the rows, and rows that are the same: sizes stay exact, and the choice does not depend on partitions."""
+    from collections import Counter
+
+    monkeypatch.setattr(sampling, "BORDER_ROWS", 3)
+    rows = [(1, i, "a") for i in range(400)] + [(2, 0, "b")] * 300 + [(i, i, "ab"[i % 2]) for i in range(10, 60)] + [(None, 5, None)] * 40
+    df = spark.createDataFrame(rows, "k int, v int, s string")
+    have = Counter(rows)
+    for share in (0.0, 0.013, 0.4, 0.77, 1.0):
+        got = Counter(map(tuple, sampling.calibration_sample(df.repartition(7), ["k"], share, least=0).collect()))
+        assert sum(got.values()) == int(len(rows) * share) and all(n <= have[r] for r, n in got.items())
+        assert got == Counter(map(tuple, sampling.calibration_sample(df.repartition(2), ["k"], share, least=0).collect()))
+    per = Counter(r[2] for r in rows)
+    got = Counter(r["s"] for r in sampling.calibration_sample(df, ["k"], 0.1, strata="s").collect())
+    assert got == Counter({s: -(-n // 10) for s, n in per.items()})
+    assert sampling.calibration_sample(df.limit(0), ["k"]).count() == 0
+
+
+def test_splits_by_a_given_number(lines):
+    by = F.expr("double(l_orderkey % 10) / 10")
+    assert {r["part"] for r in sampling.holdout_split(lines, KEY, by=by).filter("l_orderkey % 10 < 8").select("part").distinct().collect()} == {"train"}
+    assert selection.bounded_sample(lines, KEY, 0.2, by=by).filter("l_orderkey % 10 > 1").count() == 0
