@@ -15,7 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.missing import known_double
 from .quality import skip_invalid_rows

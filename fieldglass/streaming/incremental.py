@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.missing import fields, known_double, missing, quoted, row_per
+from ..functions.missing import known_double, missing, quoted, row_per
 from ..operators import gram, states
 from ..sources.files import CSV_OPTIONS, path_exists
 
