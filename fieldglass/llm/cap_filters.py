@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
