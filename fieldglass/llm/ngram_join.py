@@ -12,15 +12,19 @@ key of their own). Keys that occur once are dropped by an aggregation; each of t
 
 Blocks that share sets form clusters. A cluster that fits a page is linked in one task: its sets come there once, the tree
 proposes partners, and sets that are already connected are not compared. In a larger cluster links come from its blocks, page
-by page: each point proposes its best partner in another component, for a few rounds, which connects groups of copies without listing
-their pairs. Blocks left in several components are compared whole, and what leaves a task is a spanning forest. Equal sets are
-one point from the start, so no link is lost and none is listed twice.
+by page, in the form of ids and packed count vectors: each point proposes its best partner, which connects groups of copies
+without listing their pairs, and a text travels once to the partner it is compared with. Blocks left in several components are compared
+whole, and what leaves a task is a spanning forest. Equal sets are one point from the start, so no link is lost and none is
+listed twice.
+
+Texts and count vectors travel packed; what is written in between is deleted at the end.
 
 Sets and contents are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldglass.sources.scratch import materialize
+from fieldglass.sources.scratch import materialize, scratch_scope
 
 from .common import partitions, record_batch, row_slices
 from .components import components
@@ -40,8 +44,6 @@ WINDOW = 4
 SHARE = (85, 100)
 #: Groups of a count vector, at least and at most; in between about half as many as tokens, a power of two.
 GROUPS = (32, 8192)
-#: Rounds at most in which the points of large clusters propose partners.
-ROUNDS = 1
 #: Blocks of at most so many sets give all their pairs within the bound.
 SMALL_BLOCK = 8
 #: Grades of a partner between no and whole overlap (which is half of both sizes).
@@ -140,11 +142,11 @@ def described(docs: DataFrame, window: int) -> DataFrame:
 
 
 def keyed(docs: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
-    """``(key, set_id)`` for every key of every set; equal sets near each other give theirs once."""
+    """``(key, set_id, n)`` for every key of every set; equal sets near each other give theirs once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts, _ in row_slices(batches, 1024):
-            keys, owners, done = [], [], set()
+            keys, owners, sizes, done = [], [], [], set()
             for text in texts:
                 tokens = shingle_set(text, window)
                 own = set_id(tokens)
@@ -153,10 +155,11 @@ def keyed(docs: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
                     some = group_keys(tokens, share)
                     keys.append(some.view(np.int64))
                     owners.append(np.full(len(some), own, np.int64))
+                    sizes.append(np.full(len(some), len(tokens), np.int64))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(owners))], names=["key", "set_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, owners, sizes)], names=["key", "set_id", "n"])
 
-    return docs.mapInArrow(run, "key long, set_id long")
+    return docs.mapInArrow(run, "key long, set_id long, n long")
 
 
 def _within(rows: DataFrame, few: DataFrame, on: str, how: str = "inner") -> DataFrame:
@@ -189,20 +192,23 @@ def _column(run: list[pa.RecordBatch], name: str) -> np.ndarray:
 
 
 def _vectors(run: list[pa.RecordBatch]) -> np.ndarray:
+    return _folded([zlib.decompress(v) for b in run for v in b.column("counts").to_pylist()])
+
+
+def _folded(counts: list[bytes]) -> np.ndarray:
     """Count vectors as a matrix; groups are ranges of hashes, so longer vectors fold into fewer groups by adding neighbours."""
-    own = [np.frombuffer(v, "<u2").astype(np.int64) for b in run for v in b.column("counts").to_pylist()]
+    own = [np.frombuffer(v, "<u2").astype(np.int64) for v in counts]
     fewest = min(map(len, own))
     return np.stack([v if len(v) == fewest else v.reshape(fewest, -1).sum(axis=1) for v in own])
 
 
-def block_pairs(ids: np.ndarray, label: np.ndarray, sizes: np.ndarray, counts: np.ndarray, share: tuple[int, int], every: bool) -> list[tuple[int, int]]:
-    """Candidates of one page: pairs of different labels within the bound, all or for each point the best with a point before it."""
+def block_pairs(ids: np.ndarray, sizes: np.ndarray, counts: np.ndarray, share: tuple[int, int], every: bool) -> list[tuple[int, int]]:
+    """Candidates of one page: pairs within the bound, all or for each point the best with a point before it."""
     tree, found = CountTree(counts, sizes, share), []
     for i in range(1, len(ids)):
         best = None
-        same = lambda s, e: bool((label[tree.order[s:e]] == label[i]).all())  # noqa: B023, E731
-        for others, bound in tree.leaves(tree.counts[i], int(sizes[i]), same):
-            usable = (others < i) & (label[others] != label[i])
+        for others, bound in tree.leaves(tree.counts[i], int(sizes[i])):
+            usable = others < i
             if every:
                 found += [(int(ids[j]), int(ids[i])) for j in others[usable]]
             elif usable.any():
@@ -222,89 +228,96 @@ def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return record_batch(PAIRS, list(zip(*((min(p), max(p)) for p in pairs))) or [[], []])
 
 
-def candidates(members: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs to verify from ``members`` (key, page, block_size, pivot, set_id, label, n, counts), distinct."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs: set[tuple[int, int]] = set()
-        for rows in _runs(batches, ["key", "page"]):
-            ids = _column(rows, "set_id")
-            size, pivot = int(rows[0].column("block_size")[0].as_py()), int(rows[0].column("pivot")[0].as_py())
-            label = _column(rows, "label")
-            if (label != label[0]).any():
-                pairs.update(block_pairs(ids, label, _column(rows, "n"), _vectors(rows), share, size <= SMALL_BLOCK))
-            if int(ids[0]) != pivot and size > SMALL_BLOCK:
-                pairs.add((pivot, int(ids[0])))
-            if len(pairs) > 50_000:
-                yield _pair_batch(list(pairs))
-                pairs.clear()
-        yield _pair_batch(list(pairs))
+TEXTS = pa.schema([("set_id", pa.int64()), ("text", pa.binary())])
 
-    dealt = members.repartition(partitions(members), "key", "page").sortWithinPartitions("key", "page", "set_id")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
 
+def texts_of(docs: DataFrame, sets: DataFrame, points: DataFrame, window: int) -> DataFrame:
+    """``(set_id, cluster, pages, text)`` for the points (set_id, cluster, pages), one packed text each or a few equal ones.
 
-def texts_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """``(set_id, n, counts, text)`` for the wanted sets, one text each. Documents are found by id, or by their set where that is null."""
-    chosen = materialize(sets.join(wanted, "set_id").select("set_id", F.col("first.id").alias("id")), "wanted")
+    Documents are found by id, or by their set where that is null.
+    """
+    chosen = materialize(sets.join(points, "set_id").select("set_id", F.col("first.id").alias("id"), "cluster", "pages"), "wanted")
     by_id = _within(docs, chosen.where("id IS NOT NULL").select("id").distinct(), "id", "left_semi")
     rows = by_id if chosen.where("id IS NULL").isEmpty() else by_id.unionByName(docs.where("id IS NULL"))
-    schema = pa.schema([("set_id", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in row_slices(batches):
-            tokens = [shingle_set(t, window) for t in texts]
-            yield record_batch(schema, [list(map(set_id, tokens)), list(map(len, tokens)), list(map(group_counts, tokens)), texts])
+            yield record_batch(TEXTS, [[set_id(shingle_set(t, window)) for t in texts], [zlib.compress((t or "").encode(), 1) for t in texts]])
 
-    found = rows.select("id", "text").mapInArrow(run, "set_id long, n long, counts binary, text string")
-    one = F.min(F.struct("text", "n", "counts")).alias("one")
-    return found.join(chosen.select("set_id"), "set_id", "left_semi").groupBy("set_id").agg(one).select("set_id", "one.n", "one.counts", "one.text")
+    found = rows.select("id", "text").mapInArrow(run, "set_id long, text binary")
+    return _within(found, chosen.select("set_id", "cluster", "pages"), "set_id").select("set_id", "cluster", "pages", "text")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
-    """The pairs that are linked."""
+def _tokens_of(rows: list[pa.RecordBatch], window: int) -> list[np.ndarray]:
+    """Tokens of packed texts."""
+    return [shingle_set(zlib.decompress(t.as_py()).decode(), window) for r in rows for t in r.column("text")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent: dict[int, np.ndarray] = {}
 
-        def tokens(key: int, text: str) -> np.ndarray:
-            if key not in recent:
-                if len(recent) >= 64:
-                    del recent[next(iter(recent))]
-                recent[key] = shingle_set(text, window)
-            return recent[key]
+def _sets_of(rows: list[pa.RecordBatch], window: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Ids, tokens and count vectors of rows sorted by ``set_id``, every set once."""
+    ids = _column(rows, "set_id")
+    once = np.append(True, ids[1:] != ids[:-1])
+    tokens = [t for t, first in zip(_tokens_of(rows, window), once) if first]
+    return ids[once], tokens, _folded([group_counts(t) for t in tokens])
+
 
-        for a, b, text_a, text_b in row_slices(batches):
-            yield _pair_batch([(x, y) for x, y, s, t in zip(a, b, text_a, text_b) if linked(tokens(x, s), tokens(y, t), share)])
+def star_links(pairs: DataFrame, texts: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
+    """Those of the pairs (a, b) that are linked. A text goes where it is the ``b`` of a pair once, and to every page of the pairs of an ``a``."""
 
-    left = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["a", "page"]):
+            hub, ids = rows[0].column("a")[0].as_py(), _column(rows, "set_id").tolist()
+            tokens = dict(zip(ids, _tokens_of(rows, window)))
+            yield _pair_batch([(hub, i) for i, own in tokens.items() if i != hub and linked(tokens[hub], own, share)])
+
+    sizes = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / PAGE_POINTS).cast("int").alias("pages")), "hubs")
+    placed = _within(pairs, sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("pages")).cast("int").alias("page"))
+    hubs = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page"), F.col("a").alias("set_id"))
+    rows = placed.select("a", "page", F.col("b").alias("set_id")).unionByName(hubs)
+    dealt = rows.join(texts, "set_id").select("a", "page", "set_id", "text").repartition(partitions(rows), "a", "page")
+    return dealt.sortWithinPartitions("a", "page", "set_id").mapInArrow(run, "a long, b long")
 
 
 def cluster_links(clustered: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
-    """A spanning forest of the links within each cluster, from rows (cluster, set_id, n, counts, text)."""
+    """A spanning forest of the links within each cluster, from rows (cluster, set_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches, ["cluster"]):
-            ids, sizes, counts = _column(rows, "set_id"), _column(rows, "n"), _vectors(rows)
-            tokens = [shingle_set(t, window) for r in rows for t in r.column("text").to_pylist()]
-            tree, found, label = CountTree(counts, sizes, share), [], np.arange(len(ids))
+            ids, tokens, counts = _sets_of(rows, window)
+            tree, found, label = CountTree(counts, np.array([len(t) for t in tokens]), share), [], np.arange(len(ids))
             for i in range(1, len(ids)):
-                same = lambda s, e: bool((label[tree.order[s:e]] == label[i]).all())  # noqa: B023, E731
-                for others, _ in tree.leaves(tree.counts[i], int(sizes[i]), same):
-                    for j in others.tolist():
-                        if j < i and label[j] != label[i] and linked(tokens[i], tokens[j], share):
-                            found.append((int(ids[i]), int(ids[j])))
-                            label[label == max(label[i], label[j])] = min(label[i], label[j])
+                for j in _partners(tree, i, label, None):
+                    if linked(tokens[i], tokens[j], share):
+                        found.append((int(ids[i]), int(ids[j])))
+                        label[label == max(label[i], label[j])] = min(label[i], label[j])
             yield _pair_batch(found)
 
-    dealt = clustered.repartition(partitions(clustered), "cluster").sortWithinPartitions("cluster", "set_id")
+    dealt = clustered.select("cluster", "set_id", "text").repartition(partitions(clustered), "cluster").sortWithinPartitions("cluster", "set_id")
     return dealt.mapInArrow(run, "a long, b long")
 
 
-PLACED = "key long, low int, high int, page int, set_id long, label long, n long, counts binary"
-PLACED_COLUMNS = ["key", "low", "high", "page", "set_id", "label", "n", "counts"]
+def proposals(points: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Pairs to verify, distinct, from ``points`` (key, page, block_size, pivot, set_id, n, counts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: set[tuple[int, int]] = set()
+        for rows in _runs(batches, ["key", "page"]):
+            ids = _column(rows, "set_id")
+            size, pivot = int(rows[0].column("block_size")[0].as_py()), int(rows[0].column("pivot")[0].as_py())
+            pairs.update(block_pairs(ids, _column(rows, "n"), _vectors(rows), share, size <= SMALL_BLOCK))
+            if int(ids[0]) != pivot and size > SMALL_BLOCK:
+                pairs.add((pivot, int(ids[0])))
+            if len(pairs) > 50_000:
+                yield _pair_batch(list(pairs))
+                pairs.clear()
+        yield _pair_batch(list(pairs))
+
+    dealt = points.repartition(partitions(points), "key", "page").sortWithinPartitions("key", "page", "set_id")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+PLACED = "key long, low int, high int, page int, set_id long, label long"
+PLACED_COLUMNS = ["key", "low", "high", "page", "set_id", "label"]
 
 
 def _dealt(placed: DataFrame) -> DataFrame:
@@ -320,8 +333,22 @@ def _partners(tree: CountTree, i: int, label: np.ndarray, page: np.ndarray | Non
                 yield j
 
 
-def rest_links(active: DataFrame, texts: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
-    """Links between different labels within blocks (key, page, pages, set_id, label, n, counts): a spanning forest per pair of pages.
+VECTORS = pa.schema([("set_id", pa.int64()), ("n", pa.int64()), ("counts", pa.binary())])
+
+
+def vectors_of(texts: DataFrame, window: int) -> DataFrame:
+    """``(set_id, n, counts)`` of rows (set_id, text); most counts are small, so they are packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in row_slices(batches):
+            tokens = [shingle_set(zlib.decompress(t).decode(), window) for t in texts]
+            yield record_batch(VECTORS, [ids, list(map(len, tokens)), [zlib.compress(group_counts(t), 1) for t in tokens]])
+
+    return texts.select("set_id", "text").mapInArrow(run, "set_id long, n long, counts binary")
+
+
+def rest_links(active: DataFrame, vectors: DataFrame, texts: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
+    """Links between different labels within blocks (key, page, pages, set_id, label): a spanning forest per pair of pages.
 
     Points without a partner of another label within the bound are dropped before texts are fetched.
     """
@@ -342,14 +369,14 @@ def rest_links(active: DataFrame, texts: DataFrame, window: int, share: tuple[in
                         wanted[i] |= len(usable) > 0
             start = 0
             for batch in rows:
-                yield batch.filter(pa.array(wanted[start : start + batch.num_rows]))
+                yield batch.select(PLACED_COLUMNS).filter(pa.array(wanted[start : start + batch.num_rows]))
                 start += batch.num_rows
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches, ["key", "low", "high"]):
             ids, label, page, found = _column(rows, "set_id"), _column(rows, "label").copy(), pages_of(rows), []
-            tree = CountTree(_vectors(rows), _column(rows, "n"), share)
-            tokens = [shingle_set(t, window) for r in rows for t in r.column("text").to_pylist()]
+            tokens = _tokens_of(rows, window)
+            tree = CountTree(_folded([group_counts(t) for t in tokens]), np.array([len(t) for t in tokens]), share)
             for i in range(1, len(ids)):
                 for j in _partners(tree, i, label, page):
                     if linked(tokens[i], tokens[j], share):
@@ -359,8 +386,8 @@ def rest_links(active: DataFrame, texts: DataFrame, window: int, share: tuple[in
 
     spread = active.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
     spread = spread.withColumns({"low": F.least("page", "other"), "high": F.greatest("page", "other")}).select(*PLACED_COLUMNS)
-    kept = materialize(_dealt(spread).mapInArrow(needed, PLACED), "rest-points")
-    return _dealt(kept.join(texts.select("set_id", "text"), "set_id").select(*PLACED_COLUMNS, "text")).mapInArrow(link, "a long, b long")
+    kept = materialize(_dealt(spread.join(vectors, "set_id").select(*PLACED_COLUMNS, "n", "counts")).mapInArrow(needed, PLACED), "rest-points")
+    return _dealt(kept.join(texts, "set_id").select(*PLACED_COLUMNS, "text")).mapInArrow(link, "a long, b long")
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, share: tuple[int, int] = SHARE) -> DataFrame:
@@ -371,37 +398,49 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``share[1] * intersection >= share[0] * union``. A null id is never the smallest; it stands for itself if all ids of its component are null.
     Ids may repeat: each row is a document. Other columns are not read.
     """
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), F.lit(None).cast("long").alias("tag"))
-    known = materialize(described(docs, window), "described")
-    sets = _sets(known)
-    return _with_components(known, sets, set_components(docs, sets, window, share), id_col)
-
-
-def _sets(known: DataFrame) -> DataFrame:
-    """``(set_id, first, n)``: every set once, with the least of its rows by id and tag; rows without an id come last."""
-    row = F.struct(F.col("id").isNull().alias("unnamed"), "id", "tag")
-    return materialize(known.where("set_id <> 0").groupBy("set_id").agg(F.min(row).alias("first"), F.first("n_shingles").alias("n")), "sets")
-
-
-def set_components(docs: DataFrame, sets: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
-    """``(vertex, root)`` of the sets that are not the smallest of their component, from rows (id, text, tag) and their sets."""
-    keys = keyed(docs, window, share)
-    repeated = keys.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot < last")
-    repeated = materialize(repeated.select("key", "pivot"), "repeated-keys")
-    members = materialize(_within(keys, repeated, "key").distinct(), "members")
-    stars = members.where("pivot <> set_id").select(F.col("pivot").alias("a"), F.col("set_id").alias("b"))
-    clusters = components(stars)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), F.lit(None).cast("long").alias("tag"))
+    known, rooted = _rooted_sets(rows, window, share)
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    final = rooted.join(smallest, "root").select(F.col("set_id").alias("of"), F.col("least.id").alias("component_id"))
+    return known.join(final, F.col("set_id") == F.col("of"), "left").select(
+        F.col("id").alias(id_col), "n_shingles", F.when(F.col("set_id") != 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
+    )
+
+
+def _rooted_sets(docs: DataFrame, window: int, share: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """``(id, tag, n_shingles, set_id)`` of rows (id, text, tag), and ``(set_id, first, root)`` of every set: the least of its rows
+    by id and tag, those without an id last, and the smallest set of its component. All else that was written is deleted."""
+    with scratch_scope(docs.sparkSession):
+        known = materialize(described(docs, window), "known", keep=True)
+        # Keys are many times more than documents: cutting the texts again costs less than keeping them.
+        keys = keyed(docs, window, share)
+        repeated = keys.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot < last")
+        repeated = materialize(repeated.select("key", "pivot"), "repeated-keys")
+        members = materialize(_within(keys, repeated, "key").distinct(), "members")
+        row = F.struct(F.col("id").isNull().alias("unnamed"), "id", "tag")
+        sets = known.where("set_id <> 0").groupBy("set_id").agg(F.min(row).alias("first"), F.first("n_shingles").alias("n"))
+        sets = materialize(sets, "sets")
+        found = components(set_links(docs, sets, members, window, share))
+        joined = sets.select("set_id", "first").join(found.select(F.col("vertex").alias("set_id"), "root"), "set_id", "left")
+        rooted = materialize(joined.select("set_id", "first", F.coalesce("root", "set_id").alias("root")), "rooted", keep=True)
+    return known, rooted
+
+
+def set_links(docs: DataFrame, sets: DataFrame, members: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
+    """``(a, b)``: links that connect every component, from rows (id, text, tag), their sets, and the sets under repeated keys (key, pivot, set_id)."""
+    clusters = components(members.where("pivot <> set_id").select(F.col("pivot").alias("a"), F.col("set_id").alias("b")))
     ends = members.select("set_id").distinct().join(clusters.select(F.col("vertex").alias("set_id"), "root"), "set_id", "left")
     ends = ends.select("set_id", F.coalesce("root", "set_id").alias("cluster")).join(sets.select("set_id", "n"), "set_id")
     points = materialize(ends, "points")
     spread = points.groupBy("cluster").agg(_pages(F.count("*"), F.sum("n")).alias("pages"))
-    large = materialize(points.join(spread.where("pages > 1"), "cluster", "left_semi").select("set_id"), "large-clusters")
-    small = points.join(spread.where("pages = 1"), "cluster", "left_semi").select("set_id", "cluster")
-    texts = materialize(texts_of(docs, sets, points.select("set_id"), window), "texts")
-    links = materialize(cluster_links(small.join(texts, "set_id"), window, share), "cluster-links")
-    if not large.isEmpty():
-        links = links.unionByName(_large_links(members, large, texts, window, share))
-    return components(links)
+    points = materialize(points.join(spread, "cluster").select("set_id", "cluster", "pages", "n"), "paged-points")
+    texts = materialize(texts_of(docs, sets, points.select("set_id", "cluster", "pages"), window), "texts")
+    links = materialize(cluster_links(texts.where("pages = 1"), window, share), "cluster-links")
+    large = points.where("pages > 1").select("set_id")
+    if large.isEmpty():
+        return links
+    own = materialize(texts.where("pages > 1").groupBy("set_id").agg(F.min("text").alias("text")), "large-texts")
+    return links.unionByName(_large_links(members.select("key", "set_id", "n"), large, own, window, share))
 
 
 def _pages(points: Column, tokens: Column) -> Column:
@@ -409,45 +448,24 @@ def _pages(points: Column, tokens: Column) -> Column:
 
 
 def _large_links(members: DataFrame, large: DataFrame, texts: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
-    """Links within clusters of several pages, block by block."""
+    """Links within clusters of several pages."""
     inside = members.join(large, "set_id", "left_semi")
-    prints = inside.groupBy("key").agg(F.count("*").alias("block_size"), F.expr("bit_xor(xxhash64(set_id))").alias("print"))
-    # Of blocks with the same sets one is enough; vectors join what is left.
-    blocks = materialize(prints.groupBy("print", "block_size").agg(F.min("key").alias("key")).drop("print"), "distinct-blocks")
-    full = materialize(inside.join(blocks, "key").join(texts.select("set_id", "n", "counts"), "set_id"), "block-points")
-    size = full.groupBy("key").agg(_pages(F.count("*"), F.sum("n")).alias("pages"))
-    paged = full.join(size, "key").withColumn("page", F.pmod(F.xxhash64("set_id"), F.col("pages")).cast("int"))
-    paged = materialize(paged, "blocks")
-    labelled = paged.withColumn("label", F.col("set_id"))
-    links = tested = None
-    for _ in range(ROUNDS):
-        pairs = candidates(labelled, share)
-        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
-        new = materialize(verified(pairs, texts, window, share), "links")
-        tested, links = (pairs, new) if tested is None else (tested.unionByName(pairs), links.unionByName(new))
-        if new.isEmpty():
-            break
-        found = components(links).select(F.col("vertex").alias("set_id"), "root")
-        labelled = paged.join(found, "set_id", "left").withColumn("label", F.coalesce("root", "set_id")).drop("root")
+    prints = inside.groupBy("key").agg(F.count("*").alias("block_size"), F.sum("n").alias("tokens"), F.min("set_id").alias("pivot"), F.expr("bit_xor(xxhash64(set_id))").alias("print"))
+    # Of blocks with the same sets one is enough.
+    blocks = prints.groupBy("print", "block_size").agg(F.min(F.struct("key", "tokens", "pivot")).alias("one")).where("block_size > 1")
+    pages = _pages(F.col("block_size"), F.col("one.tokens")).alias("pages")
+    blocks = materialize(blocks.select("one.key", "one.pivot", "block_size", pages), "distinct-blocks")
+    page = F.pmod(F.xxhash64("set_id"), F.col("pages")).cast("int").alias("page")
+    rows = materialize(_within(inside.select("key", "set_id"), blocks, "key").select("*", page), "blocks")
+    vectors = materialize(vectors_of(texts, window), "vectors")
+    pairs = materialize(proposals(rows.join(vectors, "set_id"), share), "proposals")
+    links = materialize(star_links(pairs, texts, window, share), "links")
+    labels = components(links).select(F.col("vertex").alias("set_id"), "root")
+    labelled = rows.join(labels, "set_id", "left").withColumn("label", F.coalesce("root", "set_id")).drop("root")
     several = labelled.where((F.col("block_size") > SMALL_BLOCK) | (F.col("pages") > 1)).groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    several = several.where("low < high")
-    active = labelled.join(materialize(several.select("key"), "active-blocks"), "key", "left_semi")
-    return links.unionByName(materialize(rest_links(active, texts, window, share), "rest-links"))
-
-
-def _rooted(sets: DataFrame, found: DataFrame) -> DataFrame:
-    """``(set_id, first, root)``."""
-    rooted = sets.select("set_id", "first").join(found.select(F.col("vertex").alias("set_id"), "root"), "set_id", "left")
-    return materialize(rooted.select("set_id", "first", F.coalesce("root", "set_id").alias("root")), "rooted")
-
-
-def _with_components(known: DataFrame, sets: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
-    rooted = _rooted(sets, found)
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    final = rooted.join(smallest, "root").select(F.col("set_id").alias("of"), F.col("least.id").alias("component_id"))
-    return known.join(final, F.col("set_id") == F.col("of"), "left").select(
-        F.col("id").alias(id_col), "n_shingles", F.when(F.col("set_id") != 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
-    )
+    several = materialize(several.where("low < high").select("key"), "active-blocks")
+    active = materialize(_within(labelled, several, "key", "left_semi").select("key", "set_id", "label", "pages", "page"), "active")
+    return links.unionByName(materialize(rest_links(active, vectors, texts, window, share), "rest-links"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, share: tuple[int, int] = SHARE) -> DataFrame:
@@ -460,8 +478,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         tag += "_"
     tagged = materialize(docs.withColumn(tag, F.monotonically_increasing_id()), "tagged")
     rows = tagged.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(tag).alias("tag"))
-    known = materialize(described(rows, window), "described")
-    sets = _sets(known)
-    kept = _rooted(sets, set_components(rows, sets, window, share)).groupBy("root").agg(F.min("first").alias("least")).select("least.tag")
+    known, rooted = _rooted_sets(rows, window, share)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("least")).select("least.tag")
     kept = materialize(kept.unionByName(known.where("set_id = 0").select("tag")).select(F.col("tag").alias(tag)), "kept")
     return tagged.join(kept, tag, "left_semi").drop(tag)
