@@ -107,6 +107,16 @@ def test_exact_duplicates_query(spark):
     assert dict(out) == groups_by_definition(rows, True)
 
 
+def test_exact_duplicates_query_on_rows_that_come_twice(spark, tmp_path):
+    """By the contract, which the SQL twin repeats, every row with the id that stays is kept."""
+    rows = [(1, "a"), (3, "A"), (3, "a"), (3, "b"), (2, "b"), (None, "b"), (9, None), (9, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op11_digest_runs(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in found) == [
+        (0, 3, 3, False), (1, 3, 3, False), (2, 3, 3, False), (3, 3, 3, True), (3, 3, 3, True), (3, 3, 3, True), (9, 9, 2, True), (9, 9, 2, True),
+    ]
+
+
 # Whitening
 
 
