@@ -56,3 +56,24 @@ def test_many_pairs_of_large_numbers(spark):
     together = {(r.a, r.b): r.r for r in association.pearson(df, pairs).collect()}
     for pair in pairs[:12]:
         assert together[pair] == pytest.approx(association.pearson(df, [pair]).first().r, abs=1e-11)
+
+
+def test_many_pairs_send_each_row_once(spark, monkeypatch):
+    """Rows with gaps, infinities, constants and far-off values in one pass; no long form with a row per pair and row."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(900, 1)) + rng.normal(size=(900, 7))
+    pdf = pd.DataFrame(base, columns=[f"c{i}" for i in range(7)])
+    pdf["c1"] += 1e9
+    pdf.loc[pdf.index % 3 == 0, "c2"] = np.nan
+    pdf.loc[pdf.index % 3 == 0, "c3"] -= 1e8  # far from the rows where c2 is known
+    pdf["c4"] = 0.1
+    pdf.loc[7, "c5"] = np.inf
+    pdf["c6"] = np.nan
+    df = spark.createDataFrame(pdf).repartition(5)
+    pairs = [(a, b) for a in pdf for b in pdf if a < b]
+    alone = {p: association.pearson(df, [p]).first().r for p in pairs}
+    monkeypatch.setattr(association, "_pair_columns", None)
+    monkeypatch.setattr(association.pairs_, "TILE", 4)
+    monkeypatch.setattr(association.pairs_, "ROWS", 100)
+    assert {(r.a, r.b): r.r for r in association.pearson(df, pairs).collect()} == pytest.approx(alone, abs=1e-9)
+    assert [r.r for r in association.pearson(df.limit(0), pairs).collect()] == [0.0] * len(pairs)
