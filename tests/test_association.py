@@ -77,3 +77,17 @@ def test_many_pairs_send_each_row_once(spark, monkeypatch):
     monkeypatch.setattr(association.pairs_, "ROWS", 100)
     assert {(r.a, r.b): r.r for r in association.pearson(df, pairs).collect()} == pytest.approx(alone, abs=1e-9)
     assert [r.r for r in association.pearson(df.limit(0), pairs).collect()] == [0.0] * len(pairs)
+
+
+@pytest.mark.parametrize("chunk_rows", [None, 7, 150])
+def test_kendall_parts(spark, chunk_rows, monkeypatch):
+    """Parts of few rows, values too frequent for one, infinities; no running sums of digits, whose rows are five times the pairs of values."""
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"a": rng.integers(0, 3, 600).astype(float), "b": np.round(rng.normal(size=600), 1), "c": rng.normal(size=600)})
+    pdf.loc[::50, "c"], pdf.loc[::70, "b"], pdf.loc[3::60, "b"] = np.inf, -np.inf, np.nan
+    pdf["d"], pdf["e"] = -pdf["c"], 1.0
+    monkeypatch.setattr(association, "running_sums", None)
+    pairs = [("a", "b"), ("b", "a"), ("b", "c"), ("c", "d"), ("c", "a"), ("a", "e"), ("e", "e")]
+    got = {(r.a, r.b): r.r for r in association.kendall(spark.createDataFrame(pdf), pairs, chunk_rows).collect()}
+    finite = pdf.replace([np.inf, -np.inf], [1e9, -1e9])
+    assert got == {p: pytest.approx(brute(finite, *p, "kendall"), abs=1e-12) for p in pairs[:-1]} | {("e", "e"): 0.0}
