@@ -19,7 +19,7 @@ def text_measures(spark, sf_dir):
         F.col("n_chars").cast("double").alias("chars"),
         F.size(F.split("text", r"\s+")).cast("double").alias("words"),
         F.size(F.split("text", "\n")).cast("double").alias("lines"),
-        F.length(F.regexp_replace("text", "[^0-9]", "")).cast("double").alias("digits"),
+        F.regexp_count("text", F.lit("[0-9]")).cast("double").alias("digits"),
     )
     return docs.join(table(spark, sf_dir, "labels"), "doc_id")
 

@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from fieldglass.config import EtlConfig, FeatureConfig, ModelConfig, SeriesConfig
+from fieldglass.operators import models
 from fieldglass.plans import etl, features, modelling
 from fieldglass.sources import registry
 from fieldglass.sources.scratch import scratch_path
@@ -57,3 +58,18 @@ def test_three_stages(spark, events):
     assert compared.metrics.filter("metric = 'rmse'").count() >= 3
     saved = registry.read(spark, f"{out}/models/models", registry.MODELS)
     assert registry.latest_models(saved).first()["target"] == "load"
+
+
+def test_classifiers_work_out_their_features_once(spark, tmp_path):
+    """Labels, bounds and parts come from written rows, not from the table again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def slow(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(300).selectExpr("id", "double(id % 17) AS x", "double(id % 5) AS z", "id % 2 AS y", "repeat('a', 100) AS text")
+    table = rows.mapInArrow(slow, rows.schema)
+    found = models.compare_classifiers(table, "y", ["x", "z"], ["id"], exclude=["gbt", "linear_svc", "random_forest", "logistic", "naive_bayes"]).collect()
+    assert [r.model for r in found] == ["decision_tree"] and seen.value == 300
