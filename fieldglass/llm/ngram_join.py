@@ -8,7 +8,9 @@ dealt out by the groups themselves. Two linked sets differ in at most ``d`` toke
 ``d`` groups some group has the very same tokens in both. The key of a group's content therefore brings linked sets together:
 classes of sizes have their own number of groups, larger sets also use that of the class below, and three or more
 groups beyond ``d + 1`` make sure that an agreeing group is not an empty one (sets with more empty groups than that share a
-key of their own). Keys that occur once are dropped by an aggregation; each of the others is a block with its own tree.
+key of their own). Keys travel once, 13 bytes each with their set, dealt to 4,096 parts by their first bits; a part is sorted by one task, which
+drops the keys that occur once. Each of the others is a block with its own tree. 44 bits of a key are compared: what agrees by chance is one more
+candidate.
 
 Blocks that share sets form clusters. A cluster that fits a page is linked in one task: its sets come there once, the tree
 proposes partners, and sets that are already connected are not compared. In a larger cluster links come from its blocks, page
@@ -38,7 +40,7 @@ from fieldglass.sources.scratch import materialize, scratch_scope
 from .common import partitions, record_batch, row_slices
 from .components import components
 from .count_tree import CountTree
-from .words import ODD, mixed, shingle_set
+from .words import ODD, mixed, shingle_sets
 
 WINDOW = 4
 SHARE = (85, 100)
@@ -52,6 +54,8 @@ STEPS = 400
 PAGE_POINTS, PAGE_TOKENS = 512, 400_000
 #: Keys and ids are broadcast up to this number (two longs each) and shuffled beyond it.
 BROADCAST_ROWS = 1_000_000
+#: Keys that are packed together, and sets that a task remembers so that it gives their keys once.
+PACKED_KEYS, KNOWN_SETS = 1 << 20, 1 << 16
 
 
 def _upper(j: int, k: int) -> int:
@@ -85,34 +89,55 @@ def _groups(size_class: int, share: tuple[int, int]) -> tuple[int, int, np.uint6
 
 def group_keys(tokens: np.ndarray, share: tuple[int, int] = SHARE) -> np.ndarray:
     """Keys under which a set (sorted token hashes) can meet every set it may be linked with."""
-    n = len(tokens)
-    if not n:
-        return np.zeros(0, np.uint64)
-    sizes = _classes(share)
-    own = int(np.searchsorted(sizes, n, side="right")) - 1
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(mixed(tokens ^ ODD[11]), out=sums[1:])
-    keys = []
-    for c in (own, own - 1) if own and share[0] * n <= share[1] * (sizes[own] - 1) else (own,):
-        k, spare, tag = _groups(c, share)
-        if not k:
-            continue
-        starts = np.searchsorted(tokens, _bounds(k))
-        ends = np.append(starts[1:], n)
-        full = np.flatnonzero(ends > starts)
-        content = sums[ends[full]] - sums[starts[full]]
-        keys.append(mixed(content + mixed(tag + full.astype(np.uint64) * ODD[12])))
-        if k - len(full) > spare:
-            keys.append(np.array([tag], np.uint64))
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    return keys_of([tokens], share)[0]
+
+
+def keys_of(sets: list[np.ndarray], share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of several sets, and the number of the set that each belongs to."""
+    sizes, counts = _classes(share), np.array(list(map(len, sets)), np.int64)
+    own = np.searchsorted(sizes, counts, side="right") - 1
+    # a set and a class, with the class's number of groups, how many may be empty, and its tag
+    uses = [(i, c) for i, (n, o) in enumerate(zip(counts.tolist(), own.tolist())) if n for c in ((o, o - 1) if o and share[0] * n <= share[1] * (sizes[o] - 1) else (o,))]
+    uses = [(i, *_groups(c, share)) for i, c in uses]
+    uses = [use for use in uses if use[1]]
+    if not uses:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    number, groups, spare = (np.array(c, np.int64) for c in list(zip(*uses))[:3])
+    tags = np.array([use[3] for use in uses], np.uint64)
+    lengths = counts[number]
+    tokens = np.concatenate([sets[i] for i in number.tolist()])
+    k = np.repeat(groups.astype(np.uint64), lengths)
+    half, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+    # tokens * k / 2**64: groups are ranges of hashes
+    group = ((tokens >> half) * k + ((tokens & low) * k >> half)) >> half
+    starts = np.append(0, np.cumsum(lengths)[:-1])
+    begins = np.append(True, group[1:] != group[:-1])
+    begins[starts] = True
+    at = np.flatnonzero(begins)
+    use = np.searchsorted(starts, at, side="right") - 1
+    content = np.add.reduceat(mixed(tokens ^ ODD[11]), at)
+    keys = mixed(content + mixed(tags[use] + group[at] * ODD[12]))
+    sparse = groups - np.bincount(use, minlength=len(uses)) > spare
+    return np.concatenate([keys, tags[sparse]]), np.concatenate([number[use], number[sparse]])
 
 
 def set_id(tokens: np.ndarray) -> int:
     """Identifies a set; 0 for the empty one."""
-    if not len(tokens):
-        return 0
-    total = mixed(mixed(tokens ^ ODD[13]).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(tokens)))
-    return int(total.view(np.int64)[0]) or 1
+    return set_ids([tokens])[0]
+
+
+def set_ids(sets: list[np.ndarray]) -> list[int]:
+    """``set_id`` of several sets."""
+    counts = np.array(list(map(len, sets)), np.int64)
+    sums = np.zeros(len(sets), np.uint64)
+    full = np.flatnonzero(counts)
+    if len(full):
+        starts = np.append(0, np.cumsum(counts[full])[:-1])
+        sums[full] = np.add.reduceat(mixed(np.concatenate(sets) ^ ODD[13]), starts)
+    ids = mixed(sums + counts.astype(np.uint64)).view(np.int64)
+    ids[ids == 0] = 1
+    ids[counts == 0] = 0
+    return ids.tolist()
 
 
 def group_counts(tokens: np.ndarray) -> bytes:
@@ -135,31 +160,75 @@ def described(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts, tags in row_slices(batches):
-            sets = [shingle_set(t, window) for t in texts]
-            yield record_batch(DESCRIBED, [ids, tags, [len(s) for s in sets], [set_id(s) for s in sets]])
+            sets = shingle_sets(texts, window)
+            yield record_batch(DESCRIBED, [ids, tags, list(map(len, sets)), set_ids(sets)])
 
     return docs.mapInArrow(run, "id long, tag long, n_shingles long, set_id long")
 
 
+#: A key in a part of all keys, the set it belongs to, and the size class of that.
+ENTRY = np.dtype([("key", "<u4"), ("set", "<i8"), ("size", "u1")])
+
+
+def _cells(keys: np.ndarray, owners: np.ndarray, classes: np.ndarray) -> pa.RecordBatch:
+    """``(part, entries)`` of keys, their sets and the size classes of these. A part is 12 bits of the key, an entry holds 32 more."""
+    order = np.argsort(keys)
+    every = keys[order]
+    entries = np.empty(len(every), ENTRY)
+    entries["key"] = every >> np.uint64(20) & np.uint64(0xFFFFFFFF)
+    entries["set"], entries["size"] = owners[order], classes[order]
+    parts, starts = np.unique((every >> np.uint64(52)).astype(np.int32), return_index=True)
+    ends = np.append(starts, len(every)).astype(np.int32) * ENTRY.itemsize
+    cells = pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(entries.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(parts), cells], names=["part", "entries"])
+
+
 def keyed(docs: DataFrame, window: int, share: tuple[int, int]) -> DataFrame:
-    """``(key, set_id, n)`` for every key of every set; equal sets near each other give theirs once."""
+    """``(part, entries)``: every key of every set, packed; equal sets near each other give theirs once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = _classes(share)
+        cells, held, done = [], 0, set()
+        for _, texts, _ in row_slices(batches):
+            sets = shingle_sets(texts, window)
+            fresh = {i: s for i, s in zip(set_ids(sets), sets) if i not in done}
+            done.update(fresh)
+            keys, number = keys_of(list(fresh.values()), share)
+            ids = np.fromiter(fresh, np.int64, len(fresh))
+            classes = np.searchsorted(sizes, list(map(len, fresh.values())), side="right").astype(np.uint8)
+            cells.append((keys, ids[number], classes[number]))
+            held += len(keys)
+            if held >= PACKED_KEYS:
+                yield _cells(*map(np.concatenate, zip(*cells)))
+                cells, held = [], 0
+            if len(done) > KNOWN_SETS:
+                done.clear()
+        if held:
+            yield _cells(*map(np.concatenate, zip(*cells)))
+
+    return docs.mapInArrow(run, "part int, entries binary")
+
+
+def repeated_keys(cells: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """``(key, pivot, set_id, n)`` for the keys of several sets: their sets, the smallest of these, and the most tokens of the set's size class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts, _ in row_slices(batches, 1024):
-            keys, owners, sizes, done = [], [], [], set()
-            for text in texts:
-                tokens = shingle_set(text, window)
-                own = set_id(tokens)
-                if own not in done:
-                    done.add(own)
-                    some = group_keys(tokens, share)
-                    keys.append(some.view(np.int64))
-                    owners.append(np.full(len(some), own, np.int64))
-                    sizes.append(np.full(len(some), len(tokens), np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, owners, sizes)], names=["key", "set_id", "n"])
-
-    return docs.mapInArrow(run, "key long, set_id long, n long")
+        most = np.array(_classes(share)) - 1
+        for rows in _runs(batches, ["part"]):
+            entries = np.concatenate([np.frombuffer(c.as_buffer(), ENTRY) for r in rows for c in r.column("entries")])
+            order = np.lexsort((entries["set"], entries["key"]))
+            keys, sets = entries["key"][order], entries["set"][order]
+            once = np.append(True, (keys[1:] != keys[:-1]) | (sets[1:] != sets[:-1]))
+            keys, sets, order = keys[once], sets[once], order[once]
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            counts = np.diff(starts, append=len(keys))
+            pivots, kept = np.repeat(sets[starts], counts), np.repeat(counts > 1, counts)
+            named = keys[kept].astype(np.int64) | rows[0].column("part")[0].as_py() << 32
+            columns = [named, pivots[kept], sets[kept], most[entries["size"][order][kept]]]
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["key", "pivot", "set_id", "n"])
+
+    dealt = cells.repartition(partitions(cells), "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "key long, pivot long, set_id long, n long")
 
 
 def _within(rows: DataFrame, few: DataFrame, on: str, how: str = "inner") -> DataFrame:
@@ -242,7 +311,7 @@ def texts_of(docs: DataFrame, sets: DataFrame, points: DataFrame, window: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in row_slices(batches):
-            yield record_batch(TEXTS, [[set_id(shingle_set(t, window)) for t in texts], [zlib.compress((t or "").encode(), 1) for t in texts]])
+            yield record_batch(TEXTS, [set_ids(shingle_sets(texts, window)), [zlib.compress((t or "").encode(), 1) for t in texts]])
 
     found = rows.select("id", "text").mapInArrow(run, "set_id long, text binary")
     return _within(found, chosen.select("set_id", "cluster", "pages"), "set_id").select("set_id", "cluster", "pages", "text")
@@ -250,7 +319,7 @@ def texts_of(docs: DataFrame, sets: DataFrame, points: DataFrame, window: int) -
 
 def _tokens_of(rows: list[pa.RecordBatch], window: int) -> list[np.ndarray]:
     """Tokens of packed texts."""
-    return [shingle_set(zlib.decompress(t.as_py()).decode(), window) for r in rows for t in r.column("text")]
+    return shingle_sets([zlib.decompress(t.as_py()).decode() for r in rows for t in r.column("text")], window)
 
 
 def _sets_of(rows: list[pa.RecordBatch], window: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
@@ -274,7 +343,8 @@ def star_links(pairs: DataFrame, texts: DataFrame, window: int, share: tuple[int
     placed = _within(pairs, sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("pages")).cast("int").alias("page"))
     hubs = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page"), F.col("a").alias("set_id"))
     rows = placed.select("a", "page", F.col("b").alias("set_id")).unionByName(hubs)
-    dealt = rows.join(texts, "set_id").select("a", "page", "set_id", "text").repartition(partitions(rows), "a", "page")
+    rows = materialize(rows, "hubs-and-partners")
+    dealt = _within(texts, rows, "set_id").select("a", "page", "set_id", "text").repartition(partitions(rows), "a", "page")
     return dealt.sortWithinPartitions("a", "page", "set_id").mapInArrow(run, "a long, b long")
 
 
@@ -333,6 +403,13 @@ def _partners(tree: CountTree, i: int, label: np.ndarray, page: np.ndarray | Non
                 yield j
 
 
+def _placed(places: DataFrame, sets: DataFrame) -> DataFrame:
+    """Places of sets (set_id, ..) with what is known of the set; it meets a set's places once, however many they are."""
+    names = [c for c in places.columns if c != "set_id"]
+    per_set = places.groupBy("set_id").agg(F.collect_list(F.struct(*names)).alias("_places"))
+    return _within(sets, materialize(per_set, "places"), "set_id").withColumn("_place", F.explode("_places")).select("_place.*", *sets.columns)
+
+
 VECTORS = pa.schema([("set_id", pa.int64()), ("n", pa.int64()), ("counts", pa.binary())])
 
 
@@ -341,7 +418,7 @@ def vectors_of(texts: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in row_slices(batches):
-            tokens = [shingle_set(zlib.decompress(t).decode(), window) for t in texts]
+            tokens = shingle_sets([zlib.decompress(t).decode() for t in texts], window)
             yield record_batch(VECTORS, [ids, list(map(len, tokens)), [zlib.compress(group_counts(t), 1) for t in tokens]])
 
     return texts.select("set_id", "text").mapInArrow(run, "set_id long, n long, counts binary")
@@ -384,10 +461,11 @@ def rest_links(active: DataFrame, vectors: DataFrame, texts: DataFrame, window:
                         label[label == max(label[i], label[j])] = min(label[i], label[j])
             yield _pair_batch(found)
 
-    spread = active.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
-    spread = spread.withColumns({"low": F.least("page", "other"), "high": F.greatest("page", "other")}).select(*PLACED_COLUMNS)
-    kept = materialize(_dealt(spread.join(vectors, "set_id").select(*PLACED_COLUMNS, "n", "counts")).mapInArrow(needed, PLACED), "rest-points")
-    return _dealt(kept.join(texts, "set_id").select(*PLACED_COLUMNS, "text")).mapInArrow(link, "a long, b long")
+    placed = _placed(active, vectors)
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
+    spread = spread.withColumns({"low": F.least("page", "other"), "high": F.greatest("page", "other")}).select(*PLACED_COLUMNS, "n", "counts")
+    kept = materialize(_dealt(spread).mapInArrow(needed, PLACED), "rest-points")
+    return _dealt(_placed(kept, texts.select("set_id", "text")).select(*PLACED_COLUMNS, "text")).mapInArrow(link, "a long, b long")
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, share: tuple[int, int] = SHARE) -> DataFrame:
@@ -412,11 +490,8 @@ def _rooted_sets(docs: DataFrame, window: int, share: tuple[int, int]) -> tuple[
     by id and tag, those without an id last, and the smallest set of its component. All else that was written is deleted."""
     with scratch_scope(docs.sparkSession):
         known = materialize(described(docs, window), "known", keep=True)
-        # Keys are many times more than documents: cutting the texts again costs less than keeping them.
-        keys = keyed(docs, window, share)
-        repeated = keys.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot < last")
-        repeated = materialize(repeated.select("key", "pivot"), "repeated-keys")
-        members = materialize(_within(keys, repeated, "key").distinct(), "members")
+        # Keys are many times more than documents: they travel once, packed, and are never stored.
+        members = materialize(repeated_keys(keyed(docs, window, share), share), "members")
         row = F.struct(F.col("id").isNull().alias("unnamed"), "id", "tag")
         sets = known.where("set_id <> 0").groupBy("set_id").agg(F.min(row).alias("first"), F.first("n_shingles").alias("n"))
         sets = materialize(sets, "sets")
@@ -439,7 +514,10 @@ def set_links(docs: DataFrame, sets: DataFrame, members: DataFrame, window: int,
     large = points.where("pages > 1").select("set_id")
     if large.isEmpty():
         return links
-    own = materialize(texts.where("pages > 1").groupBy("set_id").agg(F.min("text").alias("text")), "large-texts")
+    own = texts.where("pages > 1").select("set_id", "text")
+    # rows with the same id bring a text several times; texts are shuffled only then
+    if not own.groupBy("set_id").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty():
+        own = materialize(own.groupBy("set_id").agg(F.min("text").alias("text")), "large-texts")
     return links.unionByName(_large_links(members.select("key", "set_id", "n"), large, own, window, share))
 
 
@@ -458,7 +536,7 @@ def _large_links(members: DataFrame, large: DataFrame, texts: DataFrame, window:
     page = F.pmod(F.xxhash64("set_id"), F.col("pages")).cast("int").alias("page")
     rows = materialize(_within(inside.select("key", "set_id"), blocks, "key").select("*", page), "blocks")
     vectors = materialize(vectors_of(texts, window), "vectors")
-    pairs = materialize(proposals(rows.join(vectors, "set_id"), share), "proposals")
+    pairs = materialize(proposals(_placed(rows, vectors), share), "proposals")
     links = materialize(star_links(pairs, texts, window, share), "links")
     labels = components(links).select(F.col("vertex").alias("set_id"), "root")
     labelled = rows.join(labels, "set_id", "left").withColumn("label", F.coalesce("root", "set_id")).drop("root")

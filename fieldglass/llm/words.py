@@ -12,6 +12,8 @@ import hashlib
 import numpy as np
 
 LONG_WORD = 512
+#: Bytes of short texts that are cut together, about.
+TOGETHER = 1 << 16
 _random = np.random.Generator(np.random.PCG64(20_240_601))
 BYTE_VALUES = _random.integers(1, 1 << 63, 256, dtype=np.uint64)
 ODD = _random.integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
@@ -103,3 +105,42 @@ def shingle_set(text: str | None, n: int = 4) -> np.ndarray:
     if 0 < len(words) < n:
         return mixed((words * ODD[2 : 2 + len(words)]).sum(keepdims=True, dtype=np.uint64) + ODD[9] * np.uint64(len(words)))
     return np.unique(window_hashes(words, n))
+
+
+def shingle_sets(texts: list[str | None], n: int = 4) -> list[np.ndarray]:
+    """``shingle_set`` of every text; short ones are cut together, as most of the time goes into calls on small arrays."""
+    found: list[np.ndarray] = []
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        raw = (text or "").encode()
+        if held and size + len(raw) > TOGETHER:
+            found += _sets_together(held, n)
+            held, size = [], 0
+        held.append(raw)
+        size += len(raw) + 1
+    return found + _sets_together(held, n)
+
+
+def _sets_together(texts: list[bytes], n: int) -> list[np.ndarray]:
+    if len(texts) < 2:
+        return [shingle_set(t.decode(), n) for t in texts]
+    data = LOWER[np.frombuffer(b" ".join(texts), np.uint8)]
+    starts, ends = word_spans(data)
+    # where texts begin, among the bytes and among the words
+    begin = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    first = np.searchsorted(starts, begin).tolist()
+    if (ends - starts > LONG_WORD).any():
+        # a text with a long word has hashes of its own kind
+        return [shingle_set(t.decode(), n) for t in texts]
+    words = word_hashes(data, starts, ends)
+    windows = window_hashes(words, n)
+    found = []
+    for i, (a, b) in enumerate(zip(first, first[1:])):
+        if b - a < n:
+            found.append(shingle_set(texts[i].decode(), n))
+            continue
+        own = np.sort(windows[a : b - n + 1])
+        once = np.append(True, own[1:] != own[:-1])
+        found.append(own if once.all() else own[once])
+    return found

@@ -522,3 +522,36 @@ def test_pipeline_of_empty_documents(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_ngram_keys_travel_once_and_packed(spark, monkeypatch):
+    """Keys packed, and the members of repeated keys as counted one by one, also when many keys are repeated and few are packed together."""
+    monkeypatch.setattr(ngram_join, "PACKED_KEYS", 100)
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 1)
+    pick = random.Random(8)
+    base = [f"w{pick.randrange(10**6)}" for _ in range(80)]
+    texts = [varied(pick, base, pick.randint(0, 3)) for _ in range(40)] + [" ".join(base)] * 5 + [None, "one", "x" * 600 + " a b c d e"]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "id long, text string, tag long")
+    owners = {}
+    for text in texts:
+        tokens = words.shingle_set(text, 4)
+        for key in ngram_join.group_keys(tokens).tolist():
+            owners.setdefault(key >> 20, set()).add((ngram_join.set_id(tokens), len(tokens)))
+    wanted = {(k, s, min(i for i, _ in own)) for k, own in owners.items() if len(own) > 1 for s, _ in own}
+    cells = ngram_join.keyed(docs, 4, (85, 100)).collect()
+    assert max(len(c.entries) for c in cells) < 13 * 100
+    rows = ngram_join.repeated_keys(ngram_join.keyed(docs, 4, (85, 100)), (85, 100)).collect()
+    assert len(rows) == len(wanted) > 100
+    assert {(r.key, r.set_id, r.pivot) for r in rows} == wanted
+    most = {s: n for own in owners.values() for s, n in own}
+    assert all(most[r.set_id] <= r.n <= 2 * most[r.set_id] for r in rows)
+    assert len(compare_groups(spark, dict(enumerate(texts)))) == len(texts)
+
+
+def test_texts_cut_together_give_the_same_sets(monkeypatch):
+    texts = [None, "", " ", "a", "A b", "one two  three\tfour five", "É b c d e f", "x" * 600 + " a b c d e", "a b c d a b c d a b c d", "last words of all the texts"] * 3
+    for together in (1, 20, 200, 1 << 16):
+        monkeypatch.setattr(words, "TOGETHER", together)
+        for n in (1, 4, 5):
+            assert [s.tolist() for s in words.shingle_sets(texts, n)] == [words.shingle_set(t, n).tolist() for t in texts]
+    assert words.shingle_sets([], 4) == []
