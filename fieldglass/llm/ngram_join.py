@@ -55,7 +55,7 @@ PAGE_POINTS, PAGE_TOKENS = 512, 400_000
 #: Keys and ids are broadcast up to this number (two longs each) and shuffled beyond it.
 BROADCAST_ROWS = 1_000_000
 #: Keys that are packed together, and sets that a task remembers so that it gives their keys once.
-PACKED_KEYS, KNOWN_SETS = 1 << 20, 1 << 16
+PACKED_KEYS, KNOWN_SETS = 1 << 18, 1 << 16
 
 
 def _upper(j: int, k: int) -> int:
