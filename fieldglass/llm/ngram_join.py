@@ -52,8 +52,8 @@ SMALL_BLOCK = 8
 STEPS = 400
 #: Points of a page, and tokens of all its sets, about.
 PAGE_POINTS, PAGE_TOKENS = 512, 400_000
-#: Keys and ids are broadcast up to this number (two longs each) and shuffled beyond it.
-BROADCAST_ROWS = 1_000_000
+#: What is broadcast has so many rows, and with the lists in them so many bytes, at most; more is shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 250_000, 8 << 20
 #: Keys that are packed together, and sets that a task remembers so that it gives their keys once.
 PACKED_KEYS, KNOWN_SETS = 1 << 18, 1 << 16
 
@@ -231,9 +231,13 @@ def repeated_keys(cells: DataFrame, share: tuple[int, int]) -> DataFrame:
     return dealt.mapInArrow(run, "key long, pivot long, set_id long, n long")
 
 
-def _within(rows: DataFrame, few: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """Join with a table that is broadcast if it is small; it has been written, so counting it is cheap."""
-    return rows.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, on, how)
+def _within(rows: DataFrame, few: DataFrame, on: str, how: str = "inner", listed: Column | None = None) -> DataFrame:
+    """Join with a table that is broadcast if it is small; it has been written, so measuring it is cheap. ``listed``: bytes of a row's lists."""
+    # beside the values a row has a null bitmap and two words in the hash table
+    width = F.lit(8 * (len(few.columns) + 3)) + (F.lit(0) if listed is None else listed)
+    size = few.agg(F.count("*").alias("rows"), F.sum(width.cast("long")).alias("bytes")).first()
+    small = size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
+    return rows.join(F.broadcast(few) if small else few.hint("shuffle_merge"), on, how)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[pa.RecordBatch]]:
@@ -407,7 +411,8 @@ def _placed(places: DataFrame, sets: DataFrame) -> DataFrame:
     """Places of sets (set_id, ..) with what is known of the set; it meets a set's places once, however many they are."""
     names = [c for c in places.columns if c != "set_id"]
     per_set = places.groupBy("set_id").agg(F.collect_list(F.struct(*names)).alias("_places"))
-    return _within(sets, materialize(per_set, "places"), "set_id").withColumn("_place", F.explode("_places")).select("_place.*", *sets.columns)
+    listed = F.size("_places") * (8 * (len(names) + 2))
+    return _within(sets, materialize(per_set, "places"), "set_id", listed=listed).withColumn("_place", F.explode("_places")).select("_place.*", *sets.columns)
 
 
 VECTORS = pa.schema([("set_id", pa.int64()), ("n", pa.int64()), ("counts", pa.binary())])

@@ -548,6 +548,19 @@ def test_ngram_keys_travel_once_and_packed(spark, monkeypatch):
     assert len(compare_groups(spark, dict(enumerate(texts)))) == len(texts)
 
 
+def test_places_of_sets_are_broadcast_by_their_size(spark):
+    names = ["key", "page", "block_size", "pivot"]
+    for places, shuffled in ((120, True), (2, False)):
+        rows = spark.range(4000 * places).selectExpr(f"id % {places} AS key", "1 AS page", "7L AS block_size", "0L AS pivot", f"id div {places} AS set_id")
+        sets = spark.range(5000).selectExpr("id AS set_id", "id * 3 AS n")
+        found = ngram_join._placed(rows, sets)
+        # few rows with long lists are no small table: the driver would have to hold them
+        assert ("ResolvedHint (strategy=broadcast)" not in found._jdf.queryExecution().analyzed().toString()) == shuffled
+        assert found.columns == [*names, "set_id", "n"]
+        total = found.agg({"*": "count", "key": "sum", "n": "sum"}).first()
+        assert (total["count(1)"], total["sum(key)"], total["sum(n)"]) == (4000 * places, 4000 * sum(range(places)), 3 * places * sum(range(4000)))
+
+
 def test_texts_cut_together_give_the_same_sets(monkeypatch):
     texts = [None, "", " ", "a", "A b", "one two  three\tfour five", "É b c d e f", "x" * 600 + " a b c d e", "a b c d a b c d a b c d", "last words of all the texts"] * 3
     for together in (1, 20, 200, 1 << 16):
